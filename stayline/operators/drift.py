@@ -130,7 +130,8 @@ def importance(psi, statistic, pvalue, alpha=KS_ALPHA):
     """PSI capped at 1; number columns mix in the distance, weighted by significance."""
     psi_part = F.least(psi, F.lit(1.0))
     weight = 1 + (1 - F.least(pvalue / alpha, F.lit(1.0)))
-    ks_part = F.least(statistic * F.coalesce(weight, F.lit(1.0)), F.lit(1.0))
+    # `least` skips nulls, so a missing statistic has to be kept apart.
+    ks_part = F.when(statistic.isNotNull(), F.least(statistic * weight, F.lit(1.0)))
     return F.when(psi.isNull(), F.lit(None)).otherwise(
         F.when(ks_part > 0, 0.7 * psi_part + 0.3 * ks_part).otherwise(psi_part)
     )

@@ -142,12 +142,15 @@ def fit_features(
     if handle_unknown not in ("error", "ignore"):
         raise ValueError("handle_unknown is 'error' or 'ignore'")
     engineered = engineer(df)
-    rows = numeric_statistics(engineered, list(numeric), strategy).collect()
-    stats = {r.feature: r for r in rows}
-    values = category_values(engineered, list(categorical))
-    found = values.limit(max_categories * len(categorical) + 1).collect()
-    if len(found) > max_categories * len(categorical):
-        raise ValueError(f"more than {max_categories} categories per column: not one-hot data")
+    stats, found = {}, []
+    if numeric:
+        rows = numeric_statistics(engineered, list(numeric), strategy).collect()
+        stats = {r.feature: r for r in rows}
+    if categorical:
+        bound = max_categories * len(categorical)
+        found = category_values(engineered, list(categorical)).limit(bound + 1).collect()
+        if len(found) > bound:
+            raise ValueError(f"more than {max_categories} categories per column: not one-hot data")
     # Known values in ascending order, a missing value last.
     categories = {
         c: sorted((r.value for r in found if r.feature == c), key=lambda v: (v is None, v or ""))

@@ -26,14 +26,15 @@ def perf_metrics(df, by=(), threshold=0.5):
     return joined.withColumn("prediction_threshold", F.lit(float(threshold)))
 
 
-def compare(current, baseline, on=()):
+def compare(current, baseline, on=(), keep=()):
     """Drops of the watched metrics against the baseline, and the verdict.
 
-    `current` and `baseline` are metric rows; a baseline of one row applies to all.
+    `current` and `baseline` are metric rows; without `on`, a baseline of one row applies
+    to all. `keep` names further columns of `current`.
     Differences stay doubles: 0.90 - 0.85 counts as more than 0.05.
     """
     wanted = ["sample_size", *COMPARED]
-    now = current.select(*on, *[c for c in wanted if c in current.columns])
+    now = current.select(*on, *keep, *[c for c in wanted if c in current.columns])
     then = F.struct(*COMPARED)
     if on:
         pairs = now.join(baseline.select(*on, then.alias("_base")), list(on))

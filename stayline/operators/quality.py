@@ -121,8 +121,17 @@ def contract_errors(columns=None):
     return F.array_compact(F.array(*rules))
 
 
+def settled(df, name, column):
+    """Add a column behind a generator.
+
+    A filter on it then stays where it is. Pushed into the inputs, a rule over some twenty
+    computed columns makes the optimizer infer a constraint for every combination of them.
+    """
+    return df.select("*", F.explode(F.array(column)).alias(name))
+
+
 def with_errors(df):
-    return df.withColumn("errors", contract_errors())
+    return settled(df, "errors", contract_errors())
 
 
 def split_valid(df):

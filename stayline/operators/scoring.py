@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stayline import schema as S
 from stayline.functions.features import service_count
-from stayline.operators.quality import with_errors
+from stayline.operators.quality import split_valid, with_errors
 
 THRESHOLD = 0.5
 
@@ -77,10 +77,8 @@ def score_model(model, rows, threshold=THRESHOLD):
 
 def score_with_rejects(customers, score=score_scorecard):
     """(scored, rejected): rows that break the contract are set aside, not dropped silently."""
-    checked = with_errors(customers)
-    broken = F.size("errors") > 0
-    rejected = checked.where(broken).select(S.ID, F.array_join("errors", "; ").alias("error"))
-    return score(checked.where(~broken)), rejected
+    valid, broken = split_valid(customers)
+    return score(valid), broken.select(S.ID, F.array_join("errors", "; ").alias("error"))
 
 
 def score_totals(customers):

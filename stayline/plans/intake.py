@@ -156,26 +156,27 @@ def dq_summary(spark, folder):
     )
 
 
-def _rule_sql():
-    rules = ["SELECT \"customerID\", 'customerID: missing' AS error FROM dirty WHERE \"customerID\" IS NULL"]
-    for c, allowed in S.DOMAINS.items():
-        values = ", ".join(f"'{v}'" for v in allowed)
-        rules.append(
-            f"SELECT \"customerID\", '{c}: not an allowed value' FROM dirty"
-            f' WHERE coalesce("{c}" NOT IN ({values}), true)'
-        )
-    rules += [
-        "SELECT \"customerID\", 'SeniorCitizen: outside 0..1' FROM dirty"
-        " WHERE coalesce(\"SeniorCitizen\" NOT BETWEEN 0 AND 1, true)",
-        "SELECT \"customerID\", 'tenure: missing or negative' FROM dirty WHERE coalesce(tenure < 0, true)",
-        "SELECT \"customerID\", 'MonthlyCharges: missing or negative' FROM dirty"
-        " WHERE coalesce(\"MonthlyCharges\" < 0, true)",
-        "SELECT \"customerID\", 'TotalCharges: negative' FROM dirty WHERE \"TotalCharges\" < 0",
-    ]
-    return " UNION ALL ".join(rules)
-
-
-@query("dq_row_errors", sql(_rule_sql(), ctes=_DIRTY))
+def errors_sql():
+    """SQL list of the contract errors of a row, in column order."""
+    rules = ["CASE WHEN \"customerID\" IS NULL THEN 'customerID: missing' END"]
+    for c in S.CUSTOMER_COLUMNS:
+        if c in S.DOMAINS:
+            values = ", ".join(f"'{v}'" for v in S.DOMAINS[c])
+            broken, text = f'coalesce("{c}" NOT IN ({values}), true)', "not an allowed value"
+        elif c == "SeniorCitizen":
+            broken, text = f'coalesce("{c}" NOT BETWEEN 0 AND 1, true)', "outside 0..1"
+        elif c in ("tenure", "MonthlyCharges"):
+            broken, text = f'coalesce("{c}" < 0, true)', "missing or negative"
+        elif c == "TotalCharges":
+            broken, text = f'"{c}" < 0', "negative"
+        else:
+            continue
+        rules.append(f"CASE WHEN {broken} THEN '{c}: {text}' END")
+    return f"list_filter([{', '.join(rules)}], lambda e: e IS NOT NULL)"
+
+
+@query("dq_row_errors", sql(
+    f'SELECT "customerID", unnest({errors_sql()}) AS error FROM dirty', ctes=_DIRTY))
 def dq_row_errors(spark, folder):
     checked = quality.with_errors(derived.dirty_customers(spark, folder))
     return checked.select(S.ID, F.explode("errors").alias("error"))

@@ -1,8 +1,8 @@
 """All registered queries and their SQL."""
 
-from stayline.plans import intake
+from stayline.plans import evaluation, featuring, intake, monitoring
 
-SECTIONS = [intake]
+SECTIONS = [intake, featuring, evaluation, monitoring]
 
 
 def queries():

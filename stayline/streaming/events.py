@@ -8,7 +8,7 @@ import re
 from pyspark.sql import functions as F
 
 from stayline import schema as S
-from stayline.operators.quality import contract_errors
+from stayline.operators.quality import contract_errors, settled
 from stayline.operators.scoring import scorecard_probability, scorecard_terms
 
 REQUIRED = [S.ID, "tenure", "MonthlyCharges"]
@@ -107,7 +107,7 @@ def normalize_events(events):
         F.size(broken) > 0,
         F.concat(F.lit("Invalid data: "), F.array_join(broken, "; ")),
     )
-    return wide.withColumn("error", error).drop("_missing", "_extra")
+    return settled(wide, "error", error).drop("_missing", "_extra")
 
 
 def valid_events(normalized):
