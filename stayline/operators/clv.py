@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from stayline import schema as S
 from stayline.functions.features import predicted_clv
-from stayline.operators.prefix import prefix_counts, quantiles_from_prefix
+from stayline.operators.prefix import join_by_value, prefix_counts, quantiles_from_prefix
 
 LIFETIME_MONTHS = 24
 BUDGET_RATIO = 0.15
@@ -39,15 +39,16 @@ def value_prefix(clv):
 def clv_percentile(clv):
     """Add the percentage of customers with a strictly smaller value.
 
-    Distinct values are ranked, then joined back by value.
+    Distinct values are ranked, then joined back by value. Many customers share the value
+    0, so frequent values are spread over several tasks.
     """
     prefix = value_prefix(clv)
     total = prefix.agg(F.sum("n")).scalar()
     ranks = prefix.select(
-        "predicted_clv",
+        "predicted_clv", "n",
         ((F.col("n_cum") - F.col("n")) / total * 100).alias("clv_percentile"),
     )
-    return clv.join(ranks, "predicted_clv")
+    return join_by_value(clv, ranks, "predicted_clv", key=S.ID)
 
 
 def clv_tiers(clv):

@@ -9,28 +9,43 @@ from stayline.operators.splits import sample_customers
 TOP = 10
 
 
-def linear_contributions(rows, weights, key=S.ID, scale=1.0):
+def linear_contributions(rows, weights, key=S.ID, scale=1.0, top=None):
     """Exact contributions w * (x - mean of x) as rows (key, feature, contribution, value).
 
-    The means are one scalar subquery over the same rows.
+    The means are one scalar subquery over the same rows. With `top`, only the largest per
+    row are kept and numbered: they are sorted inside the row, so nothing is shuffled.
     """
     names = list(weights)
     means = rows.agg(F.struct(*[F.avg(c).alias(c) for c in names]))
+
+    def part(c):
+        return (F.col(c) - F.col(f"_mean.{c}")) * float(weights[c]) * scale
+
     entries = F.array(
         *[
             F.struct(
+                # Rounded for order only: equal sizes then go by name.
+                (-F.round(F.abs(part(c)), 12)).alias("_size"),
                 F.lit(c).alias("feature"),
-                ((F.col(c) - F.col(f"_mean.{c}")) * float(weights[c]) * scale).alias("contribution"),
+                part(c).alias("contribution"),
                 F.col(c).cast("double").alias("value"),
             )
             for c in names
         ]
     )
-    return rows.withColumn("_mean", means.scalar()).select(key, F.inline(entries))
+    filled = rows.withColumn("_mean", means.scalar())
+    if top is None:
+        return filled.select(key, F.inline(entries)).drop("_size")
+    kept = F.slice(F.array_sort(entries), 1, top)
+    return (
+        filled.select(key, F.posexplode(kept).alias("_at", "_entry"))
+        .select(key, "_entry.*", (F.col("_at") + 1).alias("rank_no"))
+        .drop("_size")
+    )
 
 
 def top_contributions(contributions, n=TOP, key=S.ID):
-    """The n largest absolute contributions per row, numbered from 1."""
+    """The n largest absolute contributions per key of a long table, numbered from 1."""
     # One row per feature in each window.
     order = Window.partitionBy(key).orderBy(F.desc(F.abs("contribution")), "feature")
     return contributions.withColumn("rank_no", F.row_number().over(order)).where(

@@ -1,6 +1,6 @@
 """Retention playbooks for customers and cohorts."""
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
 from stayline import schema as S
 
@@ -21,24 +21,30 @@ DEFAULT_STRATEGY = "Maintain current service levels - focus on value delivery"
 def _action(rule, action_id, title, description, priority, cost, effect, timing):
     revenue = F.col("MonthlyCharges")
     text = lambda x: F.lit(x) if isinstance(x, str) else x
+    priority = text(priority)
+    gain = F.try_divide(revenue * 12 * effect - cost, cost)
     return F.struct(
-        F.lit(rule).alias("rule_no"),
+        # Sort order: priority, then return, then rule.
+        F.array_position(F.array(*[F.lit(x) for x in PRIORITIES]), priority).alias("_level"),
+        (-gain).alias("_gain"),
+        (F.lit(rule) if isinstance(rule, int) else rule).cast("int").alias("rule_no"),
         text(action_id).alias("action_id"),
         text(title).alias("title"),
         text(description).alias("description"),
-        text(priority).alias("priority"),
+        priority.alias("priority"),
         cost.alias("cost"),
         F.lit(effect).alias("effectiveness"),
-        F.try_divide(revenue * 12 * effect - cost, cost).alias("expected_roi"),
+        gain.alias("expected_roi"),
         F.lit(timing).alias("implementation_time"),
     )
 
 
-def customer_actions(scored, explanations=None, keep=KEPT):
-    """Up to five actions per customer, by priority, then return, then rule order.
+def with_actions(scored, explanations=None, keep=KEPT):
+    """Add `actions`: up to five per customer, by priority, then return, then rule order.
 
-    `explanations` is an optional table (customerID, rank_no, feature, contribution); its
-    first three entries per customer may add a service offer.
+    They are sorted inside the row, so nothing is shuffled for them. `explanations` is an
+    optional table (customerID, rank_no, feature, contribution); its first three entries per
+    customer may add a service offer.
     """
     p, revenue = F.col("churn_probability"), F.col("MonthlyCharges")
     money = lambda x: F.lit(float(x))
@@ -68,23 +74,26 @@ def customer_actions(scored, explanations=None, keep=KEPT):
             "Offer $5/month discount for switching to automatic payment",
             "medium", money(60), 0.20, "1-2 days")),
     ]
-    rows = scored.select(
-        S.ID, "MonthlyCharges", F.inline(F.array_compact(F.array(*rules)))
-    )
+    found = F.array_compact(F.array(*rules))
     if explanations is not None:
-        rows = rows.unionByName(_service_offers(scored, explanations))
-    order = Window.partitionBy(S.ID).orderBy(
-        F.array_position(F.array(*[F.lit(x) for x in PRIORITIES]), F.col("priority")),
-        F.desc("expected_roi"),
-        "rule_no",
-    )
-    # At most nine candidate actions per customer.
-    return rows.withColumn("position", F.row_number().over(order)).where(
-        F.col("position") <= keep
+        scored = scored.join(_service_features(explanations), S.ID, "left")
+        offers = F.transform(F.coalesce("_offers", F.array()), lambda o: _service_offer(o))
+        found = F.concat(found, offers)
+    return scored.withColumn("actions", F.slice(F.array_sort(found), 1, keep)).drop("_offers")
+
+
+def customer_actions(scored, explanations=None, keep=KEPT):
+    """The actions as rows with their position."""
+    return (
+        with_actions(scored, explanations, keep)
+        .select(S.ID, "MonthlyCharges", F.posexplode("actions").alias("_at", "_action"))
+        .select(S.ID, "MonthlyCharges", (F.col("_at") + 1).alias("position"), "_action.*")
+        .drop("_level", "_gain")
     )
 
 
-def _service_offers(scored, explanations):
+def _service_features(explanations):
+    """At most three (rank, feature) entries per customer that call for a service offer."""
     feature = F.col("feature")
     wanted = explanations.where(
         (F.col("rank_no") <= 3)
@@ -92,19 +101,19 @@ def _service_offers(scored, explanations):
         & (feature.contains("OnlineSecurity") | feature.contains("TechSupport"))
         & ~(feature.contains("Contract") & feature.contains("Month-to-month"))
     )
-    offer = _action(
-        7, F.concat(F.lit("service_enhancement_"), feature),
+    return wanted.groupBy(S.ID).agg(
+        F.collect_list(F.struct("rank_no", "feature")).alias("_offers")
+    )
+
+
+def _service_offer(entry):
+    feature = entry["feature"]
+    return _action(
+        entry["rank_no"] + 6, F.concat(F.lit("service_enhancement_"), feature),
         F.concat(F.lit("Service Enhancement: "), feature),
         F.concat(F.lit("Offer complimentary "), feature, F.lit(" service to improve satisfaction")),
         "medium", F.lit(60.0), 0.15, "1 week",
     )
-    return (
-        scored.select(S.ID, "MonthlyCharges")
-        .join(wanted.select(S.ID, "rank_no", "feature"), S.ID)
-        .select(S.ID, "MonthlyCharges", F.col("rank_no").alias("_at"), F.inline(F.array(offer)))
-        .withColumn("rule_no", (F.col("rule_no") + F.col("_at") - 1).cast("int"))
-        .drop("_at")
-    )
 
 
 def strategy(p):
@@ -114,32 +123,26 @@ def strategy(p):
     return chain.otherwise(DEFAULT_STRATEGY)
 
 
-def customer_playbooks(scored, actions):
-    """One row per customer over the kept actions; customers without any stay."""
-    cost = F.col("cost")
-    totals = actions.groupBy(S.ID).agg(
-        F.count(F.lit(1)).alias("n_actions"),
-        F.sum(cost).alias("total_cost"),
-        F.sum(cost * F.col("effectiveness") * F.col("MonthlyCharges") * 12).alias("total_savings"),
-    )
-    p, revenue = F.col("churn_probability"), F.col("MonthlyCharges")
-    total_cost = F.coalesce("total_cost", F.lit(0.0))
-    savings = F.coalesce("total_savings", F.lit(0.0))
+def customer_playbooks(rows):
+    """One row per customer of `with_actions`, a pure projection."""
+    p, revenue, actions = F.col("churn_probability"), F.col("MonthlyCharges"), F.col("actions")
+
+    def total(of):
+        return F.aggregate(actions, F.lit(0.0), lambda sum_, a: sum_ + of(a))
+
     months = F.greatest(F.lit(12.0), F.col("tenure") + (1 - p) * 24)
-    return scored.join(totals, S.ID, "left").select(
+    cost, savings = F.col("total_cost"), F.col("total_savings")
+    return rows.select(
         F.concat(F.lit("playbook_"), F.col(S.ID)).alias("playbook_id"),
         S.ID,
         "churn_probability",
         revenue.alias("monthly_revenue"),
         (revenue * months).alias("lifetime_value_estimate"),
-        F.coalesce("n_actions", F.lit(0)).alias("n_actions"),
-        total_cost.alias("total_cost"),
-        savings.alias("total_savings"),
-        F.when(total_cost > 0, F.try_divide(savings - total_cost, total_cost)).otherwise(0.0).alias(
-            "net_roi"
-        ),
+        F.size(actions).cast("bigint").alias("n_actions"),
+        total(lambda a: a["cost"]).alias("total_cost"),
+        total(lambda a: a["cost"] * a["effectiveness"] * revenue * 12).alias("total_savings"),
         strategy(p).alias("strategy"),
-    )
+    ).withColumn("net_roi", F.when(cost > 0, F.try_divide(savings - cost, cost)).otherwise(0.0))
 
 
 def cohort_playbook_actions(cohorts, actions):

@@ -95,3 +95,23 @@ def exact_quantiles(df, value, probs, by=()):
         df.where(F.col(value).isNotNull()), value, {"n": F.count(F.lit(1))}, by
     )
     return quantiles_from_prefix(prefix, value, probs, by)
+
+
+def join_by_value(df, per_value, value, n="n", key=None, hot_share=0.001):
+    """Join rows to a table with one row per distinct value, safe for frequent values.
+
+    `n` is the count of each value. Values above `hot_share` of all rows (so fewer than
+    1/hot_share of them) are spread over as many parts as they have shares.
+    """
+    total = per_value.agg(F.sum(n)).scalar()
+    parts = F.greatest(F.lit(1), F.floor(F.col(n) / (total * hot_share))).cast("int")
+    # Fewer than 1/hot_share rows.
+    hot = per_value.select(value, parts.alias("_parts")).where("_parts > 1")
+    spread = per_value.select(
+        "*", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part")
+    ).drop(n)
+    marked = df.join(F.broadcast(hot), value, "left").withColumn(
+        "_part",
+        F.pmod(F.xxhash64(*([key] if key else df.columns)), F.coalesce("_parts", F.lit(1))).cast("int"),
+    )
+    return marked.drop("_parts").join(spread, [value, "_part"]).drop("_part")

@@ -147,14 +147,25 @@ def executive_summary(kpis, returns, cohorts, playbooks, min_auc=0.80):
     )
 
 
-def retention_strategy(cohorts, cohort_actions, playbooks, actions):
+def retention_strategy(cohorts, cohort_actions, playbooks):
     """Overview counts of the strategy report in one row."""
-    return cohorts.agg(F.count(F.lit(1)).alias("total_cohorts")).withColumns(
-        {
-            "total_playbooks": playbooks.agg(F.count(F.lit(1))).scalar(),
-            "total_actions": actions.agg(F.count(F.lit(1))).scalar(),
-            "recommended_actions": cohort_actions.agg(F.sum(F.size("actions"))).scalar(),
-        }
+    books = playbooks.agg(
+        F.struct(
+            F.count(F.lit(1)).alias("books"),
+            F.coalesce(F.sum("n_actions"), F.lit(0)).alias("actions"),
+        )
+    )
+    return (
+        cohorts.agg(F.count(F.lit(1)).alias("total_cohorts"))
+        .withColumn("_books", books.scalar())
+        .select(
+            "total_cohorts",
+            F.col("_books.books").alias("total_playbooks"),
+            F.col("_books.actions").alias("total_actions"),
+            F.lit(cohort_actions.agg(F.sum(F.size("actions"))).scalar()).alias(
+                "recommended_actions"
+            ),
+        )
     )
 
 

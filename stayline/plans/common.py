@@ -10,10 +10,14 @@ from stayline.sources import derived
 DIGITS = 6
 
 
-def tidy(df, digits=DIGITS):
-    """Round every double, so that sums in another order compare equal."""
+def tidy(df, digits=DIGITS, **special):
+    """Round every double, so that sums in another order compare equal.
+
+    `special` sets the digits of single columns: fewer where exact values could end
+    in a 5 right behind the last kept digit.
+    """
     fixes = {
-        f.name: F.round(F.col(f"`{f.name}`"), digits) + F.lit(0.0)
+        f.name: F.round(F.col(f"`{f.name}`"), special.get(f.name, digits)) + F.lit(0.0)
         for f in df.schema.fields
         if isinstance(f.dataType, T.DoubleType)
     }
@@ -100,12 +104,14 @@ scored AS (SELECT *,
 """
 
 
-def sql(select, floats=(), ctes="", digits=DIGITS):
+def sql(select, floats=(), ctes="", digits=DIGITS, **special):
     """Full statement over the derived tables, with the named doubles rounded."""
     more = f", {ctes}" if ctes else ""
     body = select
     if floats:
-        fixed = ", ".join(f'round("{c}", {digits}) + 0e0 AS "{c}"' for c in floats)
+        fixed = ", ".join(
+            f'round("{c}", {special.get(c, digits)}) + 0e0 AS "{c}"' for c in floats
+        )
         body = f"SELECT * REPLACE ({fixed}) FROM ({select})"
     return f"WITH {SCORED}{more} {body}"
 

@@ -309,9 +309,9 @@ parts AS (
         FROM terms, means)"""
 
 
-def _contributions(spark, folder):
+def _contributions(spark, folder, top=None):
     terms = scoring.scorecard_terms(derived.customers(spark, folder))
-    return explain.linear_contributions(terms, scoring.SCORECARD.weights, scale=1e-4)
+    return explain.linear_contributions(terms, scoring.SCORECARD.weights, scale=1e-4, top=top)
 
 
 @query("explain_topk", sql("""
@@ -319,7 +319,7 @@ def _contributions(spark, folder):
         ORDER BY round(abs(contribution), 9) DESC, feature) AS INT) AS rank_no FROM parts) WHERE rank_no <= 3""",
     ["contribution", "value"], _TERMS))
 def explain_topk(spark, folder):
-    return tidy(explain.top_contributions(_contributions(spark, folder), 3))
+    return tidy(_contributions(spark, folder, top=3))
 
 
 @query("global_importance", sql("""

@@ -66,14 +66,13 @@ def scan_labels(spark, folder):
 
 def _snapshots(spark, folder):
     path = scratch_path(spark, "snapshots")
-    snapshots.write_snapshot(derived.snapshots(spark, folder), path)
-    return snapshots.open_snapshots(spark, path)
+    return snapshots.write_snapshot(derived.snapshots(spark, folder), path)
 
 
 @query("latest_snapshot", sql(
     f"SELECT {COLUMNS}, '20240103T000000Z' AS snapshot_ts FROM base"))
 def latest_snapshot(spark, folder):
-    return snapshots.latest_snapshot(_snapshots(spark, folder))
+    return snapshots.read_snapshot(spark, _snapshots(spark, folder))
 
 
 @query("snapshot_pair", sql("""
@@ -82,7 +81,7 @@ def latest_snapshot(spark, folder):
     UNION ALL
     SELECT 'current', '20240103T000000Z', count(*), count(*) FILTER ("Churn" = 'Yes') FROM base"""))
 def snapshot_pair(spark, folder):
-    reference, current = snapshots.snapshot_pair(_snapshots(spark, folder))
+    reference, current = snapshots.snapshot_pair(spark, _snapshots(spark, folder))
 
     def counted(df, side):
         return df.groupBy(F.lit(side).alias("side"), "snapshot_ts").agg(

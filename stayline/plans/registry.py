@@ -1,8 +1,8 @@
 """All registered queries and their SQL."""
 
-from stayline.plans import evaluation, featuring, intake, monitoring
+from stayline.plans import business, evaluation, featuring, intake, learning, live, monitoring
 
-SECTIONS = [intake, featuring, evaluation, monitoring]
+SECTIONS = [intake, featuring, evaluation, monitoring, business, live, learning]
 
 
 def queries():

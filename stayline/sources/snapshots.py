@@ -18,29 +18,30 @@ def write_snapshot(df, folder, ts=None):
     return folder
 
 
-def open_snapshots(spark, folder):
-    """All snapshots; the timestamp stays text."""
-    frame = spark.read.option("inferSchema", "false").parquet(folder)
-    return frame.withColumn(STAMP, F.col(STAMP).cast("string"))
-
-
-def stamps(snapshots, n):
-    """The newest `n` timestamps as rows, newest first."""
-    return snapshots.select(STAMP).distinct().orderBy(F.desc(STAMP)).limit(n)
-
-
-def latest_snapshot(snapshots, ts=None):
-    """Rows of one snapshot. The maximum is a scalar subquery, so other partitions are not read."""
-    if ts is not None:
-        return snapshots.where(F.col(STAMP) == ts)
-    newest = snapshots.agg(F.max(STAMP)).scalar()
-    return snapshots.where(F.col(STAMP) == newest)
-
-
-def snapshot_pair(snapshots):
+def list_stamps(spark, folder):
+    """Timestamps present, oldest first. Folder names only; no data file is opened."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        raise FileNotFoundError(f"no snapshots in {folder}")
+    names = [s.getPath().getName() for s in fs.listStatus(root)]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{STAMP}="))
+
+
+def read_snapshot(spark, folder, ts=None):
+    """One snapshot, the newest by default. Only its own folder is listed and read."""
+    if ts is None:
+        found = list_stamps(spark, folder)
+        if not found:
+            raise FileNotFoundError(f"no snapshots in {folder}")
+        ts = found[-1]
+    frame = spark.read.parquet(f"{folder}/{STAMP}={ts}")
+    return frame.withColumn(STAMP, F.lit(ts))
+
+
+def snapshot_pair(spark, folder):
     """(reference, current): second newest and newest; one alone serves as both."""
-    newest_two = stamps(snapshots, 2)
-    return (
-        snapshots.where(F.col(STAMP) == newest_two.agg(F.min(STAMP)).scalar()),
-        snapshots.where(F.col(STAMP) == newest_two.agg(F.max(STAMP)).scalar()),
-    )
+    newest = list_stamps(spark, folder)[-2:]
+    if not newest:
+        raise FileNotFoundError(f"no snapshots in {folder}")
+    return read_snapshot(spark, folder, newest[0]), read_snapshot(spark, folder, newest[-1])
