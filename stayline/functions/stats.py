@@ -6,13 +6,14 @@ from statistics import NormalDist
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def z_value(probability):
     return NormalDist().inv_cdf(probability)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def two_tailed_p(z: pd.Series) -> pd.Series:
     """P(|Z| > |z|). Neither engine has erf; the input is one row per test."""
     return z.map(lambda v: math.erfc(abs(v) / math.sqrt(2)), na_action="ignore").astype(float)
@@ -54,7 +55,7 @@ def _lattice_tail(d, n, m):
     return min(1.0, max(0.0, -math.expm1(math.log(paths[-1]) + log_scale - log_all)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def kolmogorov_p_exact(statistic: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
     """Exact two-sided p-value; one row per feature, for samples of at most 10,000."""
     return pd.Series(

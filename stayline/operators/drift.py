@@ -7,6 +7,7 @@ column come from one read and one ordering of those counts.
 
 from functools import reduce
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from stayline import schema as S
@@ -29,23 +30,30 @@ def shared_columns(reference, current):
     return [c for c in shared if c in numbers], [c for c in shared if c not in numbers]
 
 
-def _both_sides(reference, current, columns, unpivot):
-    def side(df, ref):
-        return unpivot(df, columns).where("value IS NOT NULL").withColumn("_ref", F.lit(ref))
+def _both_sides(pairs, unpivot):
+    """Rows (feature, value, _ref) of (reference, current, columns) triples."""
+    parts = [
+        unpivot(df, columns).where("value IS NOT NULL").withColumn("_ref", F.lit(ref))
+        for reference, current, columns in pairs
+        for df, ref in ((reference, 1), (current, 0))
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
-    return side(reference, 1).unionByName(side(current, 0))
 
-
-def value_counts(reference, current, columns):
-    """Running counts per (feature, value) for both sides."""
+def _counts_of(pairs):
     return prefix_counts(
-        _both_sides(reference, current, columns, unpivot_numeric),
+        _both_sides(pairs, unpivot_numeric),
         "value",
         {"ref": F.sum("_ref"), "cur": F.sum(1 - F.col("_ref"))},
         ["feature"],
     )
 
 
+def value_counts(reference, current, columns):
+    """Running counts per (feature, value) for both sides."""
+    return _counts_of([(reference, current, columns)])
+
+
 def _psi_term():
     expected = F.try_divide("ref", "n_ref")
     actual = F.try_divide("cur", "n_cur")
@@ -109,8 +117,12 @@ def ks_two_sample(counts, method="limit", exact_limit=EXACT_LIMIT):
 
 def psi_categorical(reference, current, columns):
     """PSI per text column over the union of its values."""
+    return _psi_text([(reference, current, columns)])
+
+
+def _psi_text(pairs):
     counts = (
-        _both_sides(reference, current, columns, unpivot_text)
+        _both_sides(pairs, unpivot_text)
         .groupBy("feature", "value")
         .agg(F.sum("_ref").alias("ref"), F.sum(1 - F.col("_ref")).alias("cur"))
     )
@@ -160,17 +172,26 @@ def drift_features(reference, current, numeric=None, categorical=None, ks_method
     wanted_texts = texts if categorical is None else categorical
     shared = set(numbers) | set(texts)
     absent = [c for c in [*wanted_numbers, *wanted_texts] if c not in shared]
+    numbers = [(reference, current, [c for c in wanted_numbers if c in shared])]
+    texts = [(reference, current, [c for c in wanted_texts if c in shared])]
+    return with_verdict(_measured(numbers, texts, absent, ks_method), **limits)
+
+
+def _measured(numbers, texts, absent=(), ks_method="limit"):
+    """Unjudged metrics of all number pairs in one job and all text pairs in another."""
+    numbers = [p for p in numbers if p[2]]
+    texts = [p for p in texts if p[2]]
     parts = []
-    if in_numbers := [c for c in wanted_numbers if c in shared]:
-        counts = value_counts(reference, current, in_numbers)
+    if numbers:
+        counts = _counts_of(numbers)
         parts.append(
             psi_numeric(counts)
             .join(ks_two_sample(counts, ks_method), "feature")
             .select("feature", F.lit("numeric").alias("feature_type"), "psi", "ks_statistic", "ks_pvalue")
         )
-    if in_texts := [c for c in wanted_texts if c in shared]:
+    if texts:
         parts.append(
-            psi_categorical(reference, current, in_texts).select(
+            _psi_text(texts).select(
                 "feature",
                 F.lit("categorical").alias("feature_type"),
                 "psi",
@@ -179,27 +200,54 @@ def drift_features(reference, current, numeric=None, categorical=None, ks_method
             )
         )
     if absent:
-        parts.append(
-            reference.sparkSession.createDataFrame(
-                [(c, "unknown", None, None, None) for c in absent],
-                "feature string, feature_type string, psi double, ks_statistic double, ks_pvalue double",
-            )
-        )
-    return with_verdict(reduce(lambda a, b: a.unionByName(b), parts), **limits)
+        named = F.explode(F.array(*[F.lit(c) for c in absent])).alias("feature")
+        nothing = [F.lit(None).cast("double").alias(c) for c in ("psi", "ks_statistic", "ks_pvalue")]
+        one_row = SparkSession.active().range(1)
+        parts.append(one_row.select(named, F.lit("unknown").alias("feature_type"), *nothing))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+PREDICTIONS, LABELS = "predictions", "labels"
+
+
+def _scores(pair, score):
+    return (*[df.select(F.col(score).alias(PREDICTIONS)) for df in pair], [PREDICTIONS])
 
 
-def drift_predictions(reference, current, score="churn_probability", **options):
-    def rename(df):
-        return df.select(F.col(score).alias("predictions"))
+def _labels(pair, label):
+    return (*[df.select(F.col(label).cast("string").alias(LABELS)) for df in pair], [LABELS])
 
-    return drift_features(rename(reference), rename(current), ["predictions"], [], **options)
 
+def drift_predictions(reference, current, score="churn_probability", ks_method="limit", **limits):
+    pairs = [_scores((reference, current), score)]
+    return with_verdict(_measured(pairs, [], ks_method=ks_method), **limits)
 
-def drift_labels(reference, current, label=S.TARGET, **options):
-    def rename(df):
-        return df.select(F.col(label).cast("string").alias("labels"))
 
-    return drift_features(rename(reference), rename(current), [], ["labels"], **options)
+def drift_labels(reference, current, label=S.TARGET, **limits):
+    return with_verdict(_measured([], [_labels((reference, current), label)]), **limits)
+
+
+def drift_report(
+    reference, current, predictions=None, labels=None, score="churn_probability",
+    label=S.TARGET, numeric=None, categorical=None, ks_method="limit", **limits,
+):
+    """Data, prediction and label drift in one table with a `kind`.
+
+    `predictions` and `labels` are optional (reference, current) pairs. Scores join the job
+    of the number columns and labels that of the text columns.
+    """
+    numbers, texts = shared_columns(reference, current)
+    number_pairs = [(reference, current, numbers if numeric is None else numeric)]
+    text_pairs = [(reference, current, texts if categorical is None else categorical)]
+    if predictions:
+        number_pairs.append(_scores(predictions, score))
+    if labels:
+        text_pairs.append(_labels(labels, label))
+    kind = F.when(F.lit(bool(predictions)) & (F.col("feature") == PREDICTIONS), "prediction").when(
+        F.lit(bool(labels)) & (F.col("feature") == LABELS), "label"
+    )
+    judged = with_verdict(_measured(number_pairs, text_pairs, ks_method=ks_method), **limits)
+    return judged.withColumn("kind", kind.otherwise("data"))
 
 
 def rank_features(metrics, top=None):
@@ -219,16 +267,11 @@ def enrich(metrics, catalogue):
     return metrics.join(F.broadcast(known), "feature", "left")
 
 
-def drift_summary(data, prediction=None, label=None):
-    """Totals over the three kinds of drift, in one row.
+def drift_summary(rows):
+    """Totals over a `drift_report`, in one row.
 
     Prediction and label drift enter the severity counts only when detected.
     """
-    parts = [data.select(F.lit("data").alias("kind"), "drift_detected", "drift_severity")]
-    for kind, frame in (("prediction", prediction), ("label", label)):
-        if frame is not None:
-            parts.append(frame.select(F.lit(kind).alias("kind"), "drift_detected", "drift_severity"))
-    rows = reduce(lambda a, b: a.unionByName(b), parts)
     is_data, found = F.col("kind") == "data", F.col("drift_detected")
 
     def number(condition):

@@ -101,8 +101,13 @@ def require_quality(results):
         raise ValueError(f"data quality checks failed: {', '.join(failed)}")
 
 
-def contract_errors(columns=None):
-    """Array of messages for the rules a row breaks, in column order; empty for a valid row."""
+def without_nulls(*columns):
+    """Array of the non-null values, each once. `array_compact` would leave generated code."""
+    return F.array_except(F.array(*columns), F.array(F.lit(None).cast("string")))
+
+
+def contract_rules():
+    """One column per rule, in column order: its message if a row breaks it, else null."""
 
     def check(name, broken, message):
         return F.when(F.coalesce(broken, F.lit(True)), F.lit(f"{name}: {message}"))
@@ -118,7 +123,12 @@ def contract_errors(columns=None):
             rules.append(check(name, col < 0, "missing or negative"))
         elif name == "TotalCharges":
             rules.append(check(name, F.coalesce(col < 0, F.lit(False)), "negative"))
-    return F.array_compact(F.array(*rules))
+    return rules
+
+
+def contract_errors():
+    """Array of messages for the rules a row breaks, in column order; empty for a valid row."""
+    return without_nulls(*contract_rules())
 
 
 def settled(df, name, column):

@@ -450,9 +450,9 @@ def _playbooks(rows):
     return playbooks.customer_playbooks(playbooks.with_actions(rows))
 
 
-@query("playbooks", sql("SELECT * FROM playbooks", _BOOK_FLOATS, PLAYBOOKS, total_savings=2))
+@query("playbooks", sql("SELECT * FROM playbooks", _BOOK_FLOATS, PLAYBOOKS, total_savings=8))
 def playbook_query(spark, folder):
-    return tidy(_playbooks(scored(spark, folder)), total_savings=2)
+    return tidy(_playbooks(scored(spark, folder)), total_savings=8)
 
 
 @query("cohort_playbooks", sql("""
@@ -469,11 +469,11 @@ def playbook_query(spark, folder):
           ELSE 10e0 * customer_count END) AS c
         FROM action_rows JOIN cohorts USING (cohort_id) WHERE rule_no <= 5 GROUP BY 1) USING (cohort_id)""",
     ["churn_probability", "monthly_revenue", "lifetime_value_estimate", "total_cost", "total_savings", "net_roi"],
-    f"{COHORTS}, {_actions_cte(False)}", digits=2))
+    f"{COHORTS}, {_actions_cte(False)}", total_savings=0))
 def cohort_playbooks(spark, folder):
     rows = scored(spark, folder)
     table = cohorts.cohort_table(rows)
-    return tidy(playbooks.cohort_playbooks(table, cohorts.cohort_actions(rows)), 2)
+    return tidy(playbooks.cohort_playbooks(table, cohorts.cohort_actions(rows)), total_savings=0)
 
 
 @query("top_at_risk", sql("""

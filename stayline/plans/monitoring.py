@@ -182,9 +182,9 @@ summary AS (SELECT count(*) FILTER (kind = 'data') AS features_checked,
 
 def _summary(spark, folder):
     sides = derived.drift_sides(spark, folder)
-    return drift.drift_summary(
-        _data_drift(spark, folder), drift.drift_predictions(*sides), drift.drift_labels(*sides)
-    )
+    return drift.drift_summary(drift.drift_report(
+        *sides, predictions=sides, labels=sides, numeric=NUMBERS, categorical=TEXTS
+    ))
 
 
 @query("drift_summary", sql("SELECT * FROM summary", ctes=_SUMMARY))

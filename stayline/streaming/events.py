@@ -8,7 +8,7 @@ import re
 from pyspark.sql import functions as F
 
 from stayline import schema as S
-from stayline.operators.quality import contract_errors, settled
+from stayline.operators.quality import contract_rules, settled
 from stayline.operators.scoring import scorecard_probability, scorecard_terms
 
 REQUIRED = [S.ID, "tenure", "MonthlyCharges"]
@@ -23,9 +23,30 @@ def snake_case(name):
     return re.sub(r"(?<=[a-z0-9])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])", "_", name).lower()
 
 
-def spellings(name):
-    """The spellings of a field an event may use, preferred first."""
-    return list(dict.fromkeys([name, snake_case(name), name.lower()]))
+def spellings():
+    """Per field, where its text is found: (parsed struct, name) pairs, preferred first.
+
+    Column names differing in case only cannot share a struct, so the names as declared
+    and the others are parsed apart.
+    """
+    found = {}
+    for name in FIELDS:
+        other = snake_case(name)
+        found[name] = [("_declared", name)] + ([("_other", other)] if other != name else [])
+    # Fixed extras: a capital gender, and the required fields in lower case.
+    found["gender"].append(("_other", "Gender"))
+    for name in REQUIRED:
+        if name.lower() not in (name, snake_case(name)):
+            found[name].append(("_other", name.lower()))
+    return found
+
+
+SPELLINGS = spellings()
+
+
+def _names(part):
+    names = [n for pairs in SPELLINGS.values() for where, n in pairs if where == part]
+    return names + (["timestamp"] if part == "_declared" else [])
 
 
 def kafka_source(spark, servers, topic=TOPIC, offsets="latest"):
@@ -48,16 +69,13 @@ def file_source(spark, folder, files_per_batch=None):
     return reader.load(folder)
 
 
-def _text(name):
-    """First non-empty spelling. The parsed map keeps names apart that differ in case only."""
-    return F.coalesce(*[F.nullif(F.col("_event")[k], F.lit("")) for k in spellings(name)])
+def _parsed(part):
+    return F.from_json("value", ", ".join(f"`{n}` STRING" for n in _names(part)))
 
 
-def _number(name, kind):
-    text = _text(name).try_cast("double")
-    if kind == "int":
-        return F.when(text == F.floor(text), text.try_cast("int"))
-    return text
+def _number(text, kind):
+    value = text.try_cast("double")
+    return F.when(value == F.floor(value), value.try_cast("int")) if kind == "int" else value
 
 
 def normalize_events(events):
@@ -65,48 +83,52 @@ def normalize_events(events):
 
     The error names the missing required fields, or else the broken rules.
     """
-    parsed = events.withColumn("_event", F.from_json("value", "map<string,string>"))
+    kept = [c for c in events.columns if c != "value"]
+    parsed = events.select(
+        *kept, _parsed("_declared").alias("_declared"), _parsed("_other").alias("_other")
+    )
+    texts = {
+        name: F.coalesce(*[
+            F.when(F.col(f"{where}.`{n}`") != "", F.col(f"{where}.`{n}`")) for where, n in pairs
+        ])
+        for name, pairs in SPELLINGS.items()
+    }
+    read = parsed.select(
+        *kept,
+        *[text.alias(f"_{name}") for name, text in texts.items()],
+        F.col(f"_declared.{S.ID}").alias("_sent_id"),
+        F.col("_declared.timestamp").alias("event_timestamp"),
+    )
     columns = {}
     for name in FIELDS:
-        kind = S.CUSTOMERS[name].dataType.simpleString()
+        kind, text = S.CUSTOMERS[name].dataType.simpleString(), F.col(f"_{name}")
         if name == S.ID:
-            columns[name] = _text(name)
+            columns[name] = text
         elif name == "TotalCharges":
-            columns[name] = F.nullif(_number(name, kind), F.lit(0.0))
+            columns[name] = F.nullif(_number(text, kind), F.lit(0.0))
         elif kind == "string":
-            columns[name] = F.coalesce(_text(name), F.lit(S.EVENT_DEFAULTS[name]))
+            columns[name] = F.coalesce(text, F.lit(S.EVENT_DEFAULTS[name]))
         else:
-            given = F.when(
-                _text(name).isNull(), F.lit(S.EVENT_DEFAULTS[name]).cast(kind)
-            )
-            columns[name] = given.otherwise(_number(name, kind))
-    missing = F.array_compact(
-        F.array(*[F.when(_text(c).isNull(), F.lit(c)) for c in REQUIRED])
+            default = F.lit(S.EVENT_DEFAULTS[name]).cast(kind)
+            columns[name] = F.when(text.isNull(), default).otherwise(_number(text, kind))
+    missing = F.concat_ws(
+        ", ", *[F.when(F.col(f"_{c}").isNull(), F.lit(c)) for c in REQUIRED]
     )
-    unreadable = _text("TotalCharges").isNotNull() & _number("TotalCharges", "double").isNull()
-    wide = parsed.withColumns(
-        {
-            "_missing": missing,
-            "_extra": F.when(unreadable, F.lit("TotalCharges: not a number")),
-            "_sent_id": F.col("_event")[S.ID],
-            "event_timestamp": F.col("_event")["timestamp"],
-        }
-    )
-    wide = wide.select(
-        *[c for c in events.columns if c != "value"],
+    unreadable = F.col("_TotalCharges").isNotNull() & _number(
+        F.col("_TotalCharges"), "double"
+    ).isNull()
+    wide = read.select(
+        *kept,
         *[columns[c].alias(c) for c in FIELDS],
-        "event_timestamp", "_missing", "_extra", "_sent_id",
+        "event_timestamp", "_sent_id",
+        missing.alias("_missing"),
+        F.when(unreadable, F.lit("TotalCharges: not a number")).alias("_extra"),
     )
-    broken = F.array_compact(F.concat(contract_errors(), F.array("_extra")))
+    broken = F.concat_ws("; ", *contract_rules(), F.col("_extra"))
     error = F.when(
-        F.size("_missing") > 0,
-        F.concat(
-            F.lit("Invalid data: Missing required fields in event: "), F.array_join("_missing", ", ")
-        ),
-    ).when(
-        F.size(broken) > 0,
-        F.concat(F.lit("Invalid data: "), F.array_join(broken, "; ")),
-    )
+        F.col("_missing") != "",
+        F.concat(F.lit("Invalid data: Missing required fields in event: "), "_missing"),
+    ).when(broken != "", F.concat(F.lit("Invalid data: "), broken))
     return settled(wide, "error", error).drop("_missing", "_extra")
 
 
