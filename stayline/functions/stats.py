@@ -43,7 +43,8 @@ def _lattice_tail(d, n, m):
     paths = (across < limit).astype(float)
     log_scale = 0.0
     for i in range(1, n + 1):
-        paths = np.cumsum(paths) * (np.abs(across - i * (lcm // n)) < limit)
+        inside = np.abs(across - i * (lcm // n)) < limit
+        paths = np.cumsum(paths * inside) * inside
         peak = paths.max()
         if peak == 0.0:
             return 1.0

@@ -79,8 +79,12 @@ def test_clv_percentile_by_brute_force(scored):
     known = [r.predicted_clv for r in rows]
     for r in rows:
         assert r.clv_percentile == pytest.approx(sum(v < r.predicted_clv for v in known) / len(known) * 100)
-    tiers = {r.clv_tier for r in clv.clv_tiers(values).collect()}
-    assert "high_value" in tiers and "medium_value" in tiers
+
+
+def test_clv_tiers(spark):
+    df = spark.createDataFrame([(float(v),) for v in range(1, 10)], "predicted_clv double")
+    tiers = {r.predicted_clv: r.clv_tier for r in clv.clv_tiers(df).collect()}
+    assert [tiers[float(v)] for v in range(1, 10)] == ["low_value"] * 2 + ["medium_value"] * 4 + ["high_value"] * 3
 
 
 def test_percentile_with_one_dominating_value(spark):
@@ -144,7 +148,9 @@ def test_actions_order_and_limit(spark):
         "customerID string, rank_no int, feature string, contribution double",
     )
     more = playbooks.customer_actions(df, offers).orderBy("position").collect()
-    assert [r.action_id for r in more][-2:] == ["service_enhancement_OnlineSecurity_No", "service_enhancement_TechSupport_No"]
+    assert [r.action_id for r in more][-2:] == ["auto_pay_incentive", "service_enhancement_OnlineSecurity_No"]
+    every = playbooks.customer_actions(df, offers, keep=9).orderBy("position").collect()
+    assert [r.action_id for r in every][-1] == "service_enhancement_TechSupport_No"
     books = {r.customerID: r for r in playbooks.customer_playbooks(playbooks.with_actions(df)).collect()}
     assert books["b"].n_actions == 0 and books["b"].net_roi == 0.0
     assert books["a"].total_cost == pytest.approx(50 + 120 + 120 + 60)

@@ -43,9 +43,12 @@ def test_trees_and_search(spark, rows):
     assert len(trials) == 2 and all(0.5 < t.roc_auc <= 1 for t in trials)
 
 
-def test_random_grid_is_seeded_and_in_range():
-    lr = LogisticRegression.__new__  # noqa: F841  (a session is needed to build estimators)
-    pytest.importorskip("pyspark.ml")
+def test_random_grid_is_seeded_and_in_range(spark):
+    lr = LogisticRegression()
+    space = {"regParam": (0.001, 1.0), "maxIter": [5, 10]}
+    one, two = (learn.random_grid(lr, space, trials=4, seed=3) for _ in range(2))
+    values = [[s[lr.regParam] for s in grid] for grid in (one, two)]
+    assert values[0] == values[1] and all(0.001 <= v <= 1.0 for v in values[0])
 
 
 def test_scorecard_equals_the_stored_probability(spark, folder):
