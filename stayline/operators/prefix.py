@@ -68,7 +68,7 @@ def quantiles_from_prefix(prefix, value, probs, by=(), n="n"):
     smallest one whose running count exceeds r, so each end needs only a `min`.
     """
     by = list(by)
-    sizes = prefix.groupBy(*by).agg(F.max(f"{n}_cum").alias("_size"))
+    sizes = prefix.groupBy(*by).agg(F.sum(n).alias("_size"))
     # One row per key.
     sized = prefix.join(F.broadcast(sizes), by) if by else prefix.withColumn(
         "_size", sizes.scalar()

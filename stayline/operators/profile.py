@@ -201,19 +201,18 @@ def correlations(df, columns):
 
 
 def histogram(df, columns, bins=50, by=(), density=False):
-    """Equal-width bin counts between each column's extremes; the last bin is closed."""
+    """Equal-width bin counts between each column's extremes; the last bin is closed.
+
+    The extremes come from a first read, so that the second one can count bins before it
+    shuffles: distinct values never leave their task.
+    """
     by = list(by)
-    counts = (
-        unpivot_numeric(df, columns, by)
-        .where("value IS NOT NULL")
-        .groupBy(*by, "feature", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    span = counts.groupBy("feature").agg(
+    long = unpivot_numeric(df, columns, by).where("value IS NOT NULL")
+    span = long.groupBy("feature").agg(
         F.min("value").alias("_low"), ((F.max("value") - F.min("value")) / bins).alias("_width")
     )
     # One row per column.
-    placed = counts.join(F.broadcast(span), "feature").withColumn(
+    placed = long.join(F.broadcast(span), "feature").withColumn(
         "bin",
         F.when(F.col("_width") == 0, 0)
         .otherwise(
@@ -224,7 +223,9 @@ def histogram(df, columns, bins=50, by=(), density=False):
         )
         .cast("int"),
     )
-    binned = placed.groupBy(*by, "feature", "bin", "_low", "_width").agg(F.sum("n").alias("n"))
+    binned = placed.groupBy(*by, "feature", "bin", "_low", "_width").agg(
+        F.count(F.lit(1)).alias("n")
+    )
     out = binned.select(
         *by, "feature", "bin", (F.col("_low") + F.col("bin") * F.col("_width")).alias("bin_start"),
         "n", "_width",

@@ -90,17 +90,21 @@ def compact(spark, folder, order=("ts", "event_id")):
 def split_sink(scores_folder, rejects_folder, score=None, threshold=0.5):
     """foreachBatch function: valid events to scores, broken ones to rejects.
 
-    Each batch overwrites its own folder, so a replay adds nothing twice.
+    Each batch overwrites its own folder, so a replay adds nothing twice. The parsed batch
+    is kept while both sides are written.
     """
 
     def write(batch, batch_id):
-        normalized = normalize_events(batch)
-        score_events(normalized, threshold, score).write.mode("overwrite").parquet(
-            f"{scores_folder}/batch={batch_id}"
-        )
-        event_rejects(normalized).write.mode("overwrite").parquet(
-            f"{rejects_folder}/batch={batch_id}"
-        )
+        normalized = normalize_events(batch).persist()
+        try:
+            score_events(normalized, threshold, score).write.mode("overwrite").parquet(
+                f"{scores_folder}/batch={batch_id}"
+            )
+            event_rejects(normalized).write.mode("overwrite").parquet(
+                f"{rejects_folder}/batch={batch_id}"
+            )
+        finally:
+            normalized.unpersist()
 
     return write
 
