@@ -1,4 +1,5 @@
 import math
+import os
 
 import duckdb
 import pytest
@@ -8,6 +9,15 @@ import __spark_entry__ as entry_point
 TABLES = ["customer", "orders", "events"]
 ORACLE = entry_point.oracle_sql()
 
+# One query per area by default; ALL_QUERIES=1 compares every one of them.
+SAMPLE = [
+    "clean_customers", "dq_expectations", "numeric_summary", "churn_by_category", "iqr_outliers",
+    "impute_scale", "stratified_split_exact", "pr_auc", "topk_metrics", "score_with_rejects",
+    "explain_topk", "drift_features", "perf_degradation", "cohorts", "clv_percentile", "kpi_trend",
+    "playbooks", "ab_test", "event_rejects",
+]
+COMPARED = sorted(ORACLE) if os.environ.get("ALL_QUERIES") else SAMPLE
+
 
 @pytest.fixture(scope="module")
 def engine(folder):
@@ -36,7 +46,7 @@ def test_every_statement_has_a_query():
     assert ORACLE.keys() <= entry_point.queries().keys()
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+@pytest.mark.parametrize("name", COMPARED)
 def test_query_equals_sql(spark, folder, engine, name):
     found = entry_point.queries()[name](spark, folder)
     expected = engine.sql(ORACLE[name])
