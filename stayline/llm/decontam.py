@@ -7,6 +7,7 @@ the benchmark; a match counts if the slots behind the placeholders map consisten
 
 import re
 from collections import defaultdict
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -49,16 +50,48 @@ def _kind(word):
     return low, LITERAL, low in UNITS, core[0] != low[0], word[-1] in ".!?:;\"')]" and bool(SENTENCE_END.search(word))
 
 
+class Kinds:
+    """What `_kind` says of each word; kept for words met again, up to `bound` words."""
+
+    def __init__(self, bound=500_000):
+        self.bound = bound
+        self._clear()
+
+    def _clear(self):
+        self.seen, self.table, self.values = X.Seen(), np.zeros((0, 4), np.int8), np.zeros(0, np.uint64)
+
+    def __call__(self, words):
+        """(value hash, kind, unit, capital, end) of every word, as arrays."""
+        if len(self.values) > self.bound:
+            self._clear()
+        keys, first, place = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        rows, new = self.seen.places(keys)
+        found = [_kind(words.word(i)) for i in first[new].tolist()]
+        value = X.Words([f[0].encode() for f in found])
+        if len(value) == len(found):
+            hashes = value.hashes()
+        else:
+            hashes = np.zeros(len(found), np.uint64)
+            hashes[np.diff(value.bounds) > 0] = value.hashes()
+        self.values = np.concatenate([self.values, hashes])
+        self.table = np.concatenate([self.table, np.array([f[1:] for f in found], np.int8).reshape(-1, 4)])
+        rows = rows[place]
+        return (self.values[rows], *self.table[rows].T)
+
+
+@cache
+def kinds_of_worker():
+    """The known words of this worker process; they serve the next task too."""
+    return Kinds()
+
+
 class Canonical:
     """Canonical tokens of many texts: kind, value hash and token hash of each, and bounds."""
 
-    def __init__(self, texts):
-        words, bounds = X.split_words(texts)
-        vocabulary, place = X.index_words(words)
-        found = [_kind(w) for w in vocabulary]
-        value = X.hash_all([f[0].encode() for f in found])[place]
-        kind, unit, capital, end = (
-            np.fromiter((f[i] for f in found), np.int8, len(found))[place] for i in range(1, 5))
+    def __init__(self, texts, kinds):
+        words = X.Words(texts)
+        bounds = words.bounds
+        value, kind, unit, capital, end = kinds(words)
         n = len(words)
         first = np.zeros(n, bool)
         first[bounds[:-1][np.diff(bounds) > 0]] = True
@@ -84,7 +117,7 @@ class Templates:
 
     def __init__(self, items, width):
         self.ids = [i for i, _ in items]
-        self.tokens = Canonical([t for _, t in items])
+        self.tokens = Canonical([t for _, t in items], Kinds())
         size = np.diff(self.tokens.bounds)
         keys, places, owners = [], [], []
         self.count = np.zeros(len(items), np.int64)
@@ -116,7 +149,7 @@ class Templates:
                 for j in range(a, b):
                     yield int(text[i]), int(self.owner[j]), int(place[i]), int(self.place[j])
 
-    def matches(self, texts, min_windows, min_share):
+    def matches(self, texts, min_windows, min_share, kinds):
         """(text, item, windows matched, slots, changed slots) of each confirmed match.
 
         Windows on one diagonal (place in the text minus place in the item) belong
@@ -125,7 +158,7 @@ class Templates:
         """
         if not len(self.key):
             return
-        tokens = Canonical(texts)
+        tokens = Canonical(texts, kinds)
         diagonals = defaultdict(lambda: defaultdict(set))
         for text, item, at, own in self.hits(tokens):
             diagonals[text, item][at - own].add(own)
@@ -178,11 +211,11 @@ def contaminated(docs, benchmark, width=8, min_windows=5, min_share=0.5, bound=2
         shared = docs.sparkSession.sparkContext.broadcast(templates)
 
         def work(batches, shared=shared):
-            own = shared.value
+            own, kinds = shared.value, kinds_of_worker()
             for batch in X.slices(batches):
                 ids = batch.column("doc_id").to_pylist()
                 rows = [(ids[t], own.ids[i], int(own.count[i]), m, s, c) for t, i, m, s, c in
-                        own.matches(batch.column("text").to_pylist(), min_windows, min_share)]
+                        own.matches(batch.column("text").to_pylist(), min_windows, min_share, kinds)]
                 if rows:
                     yield X.batch_of(MATCHES, **dict(zip(MATCHES.names, zip(*rows))))
 
@@ -199,9 +232,10 @@ def decontaminated(docs, benchmark, width=8, min_windows=5, min_share=0.5, bound
         shared = docs.sparkSession.sparkContext.broadcast(templates)
 
         def work(batches, shared=shared):
+            kinds = kinds_of_worker()
             for batch in X.slices(batches):
                 texts = [t and t.encode() for t in batch.column("text").to_pylist()]
-                hit = {m[0] for m in shared.value.matches(texts, min_windows, min_share)}
+                hit = {m[0] for m in shared.value.matches(texts, min_windows, min_share, kinds)}
                 yield batch.filter(pa.array([i not in hit for i in range(batch.num_rows)]))
 
         docs = docs.mapInArrow(work, docs.schema)

@@ -46,14 +46,14 @@ def encoded(docs, held):
     def work(batches):
         block = TaskContext.get().partitionId() << 33
         for batch in X.slices(batches, limit=4 << 20):
-            words, bounds = X.split_words(batch.column("text").to_pylist(), lower=True)
-            vocabulary, place = X.index_words(words)
+            words = X.Words(batch.column("text").to_pylist())
+            hashes, place = np.unique(words.hashes(lower=True), return_inverse=True)
             held = batch.column("held").to_numpy(zero_copy_only=False)
-            seen = np.bincount(place[~np.repeat(held, np.diff(bounds))], minlength=len(vocabulary))
+            seen = np.bincount(place[~held[words.texts()]], minlength=len(hashes))
             yield X.batch_of(
-                BLOCKS, block=[block], hashes=[X.hash_all(vocabulary).view(np.int64)],
+                BLOCKS, block=[block], hashes=[hashes.view(np.int64)],
                 seen=[seen.astype(np.int32)], doc_ids=[batch.column("doc_id").to_pylist()],
-                held=[held], bounds=[bounds], ids=[place.astype("<i4").tobytes()])
+                held=[held], bounds=[words.bounds], ids=[place.astype("<i4").tobytes()])
             block += 1
 
     return source.mapInArrow(work, BLOCK_COLUMNS)

@@ -20,24 +20,24 @@ RESULT = pa.schema([
 COLUMNS = "doc_id long, lang_pred string, score double, languages array<string>, shares array<double>"
 
 LETTER = re.compile(r"[^\W\d_]")
-# Letters of ASCII and all bytes beyond it stay; whatever else is a gap.
-_KEEP = np.full(256, 0x20, np.uint8)
-_KEEP[0x61:0x7B] = np.arange(0x61, 0x7B)
-_KEEP[0x41:0x5B] = np.arange(0x61, 0x7B)
-_KEEP[0x80:] = np.arange(0x80, 0x100)
+# A-Z as a-z, bytes beyond ASCII as they are, whatever else a gap.
+_KEEP = bytes(
+    b if b >= 0x80 or 0x61 <= b < 0x7B else b + 0x20 if 0x41 <= b < 0x5B else 0x20 for b in range(256))
 
 
 def grams(text, size):
-    """Buckets of the text's windows of three bytes, gaps of several bytes being one."""
-    raw = _KEEP[np.frombuffer(b" " + text + b" ", np.uint8)]
-    raw = raw[np.concatenate([[True], (raw[1:] != 0x20) | (raw[:-1] != 0x20)])].astype(np.uint32)
-    code = (raw[:-2] << np.uint32(16)) | (raw[1:-1] << np.uint32(8)) | raw[2:]
-    return (code * np.uint32(0x9E3779B1)) >> np.uint32(32 - size)
+    """Counts of the buckets of the text's windows of three bytes."""
+    raw = np.frombuffer(b" " + text.translate(_KEEP) + b" ", np.uint8).astype(np.int64)
+    code = (raw[:-2] << 16) | (raw[1:-1] << 8) | raw[2:]
+    code *= 0x9E3779B1
+    code >>= 7
+    code &= (1 << size) - 1
+    return np.bincount(code, minlength=1 << size)
 
 
-def lower(text):
-    """Lower case of the whole text, as bytes."""
-    return text.decode("utf-8", "replace").lower()
+def has_letter(text):
+    """Whether any character is a letter, of any script."""
+    return bool(text) and LETTER.search(text.decode("utf-8", "replace")) is not None
 
 
 def fit(docs, size=15, smoothing=0.5):
@@ -53,7 +53,7 @@ def fit(docs, size=15, smoothing=0.5):
         total = {}
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                counts = np.bincount(grams(lower(text).encode(), size), minlength=1 << size)
+                counts = grams(text, size)
                 total[lang] = total[lang] + counts if lang in total else counts
         for lang, counts in total.items():
             used = np.flatnonzero(counts)
@@ -89,10 +89,17 @@ def selected(counts, probability, penalty=1.0):
 
     Starts with all languages and drops the one with the least share as long as
     -2 log-likelihood + penalty * log(n) * (languages) becomes smaller.
+
+    The likelihood is concave in the shares, so its slope at the best single language
+    bounds what any mixture can gain; a bound below the penalty ends the search there.
     """
-    active = np.arange(probability.shape[1])
+    n, active = counts.sum(), np.arange(probability.shape[1])
+    unit = penalty * np.log(max(2.0, n))
+    best = int(np.argmax(counts @ np.log(probability)))
+    slope = (counts / probability[:, best]) @ probability - n
+    if 2 * slope.max() <= unit:
+        return (active == best).astype(float)
     share, fitness = mixture(counts, probability, np.full(len(active), 1 / len(active)))
-    unit = penalty * np.log(max(2.0, counts.sum()))
     while len(active) > 1:
         stays = np.delete(np.arange(len(active)), np.argmin(share))
         start = share[stays] / share[stays].sum() if share[stays].sum() > 0 else np.full(len(stays), 1 / len(stays))
@@ -118,10 +125,9 @@ def identify(docs, model, size=15, penalty=1.0):
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
 
     def judge(text):
-        plain = lower(text) if text else ""
-        if not languages or not LETTER.search(plain):
+        if not languages or not has_letter(text):
             return "und", 0.0, [], []
-        counts = np.bincount(grams(plain.encode(), size))
+        counts = grams(text, size)
         used = np.flatnonzero(counts)
         share = selected(counts[used].astype(float), shared.value[used], penalty)
         order = [i for i in np.argsort(-share, kind="stable") if share[i] > 0]

@@ -32,12 +32,15 @@ def shingle_sets(texts, width):
 
     A text with fewer words is one shingle; without words the set is empty.
     """
-    hashes, bounds = X.word_hashes(texts, lower=True)
-    rolling = X.Rolling(hashes)
+    words = X.Words(texts)
+    rolling = X.Rolling(words.hashes(lower=True))
     windows = rolling.windows(width)
-    for start, end in zip(bounds[:-1], bounds[1:]):
+    for start, end in zip(words.bounds[:-1].tolist(), words.bounds[1:].tolist()):
         if end - start >= width:
-            yield np.unique(windows[start:end - width + 1])
+            found = np.sort(windows[start:end - width + 1])
+            new = np.ones(len(found), bool)
+            np.not_equal(found[1:], found[:-1], out=new[1:])
+            yield found[new]
         elif end > start:
             yield rolling(np.array([start]), np.array([end])) + np.uint64(end - start)
         else:
@@ -59,8 +62,9 @@ class MinMax:
         x = (shingles >> np.uint64(32)).astype(np.uint32)
         low = np.full(len(self.factor), 0xFFFFFFFF, np.uint32)
         high = np.zeros(len(self.factor), np.uint32)
-        for i in range(0, len(x), 2048):
-            value = self.factor[:, None] * x[None, i:i + 2048] + self.shift[:, None]
+        for i in range(0, len(x), 256):
+            value = self.factor[:, None] * x[None, i:i + 256]
+            value += self.shift[:, None]
             np.minimum(low, value.min(axis=1), out=low)
             np.maximum(high, value.max(axis=1), out=high)
         return low, high

@@ -7,6 +7,8 @@ Each task packs its own examples, so nothing is shuffled.
 """
 
 import os
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,42 +28,91 @@ COLUMNS = (
 )
 
 
+# Closing marks that the tokenizer cuts off a word by itself.
+_MARK = np.zeros(256, bool)
+_MARK[list(b".,!?;:")] = True
+_PLAIN = np.zeros(256, bool)
+_PLAIN[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")] = True
+
+
 class WordTokenizer:
     """Token ids of texts by way of their distinct words.
 
-    Right for vocabularies whose tokens never cross ASCII white space and drop it. Each
-    distinct word of a slice is encoded once; known words are kept up to `bound`.
+    For a vocabulary of lower case whose pre-tokenizer drops white space and cuts runs of
+    letters from runs of marks. Closing marks after a letter or digit are taken as a unit
+    of their own; each distinct unit is encoded once and kept, up to `bound` units. Units
+    of Latin letters alone go straight to the merges, all others through the tokenizer.
     """
 
-    def __init__(self, path, bound=300_000):
+    def __init__(self, path, bound=800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.encoder = Tokenizer.from_file(path)
-        self.known, self.bound = {}, bound
-
-    def _encode(self, words):
-        for i in range(0, len(words), 4096):
-            part = [w.decode("utf-8", "replace") for w in words[i:i + 4096]]
-            for word, found in zip(words[i:i + 4096], self.encoder.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = np.array(found.ids, np.uint32)
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.encoder, self.bound = Tokenizer.from_file(path), bound
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = [chr(c) for c in range(256) if chr(c).isalpha()]
+        self.letters = {ord(c): level.pre_tokenize_str(c.lower())[0][0] for c in letters}
+        self._clear()
+
+    def _clear(self):
+        self.seen, self.flat, self.first = X.Seen(), np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _encode(self, units):
+        model, out, rest = self.encoder.model, [None] * len(units), []
+        for i, unit in enumerate(units):
+            text = unit.decode("utf-8", "replace")
+            if text.isalpha() and max(text) < "\u0100":
+                out[i] = [t.id for t in model.tokenize(text.translate(self.letters))]
+            else:
+                rest.append((i, text))
+        for k in range(0, len(rest), 4096):
+            part = rest[k:k + 4096]
+            texts = [t for _, t in part]
+            for (i, _), e in zip(part, self.encoder.encode_batch_fast(texts, add_special_tokens=False)):
+                out[i] = e.ids
+        return out
+
+    def _units(self, words):
+        """Starts and ends of all units, and how many units each word has."""
+        ends, buffer = words.ends.copy(), words.buffer
+        for _ in range(4):
+            ends -= _MARK[buffer[ends - 1]] & (ends - 1 > words.starts)
+        cut = (ends < words.ends) & _PLAIN[buffer[ends - 1]]
+        ends = np.where(cut, ends, words.ends)
+        count = 1 + cut
+        at = np.cumsum(count) - count
+        start, end = np.empty(count.sum(), np.int64), np.empty(count.sum(), np.int64)
+        start[at], end[at] = words.starts, ends
+        start[at[cut] + 1], end[at[cut] + 1] = ends[cut], words.ends[cut]
+        return start, end, count
 
     def __call__(self, texts):
         """Ids of all texts in one array, and the bounds of each text."""
-        words, bounds = X.split_words(texts)
-        if not words:
+        words = X.Words(texts)
+        if not len(words):
             return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
-        vocabulary, place = X.index_words(words)
-        if len(self.known) > self.bound:
-            self.known.clear()
-        self._encode([w for w in vocabulary if w not in self.known])
-        found = [self.known[w] for w in vocabulary]
+        if len(self.first) > self.bound:
+            self._clear()
+        start, end, count = self._units(words)
+        keys, one, place = np.unique(
+            words.spans(start, end), return_index=True, return_inverse=True)
+        rows, new = self.seen.places(keys)
+        found = self._encode([words.raw[start[i]:end[i]] for i in one[new].tolist()])
         size = np.fromiter(map(len, found), np.int64, len(found))
-        flat, first = np.concatenate(found), np.concatenate([[0], np.cumsum(size)[:-1]])
-        count = size[place]
-        ends = np.cumsum(count)
-        ids = flat[np.repeat(first[place] - (ends - count), count) + np.arange(ends[-1])]
-        return ids, np.concatenate([[0], ends])[bounds]
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.uint32, size.sum())])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(size)])
+        rows = rows[place]
+        first, size = self.first[rows], self.first[rows + 1] - self.first[rows]
+        ends = np.cumsum(size)
+        ids = self.flat[np.repeat(first - (ends - size), size) + np.arange(ends[-1])]
+        units = np.concatenate([[0], np.cumsum(count)])[words.bounds]
+        return ids, np.concatenate([[0], ends])[units]
+
+
+@cache
+def tokenizer(path):
+    """The tokenizer of this worker process; its known units serve the next task too."""
+    return WordTokenizer(path)
 
 
 class Packer:
@@ -164,7 +215,7 @@ def pack(docs, tokenizer_path, capacity=4096, max_segments=256, max_loss=4096, e
         (F.coalesce(F.col(loss_start), F.lit(0)) if loss_start else F.lit(0)).cast("long").alias("loss"))
 
     def work(batches):
-        encode, packer = WordTokenizer(tokenizer_path), Packer(capacity, max_segments, max_loss, pool)
+        encode, packer = tokenizer(tokenizer_path), Packer(capacity, max_segments, max_loss, pool)
         first, made = TaskContext.get().partitionId() << 33, 0
         for batch in X.slices(batches):
             ids, bounds = encode(batch.column("text").to_pylist())

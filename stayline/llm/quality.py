@@ -70,8 +70,8 @@ def ngram_counts(docs, trusted, size=16):
     def work(batches):
         total = np.zeros((2, 1 << size), np.int64)
         for batch in X.slices(batches):
-            hashes, bounds = X.word_hashes(batch.column("text").to_pylist(), lower=True)
-            found, text = buckets(hashes, bounds, size)
+            words = X.Words(batch.column("text").to_pylist())
+            found, text = buckets(words.hashes(lower=True), words.bounds, size)
             flag = batch.column("trusted").to_numpy(zero_copy_only=False)
             total[0] += np.bincount(found, minlength=1 << size)
             total[1] += np.bincount(found[flag[text]], minlength=1 << size)
@@ -99,21 +99,21 @@ def measured(docs, ratios, size=16):
     def work(batches):
         for batch in X.slices(batches):
             texts = [t or b"" for t in batch.column("text").to_pylist()]
-            words, bounds = X.split_words(texts)
-            vocabulary, place = X.index_words(words)
-            exact = X.hash_all(vocabulary)[place]
-            lower = X.hash_all([w.lower() for w in vocabulary])[place]
-            found, text = buckets(lower, bounds, size)
+            words = X.Words(texts)
+            bounds = words.bounds
+            found, text = buckets(words.hashes(lower=True), bounds, size)
             n = len(texts)
             grams = np.bincount(text, minlength=n)
             ratio = np.bincount(text, weights=ratios[found], minlength=n) / np.maximum(grams, 1)
-            raw = [np.frombuffer(t, np.uint8) for t in texts]
+            first = np.cumsum([0, *[len(t) + 1 for t in texts]])[:-1] + 1
+            sums = [np.concatenate([[0], np.cumsum(x[words.buffer])]) for x in (_CHARS, _SYMBOLS)]
+            last = first + [len(t) for t in texts]
             yield X.batch_of(
                 RULES, doc_id=batch.column("doc_id"), n_words=np.diff(bounds),
-                word_chars=[int(_CHARS[r].sum()) for r in raw],
-                n_symbols=[int(_SYMBOLS[r].sum()) for r in raw],
+                word_chars=sums[0][last] - sums[0][first],
+                n_symbols=sums[1][last] - sums[1][first],
                 n_dup_lines=[repeated_lines(t) for t in texts],
-                n_repeat_words=words_in_repeats(exact, bounds), ratio=ratio)
+                n_repeat_words=words_in_repeats(words.hashes(), bounds), ratio=ratio)
 
     return source.mapInArrow(work, COLUMNS)
 

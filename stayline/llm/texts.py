@@ -1,23 +1,19 @@
 """Words, windows and hashes of many texts at once, as numpy arrays inside a task.
 
-Texts arrive as UTF-8 bytes. `bytes.split()` cuts at exactly the bytes 0x20 and
-0x09-0x0D and `bytes.lower()` changes A-Z only, so both follow the definition of a word
-that all operators here share: `[^\\x20\\x09-\\x0D]+`.
+Texts arrive as UTF-8 bytes. A word is `[^\\x20\\x09-\\x0D]+`, and lower case changes A-Z
+only.
 """
 
-from itertools import chain
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 
 #: Odd multiplier of the rolling window hash, and its inverse modulo 2^64.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
 
-def slices(batches, column="text", limit=2 << 20):
+def slices(batches, column="text", limit=1 << 20):
     """Record batches cut so that each piece has about `limit` bytes of text.
 
     One row is never cut, however long its text is.
@@ -32,36 +28,64 @@ def slices(batches, column="text", limit=2 << 20):
             start = end
 
 
-def split_words(texts, lower=False):
-    """All words of the texts in one list, and where each text's words begin and end."""
-    if lower:
-        parts = [t.lower().split() if t else [] for t in texts]
-    else:
-        parts = [t.split() if t else [] for t in texts]
-    bounds = np.zeros(len(parts) + 1, np.int64)
-    np.cumsum([len(p) for p in parts], out=bounds[1:])
-    return list(chain.from_iterable(parts)), bounds
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+
+
+class Words:
+    """All words of some texts: where they lie in one byte buffer, and their hashes.
+
+    Word i is `buffer[starts[i]:ends[i]]`; text k has the words `bounds[k]` to
+    `bounds[k + 1]`.
+    """
+
+    def __init__(self, texts):
+        texts = [t or b"" for t in texts]
+        self.raw = b" ".join([b"", *texts, b""])
+        self.buffer = np.frombuffer(self.raw, np.uint8)
+        space = _SPACE[self.buffer]
+        edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+        self.starts, self.ends = edges[::2], edges[1::2]
+        begin = np.ones(len(texts) + 1, np.int64)
+        np.cumsum([len(t) + 1 for t in texts], out=begin[1:])
+        begin[1:] += 1
+        self.bounds = np.searchsorted(self.starts, begin)
+
+    def __len__(self):
+        return len(self.starts)
+
+    def hashes(self, lower=False):
+        """64-bit hash of every word's bytes, A-Z as a-z if `lower`."""
+        return self.spans(self.starts, self.ends, lower)
 
+    def spans(self, starts, ends, lower=False):
+        """64-bit hashes of ranges of the buffer."""
+        return Rolling((_LOWER if lower else _BYTES)[self.buffer])(starts, ends)
 
-def index_words(words):
-    """Distinct words in order of appearance, and for each word its place among them."""
-    vocabulary = list(dict.fromkeys(words))
-    place = dict(zip(vocabulary, range(len(vocabulary))))
-    return vocabulary, np.fromiter(map(place.__getitem__, words), np.int32, len(words))
+    def word(self, i):
+        return self.raw[self.starts[i]:self.ends[i]]
 
+    def texts(self):
+        """The text that each word belongs to."""
+        return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
 
-def hash_all(values, seed=0):
-    """64-bit hash of each of the byte strings."""
-    if seed:
-        return np.fromiter((xxhash.xxh3_64_intdigest(v, seed) for v in values), np.uint64, len(values))
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, values), np.uint64, len(values))
 
+class Seen:
+    """Rows of the hashes met so far; what was computed once for a word is found again."""
 
-def word_hashes(texts, lower=False):
-    """64-bit hash of every word of the texts, and the bounds of each text."""
-    words, bounds = split_words(texts, lower)
-    vocabulary, place = index_words(words)
-    return hash_all(vocabulary)[place] if words else np.zeros(0, np.uint64), bounds
+    def __init__(self):
+        self.rows = {}
+
+    def places(self, keys):
+        """Row of each (distinct) key, and which keys are new; these get the next rows."""
+        get = self.rows.get
+        keys = keys.tolist()
+        found = np.array([get(k, -1) for k in keys], np.int64)
+        new = np.flatnonzero(found < 0)
+        for row, i in enumerate(new.tolist(), len(self.rows)):
+            self.rows[keys[i]] = row
+        found[new] = np.arange(len(self.rows) - len(new), len(self.rows))
+        return found, new
 
 
 def mixed(x):
@@ -73,11 +97,28 @@ def mixed(x):
     return x ^ (x >> np.uint64(31))
 
 
+# Random value of each byte, and the same with A-Z as a-z.
+_BYTES = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 64, 256, np.uint64)
+_LOWER = _BYTES.copy()
+_LOWER[0x41:0x5B] = _BYTES[0x61:0x7B]
+
+
+
+def byte_values(raw):
+    """Random 64-bit value of each byte."""
+    return _BYTES[raw]
+
+
+_POWERS = {}
+
+
 def powers(base, n):
-    out = np.full(n, base, np.uint64)
-    if n:
+    """The first n powers of `base`; the longest array asked for so far is kept."""
+    if len(_POWERS.get(base, ())) < n:
+        out = np.full(max(n, 1 << 16), base, np.uint64)
         out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+        _POWERS[base] = np.cumprod(out, dtype=np.uint64)
+    return _POWERS[base][:n]
 
 
 class Rolling:
@@ -89,7 +130,7 @@ class Rolling:
     def __init__(self, values):
         n = len(values)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(values.astype(np.uint64) * powers(INVERSE, n), dtype=np.uint64, out=self.sums[1:])
+        np.cumsum(values.astype(np.uint64, copy=False) * powers(INVERSE, n), dtype=np.uint64, out=self.sums[1:])
         self.lift = powers(BASE, n + 1)
 
     def __call__(self, start, end):
