@@ -2,6 +2,7 @@
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from stayline.llm import texts as X
 from stayline.llm.repeats import Repeats
@@ -161,4 +162,4 @@ def remove_repeats(docs, width=35, gram=5):
                 out["kept"].append(b" ".join(w for a, b in zip(edges[::2], edges[1::2]) for w in words[a:b]))
             yield X.batch_of(RESULT, **out)
 
-    return repeats.find(docs).select("doc_id", "text", "spans").mapInArrow(work, COLUMNS)
+    return repeats.find(docs).select(F.col("own.doc_id").cast("long").alias("doc_id"), "text", "spans").mapInArrow(work, COLUMNS)

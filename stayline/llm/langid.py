@@ -112,17 +112,10 @@ def selected(counts, probability, penalty=1.0):
     return out
 
 
-def identify(docs, model, size=15, penalty=1.0):
-    """Language of every document: doc_id, lang_pred, score, languages, shares.
-
-    `languages` is the selected set by falling share, `lang_pred` its first (ties: the
-    first by name), `score` its share from 0 to 1. `und` with score 0 if the text is null or has no letter, or if nothing
-    was learned. Rows are judged one by one by their text alone, so repeated rows give
-    repeated results; an empty table gives none; other columns are ignored.
-    """
+def _judge(spark, model, size, penalty):
+    """Function of a text in bytes: language, score, selected languages and their shares."""
     languages, probability = model
-    shared = docs.sparkSession.sparkContext.broadcast(probability)
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    shared = spark.sparkContext.broadcast(probability)
 
     def judge(text):
         if not languages or not has_letter(text):
@@ -133,6 +126,36 @@ def identify(docs, model, size=15, penalty=1.0):
         order = [i for i in np.argsort(-share, kind="stable") if share[i] > 0]
         return languages[order[0]], float(min(1.0, share[order[0]])), [languages[i] for i in order], share[order].tolist()
 
+    return judge
+
+
+def known_language(docs, model, least=0.5, size=15, penalty=1.0):
+    """The rows of `docs` with a language whose share is at least `least`, as they are.
+
+    The decisions of `identify`, taken where a row is read: it rejects texts without a
+    letter and mixtures in which no language has that share.
+    """
+    judge = _judge(docs.sparkSession, model, size, penalty)
+
+    def work(batches):
+        for batch in batches:
+            found = (judge(t and t.encode()) for t in batch.column("text").to_pylist())
+            yield batch.filter(pa.array([lang != "und" and score >= least for lang, score, *_ in found], pa.bool_()))
+
+    return docs.mapInArrow(work, docs.schema)
+
+
+def identify(docs, model, size=15, penalty=1.0):
+    """Language of every document: doc_id, lang_pred, score, languages, shares.
+
+    `languages` is the selected set by falling share, `lang_pred` its first (ties: the
+    first by name), `score` its share from 0 to 1. `und` with score 0 if the text is null or has no letter, or if nothing
+    was learned. Rows are judged one by one by their text alone, so repeated rows give
+    repeated results; an empty table gives none; other columns are ignored.
+    """
+    judge = _judge(docs.sparkSession, model, size, penalty)
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+
     def work(batches):
         for batch in X.slices(batches):
             rows = [judge(t) for t in batch.column("text").to_pylist()]

@@ -205,3 +205,16 @@ def near_duplicates(docs, width=5, percent=75, bands=64, rows=4):
     return signed.join(
         named, (F.col("set_hash") == F.col("set2")) & (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(),
         "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs, **options):
+    """The rows of `docs` whose document is the least of its group, as they are.
+
+    Rows with a null doc_id stay. Of rows that repeat a doc_id and its text one stays.
+    """
+    found = near_duplicates(docs, **options)
+    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    again = kept.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
+    repeated = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(repeated.select(docs.columns))

@@ -3,7 +3,9 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from stayline.llm import chat, langid, packing, quality
+from stayline.llm import (
+    chat, decontam, fmindex, hmm, langid, licenses, minhash, packing, quality, suffixarray,
+)
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -61,6 +63,33 @@ def op2_packing(spark, folder):
         "sequence_id", "offset")
 
 
+def op3_license_scans(spark, folder):
+    found = licenses.scan(table(spark, folder, "documents"))
+    return found.withColumn("text", F.col("text").cast("string"))
+
+
+def op4_minhash_near_dedup(spark, folder):
+    found = minhash.near_duplicates(table(spark, folder, "documents"))
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+def op5_benchmark_decontamination(spark, folder):
+    return decontam.contaminated(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op6_substring_dedup(spark, folder):
+    found = fmindex.remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op7_suffix_array_dedup(spark, folder):
+    found = suffixarray.remove_repeats(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_language_id(spark, folder):
     docs = table(spark, folder, "documents")
     held = langid.held_out(F.col("doc_id"), 3, 1)
@@ -76,5 +105,16 @@ def op9_quality_rules(spark, folder):
         "base_failed", "kept", "ratio")
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_formatting, op2_packing, op8_language_id, op9_quality_rules)}
+def op10_lm_scoring(spark, folder):
+    found = hmm.language_model(
+        table(spark, folder, "documents"), langid.held_out(F.col("doc_id"), 10, 0))
+    return found.select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_chat_formatting, op2_packing, op3_license_scans, op4_minhash_near_dedup,
+    op5_benchmark_decontamination, op6_substring_dedup, op7_suffix_array_dedup, op8_language_id,
+    op9_quality_rules, op10_lm_scoring,
+)}
 ORACLE = {"op1_chat_formatting": OP1_SQL}

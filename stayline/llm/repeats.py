@@ -80,13 +80,14 @@ class Repeats:
         self.shard_bytes, self.shard_classes = shard_bytes, shard_classes
 
     def find(self, docs):
-        """`row` (a hash of id and text), doc_id, text, and `spans` of symbols to remove.
+        """`own` (all columns of the row), text in bytes, and `spans` of symbols to remove.
 
         spans is null where nothing repeats, else an array of (start, end).
         """
         spark = docs.sparkSession
         rows = docs.select(
-            F.xxhash64("doc_id", "text").alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+            F.xxhash64("doc_id", "text").alias("row"),
+            F.struct(*[f"`{c}`" for c in docs.columns if c != "text"]).alias("own"),
             F.col("text").cast("binary").alias("text"))
 
         def stored(df, name):
@@ -112,7 +113,7 @@ class Repeats:
         for more in spans[1:]:
             whole = whole.unionByName(more)
         found = whole.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
-        return rows.join(found, "row", "left")
+        return rows.join(found, "row", "left").select("own", "text", "spans")
 
     def _spots(self, rows):
         def work(batches):

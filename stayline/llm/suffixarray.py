@@ -102,6 +102,13 @@ def _symbols(texts):
     return X.byte_values(raw), bounds
 
 
+def byte_repeats(width, gram):
+    return Repeats(
+        width, gram, _symbols, lambda text, ranges: [text[a:b] for a, b in ranges],
+        lambda piece: X.byte_values(np.frombuffer(piece, np.uint8)),
+        lambda pieces, counts: repeated_starts(pieces, counts, width))
+
+
 def remove_repeats(docs, width=400, gram=32):
     """Texts without the bytes of any `width`-byte string that starts at two places.
 
@@ -116,10 +123,7 @@ def remove_repeats(docs, width=400, gram=32):
     each other; a null id stays null; an empty table gives no rows; columns beside
     doc_id and text are ignored.
     """
-    repeats = Repeats(
-        width, gram, _symbols, lambda text, ranges: [text[a:b] for a, b in ranges],
-        lambda piece: X.byte_values(np.frombuffer(piece, np.uint8)),
-        lambda pieces, counts: repeated_starts(pieces, counts, width))
+    repeats = byte_repeats(width, gram)
 
     def work(batches):
         for batch in X.slices(batches):
@@ -136,7 +140,7 @@ def remove_repeats(docs, width=400, gram=32):
                 out["kept"].append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])))
             yield X.batch_of(RESULT, **out)
 
-    return repeats.find(docs).select("doc_id", "text", "spans").mapInArrow(work, COLUMNS)
+    return repeats.find(docs).select(F.col("own.doc_id").cast("long").alias("doc_id"), "text", "spans").mapInArrow(work, COLUMNS)
 
 
 def joined(spans):
@@ -149,3 +153,35 @@ def joined(spans):
             out.append([s["start"], s["end"]])
     return out
 
+
+def _whole_characters(text, start, end):
+    """The span without a character that it holds only in part."""
+    while start < end and text[start] & 0xC0 == 0x80:
+        start += 1
+    while start < end < len(text) and text[end] & 0xC0 == 0x80:
+        end -= 1
+    return start, end
+
+
+def without_repeats(docs, width=400, gram=32):
+    """The rows of `docs` with the removed bytes taken out of the text; n_chars follows it.
+
+    A character that a span holds only in part stays, so that texts stay valid. A text
+    of which nothing is left becomes empty; a null text stays null.
+    """
+    def work(batches):
+        for batch in batches:
+            out = []
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+                if text is not None:
+                    edges = [0, *[x for span in joined(spans) for x in _whole_characters(text, *span)], len(text)]
+                    text = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])).decode("utf-8", "replace")
+                out.append(text)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("own"), pa.array(out, pa.string())], ["own", "text"])
+
+    found = byte_repeats(width, gram).find(docs)
+    own = found.schema["own"].dataType.simpleString()
+    left = found.mapInArrow(work, f"own {own}, text string")
+    changed = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return left.select(*[changed.get(c, F.col(f"own.`{c}`")).alias(c) for c in docs.columns])
