@@ -4,7 +4,8 @@ Each permutation of the shingle hashes gives two signature values, the minimum a
 maximum, so a signature costs half the hash evaluations. Values go into bands; documents
 that agree on a band are candidates. Within a bucket every document is first compared
 with two representatives; only buckets that still hold several components compare
-documents of different components.
+documents of different components, and of these only such that share enough shingles
+with documents of other components at all.
 """
 
 import numpy as np
@@ -106,6 +107,14 @@ def _size_fits(a, b, percent):
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
+def alike(a, b, percent):
+    """Whether two sorted shingle sets reach the similarity; empty sets never do."""
+    if not len(a) or not len(b):
+        return False
+    common = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
+    return 100 * common >= percent * (len(a) + len(b) - common)
+
+
 def confirmed(pairs, docs, width, percent, chunk=256):
     """The pairs (a, b) whose full sets reach the similarity.
 
@@ -130,17 +139,99 @@ def confirmed(pairs, docs, width, percent, chunk=256):
             for (own, partner, other), s in zip(keys, sets):
                 if not partner:
                     first, of = s, own
-                elif of == own and len(first) and len(s):
-                    place = np.minimum(np.searchsorted(first, s), len(first) - 1)
-                    common = int((first[place] == s).sum())
-                    if 100 * common >= percent * (len(first) + len(s) - common):
-                        a.append(own)
-                        b.append(other)
+                elif of == own and alike(first, s, percent):
+                    a.append(own)
+                    b.append(other)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return rows.mapInArrow(work, "a long, b long")
 
 
+def shared_elsewhere(rows, texts, width, per_range=400_000):
+    """rep, common: how many of its shingles documents of another label hold as well.
+
+    `rows` has rep, n and label. Shingles meet by ranges of their hashes, as one array
+    for each document and range; a range has about `per_range` shingles.
+    """
+    ranges = 1 + (rows.agg(F.sum("n")).first()[0] or 0) // per_range
+    held = rows.select("rep", "label").join(texts, F.col("rep") == F.col("doc_id")).select(
+        "rep", "label", F.col("text").cast("binary").alias("text"))
+    cuts = np.array([(i << 64) // ranges for i in range(1, ranges)], np.uint64)
+    parts = pa.schema([("range", pa.int64()), ("rep", pa.int64()), ("label", pa.int64()), ("set", pa.binary())])
+    counts = pa.schema([("rep", pa.int64()), ("common", pa.int64())])
+
+    def cut(batches):
+        for batch in X.slices(batches):
+            out = []
+            sets = shingle_sets(batch.column("text").to_pylist(), width)
+            for rep, label, s in zip(batch.column("rep").to_pylist(), batch.column("label").to_pylist(), sets):
+                pieces = np.split(s, np.searchsorted(s, cuts))
+                out += [(i, rep, label, p.tobytes()) for i, p in enumerate(pieces) if len(p)]
+            if out:
+                yield X.batch_of(parts, **dict(zip(parts.names, zip(*out))))
+
+    def count(table):
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("set").to_pylist()]
+        size = [len(s) for s in sets]
+        label = np.repeat(table.column("label").to_numpy(), size)
+        row = np.repeat(np.arange(len(sets)), size)
+        shingle = np.concatenate(sets)
+        order = np.lexsort((label, shingle))
+        shingle, label, row = shingle[order], label[order], row[order]
+        first = np.flatnonzero(np.append(True, shingle[1:] != shingle[:-1]))
+        last = np.append(first[1:], len(shingle)) - 1
+        several = np.repeat(label[first] != label[last], last - first + 1)
+        common = np.bincount(row[several], minlength=len(sets))
+        return pa.Table.from_batches([X.batch_of(counts, rep=table.column("rep").to_numpy(), common=common)], counts)
+
+    return held.mapInArrow(cut, "range long, rep long, label long, set binary").groupBy("range").applyInArrow(
+        count, "rep long, common long").groupBy("rep").agg(F.sum("common").alias("common"))
+
+
+def compared(rows, texts, width, percent, block=256):
+    """Links between documents of different labels that share a bucket.
+
+    `rows` has key (of a bucket), rep, n, label and common. Documents connected by
+    buckets are dealt into blocks of about `block`; every two blocks meet in one task,
+    which compares those of their documents that share a bucket and can be alike.
+    """
+    low = rows.groupBy("key").agg(F.min("rep").alias("a"))
+    cluster = components(rows.join(low, "key").select("a", F.col("rep").alias("b")))
+    members = rows.groupBy("rep", "n", "label", "common").agg(F.collect_set("key").alias("keys")).join(
+        cluster.select(F.col("id").alias("rep"), F.col("label").alias("cluster")), "rep")
+    size = members.groupBy("cluster").agg(F.ceil(F.count("*") / block).alias("blocks"))
+    dealt = members.join(size, "cluster").withColumn("own", F.pmod(F.xxhash64("rep"), "blocks")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    dealt = dealt.join(texts, F.col("rep") == F.col("doc_id")).select(
+        "cluster", "i", "j", "own", "rep", "n", "label", "common", "keys", F.col("text").cast("binary").alias("text"))
+    result = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def compare(table):
+        own, rep, n, label, common = (
+            table.column(c).to_numpy() for c in ("own", "rep", "n", "label", "common"))
+        within = table.column("i")[0] == table.column("j")[0]
+        order = np.argsort(own, kind="stable")
+        half = len(own) if within else int((own == own.min()).sum())
+        if not within and half == len(own):
+            return result.empty_table()
+        x, y = np.triu_indices(len(own), 1) if within else (
+            part.ravel() for part in np.meshgrid(order[:half], order[half:], indexing="ij"))
+        low, high = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
+        fits = (label[x] != label[y]) & (low * 100 >= high * percent) & (
+            np.minimum(common[x], common[y]) * (100 + percent) >= (low + high) * percent)
+        sets = list(shingle_sets(table.column("text").to_pylist(), width))
+        keys = [set(k) for k in table.column("keys").to_pylist()]
+        a, b = [], []
+        for i, j in zip(x[fits].tolist(), y[fits].tolist()):
+            if not keys[i].isdisjoint(keys[j]) and alike(sets[i], sets[j], percent):
+                a.append(rep[i])
+                b.append(rep[j])
+        return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=result)
+
+    return dealt.groupBy("cluster", "i", "j").applyInArrow(compare, "a long, b long")
+
+
 def near_duplicates(docs, width=5, percent=75, bands=64, rows=4):
     """doc_id, n_shingles and component_id (the least doc_id reachable) of every row.
 
@@ -191,14 +282,13 @@ def near_duplicates(docs, width=5, percent=75, bands=64, rows=4):
     several = open_.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).where(
         "l <> h").select("key")
     open_ = stored(open_.join(several, "key", "left_semi"), "open")
-    left, right = open_.alias("x"), open_.alias("y")
-    rest = left.join(right, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label"))).where(
-        _size_fits(F.col("x.n"), F.col("y.n"), percent)
-    ).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    for first, second in (("a", "b"), ("b", "a")):
-        rest = rest.join(
-            tried.select(F.col("a").alias(first), F.col("b").alias(second)), ["a", "b"], "left_anti")
-    links = links.unionByName(confirmed(stored(rest, "rest"), texts, width, percent))
+    for turn in range(3):
+        # No partner under another label can have more than `common` shingles in common;
+        # documents that go take their shingles with them, so it pays to look again.
+        common = shared_elsewhere(open_.select("rep", "n", "label").distinct(), texts, width)
+        open_ = stored(open_.drop("common").join(common, "rep").where(
+            F.col("common") * 100 >= F.col("n") * percent), f"open{turn}")
+    links = links.unionByName(compared(open_, texts, width, percent))
     label = components(links).withColumnRenamed("id", "id2")
     named = groups.join(label, F.col("rep") == F.col("id2"), "left").select(
         F.col("set_hash").alias("set2"), F.coalesce("label", "rep").alias("component_id"))
