@@ -8,6 +8,7 @@ p(text) = p(classes of its tokens | states) * product of p(word | its class).
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
@@ -36,24 +37,38 @@ SEQUENCE_COLUMNS = (
 UNIT = 4096
 
 
-def encoded(docs, held):
+def encoded(docs, held, words=2_000_000):
     """One row for each block of documents: its distinct words, their training counts, and
     every document as places in that word list."""
     source = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held, F.lit(False)).alias("held"),
         F.col("text").cast("binary").alias("text"))
 
+    def rows(batches):
+        """(ids, held, hashes of all words, words of each) of about `words` words at a time."""
+        ids, held, hashes, size = [], [], [], []
+        for batch in X.slices(batches):
+            found = X.Words(batch.column("text").to_pylist())
+            ids += batch.column("doc_id").to_pylist()
+            held += batch.column("held").to_pylist()
+            hashes.append(found.hashes(lower=True))
+            size.append(np.diff(found.bounds))
+            if sum(map(len, hashes)) > words:
+                yield ids, held, np.concatenate(hashes), np.concatenate(size)
+                ids, held, hashes, size = [], [], [], []
+        if ids:
+            yield ids, held, np.concatenate(hashes), np.concatenate(size)
+
     def work(batches):
         block = TaskContext.get().partitionId() << 33
-        for batch in X.slices(batches, limit=4 << 20):
-            words = X.Words(batch.column("text").to_pylist())
-            hashes, place = np.unique(words.hashes(lower=True), return_inverse=True)
-            held = batch.column("held").to_numpy(zero_copy_only=False)
-            seen = np.bincount(place[~held[words.texts()]], minlength=len(hashes))
+        for ids, held, found, size in rows(batches):
+            hashes, place = np.unique(found, return_inverse=True)
+            trained = ~np.repeat(np.array(held, bool), size)
             yield X.batch_of(
                 BLOCKS, block=[block], hashes=[hashes.view(np.int64)],
-                seen=[seen.astype(np.int32)], doc_ids=[batch.column("doc_id").to_pylist()],
-                held=[held], bounds=[words.bounds], ids=[place.astype("<i4").tobytes()])
+                seen=[np.bincount(place[trained], minlength=len(hashes)).astype(np.int32)],
+                doc_ids=[ids], held=[held], bounds=[np.concatenate([[0], np.cumsum(size)])],
+                ids=[place.astype("<i4").tobytes()])
             block += 1
 
     return source.mapInArrow(work, BLOCK_COLUMNS)
@@ -120,14 +135,14 @@ def sequences(blocks, counts, ends, lexicon):
                 n = len(bounds) - 1
                 text = np.repeat(np.arange(n), np.diff(bounds))
                 total = lambda x: np.bincount(text, weights=x[ids], minlength=n)
-                kinds = kind[ids].astype("<i4")
+                kinds = kind[ids].astype("<i2")
                 yield X.batch_of(
                     SEQUENCES, doc_id=batch.column("doc_ids")[i].values,
                     held_out=batch.column("held")[i].values, n_tokens=np.diff(bounds) + 1,
                     n_known=total((count > 0).astype(float)).astype(np.int64) + int(ends > 0),
                     base_score=total(lexicon.base(count)) + lexicon.base(ends),
                     within=total(lexicon.within(count, kind, own)),
-                    classes=[np.append(kinds[a:b], np.int32(0)).astype("<i4").tobytes()
+                    classes=[np.append(kinds[a:b], np.int16(0)).astype("<i2").tobytes()
                              for a, b in zip(bounds[:-1], bounds[1:])])
 
     return rows.mapInArrow(work, SEQUENCE_COLUMNS)
@@ -187,10 +202,19 @@ class Chains:
         return gamma[:self.active[0]].sum(axis=0), moves * move, emitted
 
 
-def batched(batches, tokens=300_000):
-    """Rows of (batch, class sequences) with at most about `tokens` tokens."""
-    for batch in X.slices(batches, column="classes", limit=4 * tokens):
-        yield batch, [np.frombuffer(x, "<i4") for x in batch.column("classes").to_pylist()]
+def batched(batches, tokens=400_000):
+    """Rows of (batch, class sequences) of like length, about `tokens` tokens at a time.
+
+    Sequences of like length keep a step of the recursion wide to its end.
+    """
+    for batch in batches:
+        size = pc.binary_length(batch.column("classes")).to_numpy() // 2
+        order = np.argsort(-size, kind="stable")
+        part = np.cumsum(size[order], dtype=np.int64) // tokens
+        for rows in np.split(order, np.flatnonzero(np.diff(part)) + 1):
+            if len(rows):
+                own = batch.take(pa.array(rows))
+                yield own, [np.frombuffer(x, "<i2") for x in own.column("classes").to_pylist()]
 
 
 def train(rows, lexicon, states=8, rounds=4, seed=7):
@@ -253,6 +277,8 @@ def language_model(docs, held, states=8, rounds=4, head=1024, buckets=1024):
     0 and the model stays at its start; an empty table gives an empty result. Columns
     beside doc_id and text are ignored.
     """
+    if head + buckets > 32_000:
+        raise ValueError("classes are stored in 16 bits")
     spark = docs.sparkSession
 
     def stored(df, name):
