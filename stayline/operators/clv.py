@@ -37,16 +37,20 @@ def value_prefix(clv):
 
 
 def clv_percentile(clv):
-    """Add the percentage of customers with a strictly smaller value.
+    """Add the percentage of customers with a strictly smaller value; null for a null value.
 
     Distinct values are ranked, then joined back by value. Many customers share the value
     0, so frequent values are spread over several tasks.
     """
     prefix = value_prefix(clv)
-    total = prefix.agg(F.sum("n")).scalar()
+    # Nulls come first in the order; they have no percentile and count for none.
+    unknown = F.coalesce(F.sum(F.when(F.col("predicted_clv").isNull(), F.col("n"))), F.lit(0))
+    sizes = prefix.agg(F.struct(F.sum("n").alias("all"), unknown.alias("unknown"))).scalar()
+    below = F.col("n_cum") - F.col("n") - sizes["unknown"]
+    share = F.try_divide(below, sizes["all"] - sizes["unknown"]) * 100
     ranks = prefix.select(
         "predicted_clv", "n",
-        ((F.col("n_cum") - F.col("n")) / total * 100).alias("clv_percentile"),
+        F.when(F.col("predicted_clv").isNotNull(), share).alias("clv_percentile"),
     )
     return join_by_value(clv, ranks, "predicted_clv", key=S.ID)
 

@@ -93,8 +93,8 @@ def ks_two_sample(counts, method="limit", exact_limit=EXACT_LIMIT):
     """Largest distance of the two distribution functions, with its p-value.
 
     "limit" is the limit distribution as a native expression. "exact" counts lattice
-    paths for samples of at most `exact_limit` values and uses the limit above; the
-    statistic is the same.
+    paths and fails on samples of more than `exact_limit` values; "auto" takes the exact
+    value up to that limit and the limit distribution above. The statistic is the same.
     """
     placed = counts.join(F.broadcast(_feature_sizes(counts)), "feature")
     gap = F.abs(
@@ -102,16 +102,19 @@ def ks_two_sample(counts, method="limit", exact_limit=EXACT_LIMIT):
     )
     found = placed.groupBy("feature", "n_ref", "n_cur").agg(F.max(gap).alias("ks_statistic"))
     limit = kolmogorov_p(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur"))
-    if method == "exact":
+    if method in ("exact", "auto"):
         small = F.greatest("n_ref", "n_cur") <= exact_limit
         exact = kolmogorov_p_exact(
             F.when(small, F.col("ks_statistic")), F.col("n_ref"), F.col("n_cur")
         )
-        p = F.when(small, exact).otherwise(limit)
+        beyond = limit if method == "auto" else F.raise_error(
+            F.lit(f"exact p-value asked for more than {exact_limit} values")
+        ).cast("double")
+        p = F.when(small, exact).otherwise(beyond)
     elif method == "limit":
         p = limit
     else:
-        raise ValueError("method is 'limit' or 'exact'")
+        raise ValueError("method is 'limit', 'exact' or 'auto'")
     return found.withColumn("ks_pvalue", p)
 
 

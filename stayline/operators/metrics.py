@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from stayline.operators.prefix import global_rank, prefix_counts
+from stayline.operators.prefix import global_rank, join_null_safe, prefix_counts
 
 
 def _ones(condition):
@@ -70,8 +70,7 @@ def _with_totals(prefix, by):
         return prefix.withColumn("_both", both).select(
             "*", F.col("_both._p").alias("_p"), F.col("_both._n").alias("_n")
         ).drop("_both")
-    # One row per group.
-    return prefix.join(F.broadcast(totals), list(by))
+    return join_null_safe(prefix, totals, list(by))
 
 
 def roc_auc(df, by=(), prefix=None):
@@ -141,8 +140,7 @@ def ranked_scores(df, key, by=()):
         F.count(F.lit(1)).alias("_size"), F.sum("label").alias("_positives")
     )
     if by:
-        # One row per group.
-        return ranked.join(F.broadcast(sizes), list(by))
+        return join_null_safe(ranked, sizes, list(by))
     both = sizes.select(F.struct("_size", "_positives")).scalar()
     return ranked.withColumn("_both", both).select("*", "_both.*").drop("_both")
 
@@ -260,7 +258,7 @@ def evaluate(df, by=(), threshold=0.5):
         return base.withColumns(
             {"roc_auc": areas[0].scalar(), "pr_auc": areas[1].scalar()}
         )
-    return reduce(lambda a, b: a.join(b, list(by), "left"), areas, base)
+    return reduce(lambda a, b: join_null_safe(a, b, list(by), "left"), areas, base)
 
 
 def best_model(df, model="model"):

@@ -87,14 +87,13 @@ def append_history(history, new, n=100):
 def perf_trend(history):
     """Metrics in time order with the change since the previous point.
 
-    Unreadable timestamps become null and sort last. The input is a retained history,
-    at most a hundred rows.
+    Unreadable timestamps become null and sort last. All points of the history count;
+    a history has one row per evaluation.
     """
     at = F.try_to_timestamp("timestamp", F.lit(S.TIMESTAMP_PATTERN))
     window = Window.partitionBy(F.lit(0)).orderBy(F.asc_nulls_last("at"), "timestamp")
     return (
-        keep_last(history, [F.desc("timestamp")], 100)
-        .withColumn("at", at)
+        history.withColumn("at", at)
         .select(
             "timestamp", "at", *COMPARED,
             *[(F.col(m) - F.lag(m).over(window)).alias(f"{m}_change") for m in COMPARED],

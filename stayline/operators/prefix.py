@@ -7,6 +7,8 @@ ranged rows are written to the checkpoint folder, so a lost executor cannot chan
 a range number between the two passes.
 """
 
+from functools import reduce
+
 from pyspark.sql import Window, functions as F
 
 from stayline.session import checkpointed
@@ -14,6 +16,17 @@ from stayline.session import checkpointed
 RANGE = "_range"
 
 
+def join_null_safe(left, right, by, how="inner"):
+    """Join on the columns `by`, a null key meeting a null key; `left` keeps its own keys."""
+    renamed = right.select(
+        *[F.col(f"`{c}`").alias(f"_right_{c}") if c in by else F.col(f"`{c}`") for c in right.columns]
+    )
+    same = reduce(
+        lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.col(f"`_right_{c}`")) for c in by]
+    )
+    return left.join(renamed, same, how).drop(*[f"_right_{c}" for c in by])
+
+
 def ranged(df, order, by=()):
     """Rows spread by (by, order), with the number of the range each one landed in."""
     spread = df.repartitionByRange(*[F.col(c) for c in by], *order)
@@ -37,7 +50,7 @@ def _with_offsets(rows, order, by, measures):
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     running = rows.select("*", *[F.sum(m).over(inside).alias(f"{m}_cum") for m in measures])
-    joined = running.join(offsets, [*by, RANGE])
+    joined = join_null_safe(running, offsets, [*by, RANGE])
     return joined.withColumns(
         {f"{m}_cum": F.col(f"{m}_cum") + F.col(f"_{m}") for m in measures}
     ).drop(RANGE, *[f"_{m}" for m in measures])
@@ -69,8 +82,7 @@ def quantiles_from_prefix(prefix, value, probs, by=(), n="n"):
     """
     by = list(by)
     sizes = prefix.groupBy(*by).agg(F.sum(n).alias("_size"))
-    # One row per key.
-    sized = prefix.join(F.broadcast(sizes), by) if by else prefix.withColumn(
+    sized = join_null_safe(prefix, sizes, by) if by else prefix.withColumn(
         "_size", sizes.scalar()
     )
     ends = []
@@ -110,8 +122,8 @@ def join_by_value(df, per_value, value, n="n", key=None, hot_share=0.001):
     spread = per_value.select(
         "*", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part")
     ).drop(n)
-    marked = df.join(F.broadcast(hot), value, "left").withColumn(
+    marked = join_null_safe(df, F.broadcast(hot), [value], "left").withColumn(
         "_part",
         F.pmod(F.xxhash64(*([key] if key else df.columns)), F.coalesce("_parts", F.lit(1))).cast("int"),
     )
-    return marked.drop("_parts").join(spread, [value, "_part"]).drop("_part")
+    return join_null_safe(marked.drop("_parts"), spread, [value, "_part"]).drop("_part")

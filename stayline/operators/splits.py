@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import Window, functions as F
 
 from stayline import schema as S
-from stayline.operators.prefix import global_rank
+from stayline.operators.prefix import global_rank, join_null_safe
 
 
 def hash_number(*parts, buckets=10000):
@@ -36,9 +36,8 @@ def stratified_split(
         )
         n_test = F.round(F.col("_size") * test)
         n_validation = F.round((F.col("_size") - n_test) * validation)
-        # One row per label.
         return (
-            ranked.join(F.broadcast(sizes), label)
+            join_null_safe(ranked, sizes, [label])
             .withColumn(
                 "split",
                 F.when(F.col("_rank") <= n_test, "test")

@@ -70,7 +70,7 @@ def latest_scores(spark, folder):
 
 def _event_files(spark, folder):
     path = scratch_path(spark, "events")
-    derived.events(spark, folder).select("value").repartition(4).write.text(path)
+    derived.events(spark, folder).select("value").write.text(path)
     return path
 
 

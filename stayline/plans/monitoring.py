@@ -108,7 +108,7 @@ def ks_two_sample(spark, folder):
     "SELECT feature, n_ref, n_cur, ks_statistic FROM ks", ["ks_statistic"], _DRIFT))
 def ks_exact(spark, folder):
     counts = drift.value_counts(*_sides(spark, folder), NUMBERS)
-    return tidy(drift.ks_two_sample(counts, method="exact").drop("ks_pvalue"))
+    return tidy(drift.ks_two_sample(counts, method="auto").drop("ks_pvalue"))
 
 
 def _data_drift(spark, folder):

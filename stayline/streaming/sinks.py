@@ -109,15 +109,20 @@ def split_sink(scores_folder, rejects_folder, score=None, threshold=0.5):
     return write
 
 
-def run_available(stream, write, checkpoint, timeout=600):
-    """Process what is there now, then stop; the query's own failure is raised."""
+def run_available(stream, write, checkpoint, timeout=None):
+    """Process what is there now, then stop; the query's own failure is raised.
+
+    `timeout` is a limit in seconds that the caller may set.
+    """
     query = (
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
-    if not query.awaitTermination(timeout):
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"stream still running after {timeout} s")
     return query
