@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 
-TABLES = ["customer", "orders", "events"]
+TABLES = ["customer", "orders", "events", "conversations"]
 ORACLE = entry_point.oracle_sql()
 
 # One query per area by default; ALL_QUERIES=1 compares every one of them.
