@@ -74,7 +74,7 @@ class Repeats:
     occur in another place of the given pieces.
     """
 
-    def __init__(self, width, gram, symbols, cut, restore, index, shard_bytes=4 << 20, shard_classes=6000):
+    def __init__(self, width, gram, symbols, cut, restore, index, shard_bytes=2 << 20, shard_classes=3000):
         self.width, self.gram = width, gram
         self.symbols, self.cut, self.restore, self.index = symbols, cut, restore, index
         self.shard_bytes, self.shard_classes = shard_bytes, shard_classes

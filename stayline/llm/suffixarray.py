@@ -23,22 +23,25 @@ def suffix_array(key, depth):
 
     `key` orders the suffixes by their first `depth` symbols. Each round sorts only the
     groups that are still tied, by the rank of the suffix `depth` symbols further on, and
-    doubles the depth, until no tie is left.
+    doubles the depth, until no tie is left. Places are 32-bit numbers: a shard has far
+    fewer than 2^31 symbols.
     """
     n = len(key)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key, kind="stable").astype(np.int32)
     key = key[order]
     new = np.concatenate([[True], key[1:] != key[:-1]])
+    del key
     while True:
-        head = np.flatnonzero(new)
-        rank = np.empty(n + 1, np.int64)
+        head = np.flatnonzero(new).astype(np.int32)
+        rank = np.empty(n + 1, np.int32)
         rank[n] = -1
         rank[order] = np.repeat(head, np.diff(np.append(head, n)))
         tied = np.flatnonzero(~new | np.append(~new[1:], False))
         if not len(tied):
             return order
         suffix = order[tied]
-        pair = rank[suffix] * (n + 1) + rank[np.minimum(suffix + depth, n)] + 1
+        pair = rank[suffix].astype(np.int64) * (n + 1)
+        pair += rank[np.minimum(suffix.astype(np.int64) + depth, n)]
         by = np.argsort(pair, kind="stable")
         order[tied] = suffix[by]
         pair = pair[by]
@@ -54,14 +57,14 @@ def common_prefixes(symbols, order):
     the suffix before; only the other suffixes are compared symbol by symbol.
     """
     n = len(order)
-    before = np.empty(n, np.int64)
+    before = np.empty(n, np.int32)
     before[order[0]] = -1
     before[order[1:]] = order[:-1]
-    place = np.arange(n)
+    place = np.arange(n, dtype=np.int32)
     fresh = (before <= 0) | (place == 0)
     fresh[1:] |= symbols[:n - 1] != symbols[before[1:] - 1]
-    at = np.flatnonzero(fresh)
-    length = np.zeros(len(at), np.int64)
+    at = np.flatnonzero(fresh).astype(np.int32)
+    length = np.zeros(len(at), np.int32)
     live = np.flatnonzero(before[at] >= 0)
     while len(live):
         a, b = at[live] + length[live], before[at[live]] + length[live]
@@ -70,8 +73,8 @@ def common_prefixes(symbols, order):
         same = symbols[a[inside]] == symbols[b[inside]]
         live = live[same]
         length[live] += 1
-    last = np.cumsum(fresh) - 1
-    return length[last] - (place - at[last])
+    last = np.cumsum(fresh, dtype=np.int32) - 1
+    return (length + at)[last] - place
 
 
 def _eights(raw):
