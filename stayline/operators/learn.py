@@ -94,13 +94,14 @@ def scores(model, rows, name="model"):
 def calibrated_scores(rows, to_score, folds=5, seed=42, max_iter=MAX_ITER):
     """Average of the isotonic curves of the folds.
 
-    Each fold trains on the others and fits its curve on itself.
+    Each fold trains on the others, balanced among themselves, and fits its curve on
+    itself. Folds are stratified.
     """
-    folded = kfold(with_balance(rows), folds, seed=seed).cache()
+    folded = kfold(rows, folds, seed=seed, label="label").cache()
     out = to_score.withColumn("_sum", F.lit(0.0))
     try:
         for i in range(folds):
-            train = folded.where(F.col("fold") != i)
+            train = with_balance(folded.where(F.col("fold") != i))
             model = baseline(train, max_iter=max_iter).fit(train)
             held = model.transform(folded.where(F.col("fold") == i)).select(
                 F.col("label").cast("double"), vector_to_array("probability")[1].alias("raw")
@@ -139,8 +140,8 @@ def random_grid(estimator, space, trials=TRIALS, seed=42):
 
 
 def tune(estimator, rows, space, trials=TRIALS, folds=None, seed=42, parallelism=4):
-    """Search for the highest area under the curve; folds use the hash column."""
-    weighted = kfold(with_balance(rows), folds or 5, seed=seed).cache()
+    """Search for the highest area under the curve; folds are stratified."""
+    weighted = kfold(with_balance(rows), folds or 5, seed=seed, label="label").cache()
     common = {
         "estimator": estimator,
         "estimatorParamMaps": random_grid(estimator, space, trials, seed),

@@ -90,17 +90,12 @@ def numeric_summary(df, columns=None):
 def cardinality(df, columns=None, limit=50):
     """Distinct non-null values of the text columns that have at most `limit`.
 
-    A first pass estimates all columns without a shuffle and drops those that lie far above
-    the limit, ids above all; only the others are counted exactly.
+    All columns are counted exactly; repeated values are dropped before the shuffle.
     """
     columns = columns or text_columns(df)
     if not columns:
         return df.sparkSession.createDataFrame([], "feature string, n_unique bigint")
-    rough = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    small = [c for c in columns if rough[c] <= 2 * limit + 10]
-    if not small:
-        return df.sparkSession.createDataFrame([], "feature string, n_unique bigint")
-    long = unpivot_text(df, small).where("value IS NOT NULL").distinct()
+    long = unpivot_text(df, columns).where("value IS NOT NULL").distinct()
     return (
         long.groupBy("feature")
         .agg(F.count(F.lit(1)).alias("n_unique"))

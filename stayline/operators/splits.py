@@ -55,8 +55,16 @@ def stratified_split(
     )
 
 
-def kfold(df, k=5, key=S.ID, seed=42):
-    """Add `fold` 0..k-1 from a seeded hash."""
+def kfold(df, k=5, key=S.ID, seed=42, label=None):
+    """Add `fold` 0..k-1 from a seeded hash.
+
+    With `label` the folds are stratified: keys are ranked by hash within each label and
+    dealt in turn, so the rows of a label differ by at most one between folds.
+    """
+    if label:
+        digest = F.md5(F.concat_ws("|", F.col(key), F.lit(str(seed))))
+        ranked = global_rank(df.withColumn("_digest", digest), [F.col("_digest"), F.col(key)], [label], "_rank")
+        return ranked.withColumn("fold", ((F.col("_rank") - 1) % k).cast("int")).drop("_digest", "_rank")
     return df.withColumn("fold", (hash_number(F.col(key), F.lit(str(seed))) % k).cast("int"))
 
 

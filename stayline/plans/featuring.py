@@ -219,6 +219,15 @@ def kfold_balance(spark, folder):
     return tidy(splits.fold_balance(splits.kfold(derived.customers(spark, folder))))
 
 
+@query("kfold_stratified", sql(
+    """SELECT "customerID", "Churn", CAST((r - 1) % 5 AS INT) AS fold FROM (
+         SELECT "customerID", "Churn", row_number() OVER (PARTITION BY "Churn"
+           ORDER BY md5(concat("customerID", '|42')), "customerID") AS r FROM customers)"""))
+def kfold_stratified(spark, folder):
+    rows = derived.customers(spark, folder).select(S.ID, S.TARGET)
+    return splits.kfold(rows, label=S.TARGET)
+
+
 @query("class_weights", sql(
     """SELECT "Churn" AS label, count(*) AS n,
        (SELECT count(*) FROM customers) / (2 * count(*)) AS weight FROM customers GROUP BY 1""",

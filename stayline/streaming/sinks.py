@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from stayline import schema as S
+from stayline.session import checkpointed
 from stayline.streaming.events import event_rejects, normalize_events, score_events
 
 STATE_FIELDS = ["churn_probability", "churn_prediction", "event_timestamp"]
@@ -17,9 +18,12 @@ def latest_scores(scored, as_of=None, ttl_seconds=TTL_SECONDS, order=("ts", "eve
     customer does not land on one task as rows.
     """
     at = order[0]
-    now = scored.agg(F.max(at)).scalar() if as_of is None else F.lit(as_of)
-    fresh = scored.where(F.col(at) > now - F.expr(f"INTERVAL {ttl_seconds} SECONDS"))
-    return newest_per_customer(fresh, order)
+    newest = newest_per_customer(scored, order)
+    if as_of is None:
+        # These rows hold the newest event of all; written once, so events are parsed once.
+        newest = checkpointed(newest)
+    now = newest.agg(F.max(at)).scalar() if as_of is None else F.lit(as_of)
+    return newest.where(F.col(at) > now - F.expr(f"INTERVAL {ttl_seconds} SECONDS"))
 
 
 def newest_per_customer(scored, order=("ts", "event_id")):
@@ -37,7 +41,7 @@ def _fs(spark, path):
 
 
 def _complete(spark, folder, kind):
-    """Numbers of the written parts of one kind that carry Spark's success marker."""
+    """Names of the written parts of one kind that carry Spark's success marker."""
     fs, root = _fs(spark, folder)
     if not fs.exists(root):
         return []
@@ -46,45 +50,65 @@ def _complete(spark, folder, kind):
         name = status.getPath().getName()
         marker = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
         if name.startswith(f"{kind}=") and fs.exists(marker):
-            found.append(int(name.split("=")[1]))
+            found.append(name)
     return sorted(found)
 
 
-def upsert_batch(folder, order=("ts", "event_id")):
+def upsert_batch(folder, order=("ts", "event_id"), run="0"):
     """foreachBatch function: write the newest row per customer of the batch.
 
     What is written grows with the batch, not with the table. A replayed batch overwrites
-    its own part, so nothing is counted twice.
+    its own part, so nothing is counted twice. Batch numbers start again with a new
+    checkpoint, so `run` names the checkpoint: the same one after a restart from it,
+    another one for a new checkpoint.
     """
 
     def write(batch, batch_id):
         newest_per_customer(batch, order).write.mode("overwrite").parquet(
-            f"{folder}/batch={batch_id}"
+            f"{folder}/batch={run}-{batch_id}"
         )
 
     return write
 
 
-def read_upserted(spark, folder, order=("ts", "event_id")):
-    """One row per customer: the newest over the last compacted part and later batches."""
+def _last_base(spark, folder):
+    """Name of the last compacted part and the set of the parts that it covers."""
     bases = _complete(spark, folder, "base")
-    since = bases[-1] if bases else -1
-    paths = [f"{folder}/batch={n}" for n in _complete(spark, folder, "batch") if n > since]
-    if bases:
-        paths.append(f"{folder}/base={since}")
-    if not paths:
+    covers = set(_complete(spark, folder, "covers"))
+    usable = [b for b in bases if b.replace("base", "covers") in covers]
+    if not usable:
+        return None, set()
+    last = max(usable, key=lambda b: int(b.split("=")[1]))
+    path = f"{folder}/{last.replace('base', 'covers')}"
+    # One name for each micro-batch.
+    return last, {r.part for r in spark.read.parquet(path).collect()}
+
+
+def read_upserted(spark, folder, order=("ts", "event_id")):
+    """One row per customer: the newest over the last compacted part and the batches that
+    it does not cover."""
+    base, covered = _last_base(spark, folder)
+    parts = [p for p in _complete(spark, folder, "batch") if p not in covered]
+    if base:
+        parts.append(base)
+    if not parts:
         return None
-    return newest_per_customer(spark.read.parquet(*paths), order)
+    return newest_per_customer(spark.read.parquet(*[f"{folder}/{p}" for p in parts]), order)
 
 
 def compact(spark, folder, order=("ts", "event_id")):
-    """Write all batches so far as one part, so that readers merge less."""
+    """Write all batches so far as one part, so that readers merge less.
+
+    The names of the batches in it are written after it; a part without them is not read.
+    Run it while no batch is written.
+    """
+    base, covered = _last_base(spark, folder)
     batches = _complete(spark, folder, "batch")
-    bases = _complete(spark, folder, "base")
-    if batches and batches[-1] > (bases[-1] if bases else -1):
-        read_upserted(spark, folder, order).write.mode("overwrite").parquet(
-            f"{folder}/base={batches[-1]}"
-        )
+    if set(batches) - covered:
+        number = int(base.split("=")[1]) + 1 if base else 0
+        read_upserted(spark, folder, order).write.mode("overwrite").parquet(f"{folder}/base={number}")
+        spark.createDataFrame([(b,) for b in batches], "part string").write.mode("overwrite").parquet(
+            f"{folder}/covers={number}")
 
 
 def split_sink(scores_folder, rejects_folder, score=None, threshold=0.5):

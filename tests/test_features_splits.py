@@ -7,6 +7,15 @@ from stayline.functions import features as X
 from stayline.operators import features, splits
 
 
+def test_stratified_folds_share_rare_labels(spark):
+    rows = [(f"k{i}", "Yes" if i < 8 else "No" if i < 40 else None) for i in range(47)]
+    folded = splits.kfold(spark.createDataFrame(rows, "id string, label string"), 5, "id", label="label")
+    assert folded.count() == 47
+    for label in ("Yes", "No", None):
+        n = [folded.where(F.col("label").eqNullSafe(label) & (F.col("fold") == i)).count() for i in range(5)]
+        assert max(n) - min(n) <= 1
+
+
 def test_tenure_buckets(spark):
     df = spark.createDataFrame([(x,) for x in [0, 5, 12, 13, 30, 50, 70, 73, 101, None]], "t int")
     got = [r.b for r in df.select("t", X.tenure_bucket(F.col("t")).alias("b")).collect()]

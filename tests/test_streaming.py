@@ -95,6 +95,13 @@ def test_upsert_is_idempotent_and_survives_compaction(spark, tmp_path):
     assert read() == expected
     write(batch(("b", 0.7, 2), ("a", 0.0, 1)), 2)
     assert read() == {"a": 0.3, "b": 0.7, "c": 0.9}
+    # A new checkpoint numbers its batches from 0 again.
+    again = sinks.upsert_batch(table, order, run="1")
+    again(batch(("d", 0.4, 1), ("c", 0.2, 2)), 0)
+    expected = {"a": 0.3, "b": 0.7, "c": 0.2, "d": 0.4}
+    assert read() == expected
+    sinks.compact(spark, table, order)
+    assert read() == expected
 
 
 def test_latest_scores_expire(spark):
