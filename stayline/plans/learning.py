@@ -68,7 +68,7 @@ def rf_importance(spark, folder):
 def train_mlp(spark, folder):
     train, test, names = _parts(spark, folder)
     # The perceptron knows no weights, so the smaller class is repeated instead.
-    even = splits.oversample(train, [], method="duplicate").drop("synthetic")
+    even = checkpointed(splits.oversample(train, [], method="duplicate").drop("synthetic"))
     model = learn.perceptron(len(names)).fit(even)
     return _evaluated(learn.scores(model, test, "perceptron"))
 
