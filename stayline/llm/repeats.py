@@ -96,14 +96,16 @@ class Repeats:
             return spark.read.parquet(path)
 
         spots = stored(self._spots(rows), "segments")
-        shared = spots.groupBy("anchor").count().where("count > 1").select("anchor")
+        # Written tables on both sides of a join let adaptive execution split a frequent anchor.
+        shared = stored(spots.groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
         spots = stored(spots.join(shared, "anchor", "left_semi"), "shared")
         classes = stored(spots.groupBy("anchor", "content").agg(
             F.count("*").alias("n"), F.min(F.struct("row", "start", "count")).alias("one")), "classes")
         copies = classes.where("n > 1").select("anchor", "content")
         spans = [spots.join(copies, ["anchor", "content"], "left_semi").select(
             "row", "start", (F.col("start") + F.col("count") + self.width - 1).alias("end"))]
-        several = classes.groupBy("anchor").agg(F.count("*").alias("classes")).where("classes > 1")
+        several = stored(
+            classes.groupBy("anchor").agg(F.count("*").alias("classes")).where("classes > 1"), "several")
         differing = classes.join(several, "anchor").select("one.*", "n", "anchor", "content", "classes")
         pieces = stored(self._pieces(differing, rows), "pieces")
         total, most = pieces.agg(F.sum(F.octet_length("piece")), F.max("classes")).first()
@@ -198,10 +200,11 @@ class Repeats:
     def _digests(self, table, ranges):
         own = np.unique(np.concatenate([self._windows(p) for p in table.column("piece").to_pylist()]))
         cut = np.searchsorted(own, np.array([(i << 64) // ranges for i in range(1, ranges)], np.uint64))
-        parts = np.split(own, cut)
+        parts = [(i, p.tobytes()) for i, p in enumerate(np.split(own, cut)) if len(p)]
         shard = table.column("shard")[0].as_py()
         return pa.Table.from_batches([X.batch_of(
-            DIGESTS, shard=[shard] * ranges, range=range(ranges), digests=[p.tobytes() for p in parts])], DIGESTS)
+            DIGESTS, shard=[shard] * len(parts), range=[i for i, _ in parts],
+            digests=[p for _, p in parts])], DIGESTS)
 
     def _elsewhere(self, table, hits):
         if not table.num_rows or not hits.num_rows:
