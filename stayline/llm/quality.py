@@ -10,11 +10,11 @@ from stayline.session import scratch_path
 RULES = pa.schema([
     ("doc_id", pa.int64()), ("n_words", pa.int64()), ("word_chars", pa.int64()),
     ("n_symbols", pa.int64()), ("n_dup_lines", pa.int64()), ("n_repeat_words", pa.int64()),
-    ("ratio", pa.float64()),
+    ("ratio", pa.float64()), ("apart", pa.float64()),
 ])
 COLUMNS = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long,"
-    " n_repeat_words long, ratio double"
+    " n_repeat_words long, ratio double, apart double"
 )
 
 # Code points that a byte begins, unless it is white space; and the symbols.
@@ -56,45 +56,62 @@ def words_in_repeats(hashes, bounds, width=3):
     return np.bincount(text[X.covered(start, start + width, n)], minlength=len(bounds) - 1)
 
 
-def ngram_counts(docs, trusted, size=16):
-    """Counts of hashed words and word pairs: bucket, raw, target.
+def fold_of(text, folds):
+    """Fold of a text: copies share one, so that none is scored with the counts of another."""
+    return F.pmod(F.xxhash64(text), F.lit(folds)).cast("int")
+
+
+def ngram_counts(docs, trusted, size=16, folds=8):
+    """Counts of hashed words and word pairs: bucket, raw, and target_k of each fold k.
 
     `trusted` has the doc_id of the trusted documents (nulls and repeats don't matter).
     Every document counts as raw corpus.
     """
     ids = trusted.select(F.col("doc_id").alias("trusted_id")).where("trusted_id is not null").distinct()
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(
+    text = F.col("text").cast("binary")
+    rows = docs.select("doc_id", text.alias("text"), fold_of(text, folds).alias("fold")).join(
         ids, F.col("doc_id") == F.col("trusted_id"), "left"
-    ).select("text", F.col("trusted_id").isNotNull().alias("trusted"))
+    ).select("text", F.when(F.col("trusted_id").isNotNull(), F.col("fold")).otherwise(folds).alias("fold"))
+    names = ["raw", *[f"target_{k}" for k in range(folds)]]
 
     def work(batches):
-        total = np.zeros((2, 1 << size), np.int64)
+        raw, target = np.zeros(1 << size, np.int64), np.zeros((folds + 1, 1 << size), np.int64)
         for batch in X.slices(batches):
             words = X.Words(batch.column("text").to_pylist())
             found, text = buckets(words.hashes(lower=True), words.bounds, size)
-            flag = batch.column("trusted").to_numpy(zero_copy_only=False)
-            total[0] += np.bincount(found, minlength=1 << size)
-            total[1] += np.bincount(found[flag[text]], minlength=1 << size)
-        used = np.flatnonzero(total[0])
+            raw += np.bincount(found, minlength=1 << size)
+            fold = batch.column("fold").to_numpy()[text]
+            some = fold < folds
+            np.add.at(target.reshape(-1), (fold[some].astype(np.int64) << size) + found[some], 1)
+        used = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (used, total[0][used], total[1][used])], ["bucket", "raw", "target"])
+            [pa.array(x) for x in (used, raw[used], *target[:folds, used])], ["bucket", *names])
+
+    counts = rows.mapInArrow(work, ", ".join(f"{x} long" for x in ["bucket", *names]))
+    return counts.groupBy("bucket").agg(*[F.sum(x).alias(x) for x in names])
 
-    counts = rows.mapInArrow(work, "bucket long, raw long, target long")
-    return counts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
+def log_ratios(counts, size=16, smoothing=1.0, folds=8):
+    """log(target probability / raw probability) of each bucket; at most 2^size rows are read.
 
-def log_ratios(counts, size=16, smoothing=1.0):
-    """log(target probability / raw probability) of each bucket; at most 2^size rows are read."""
-    raw, target = np.zeros(1 << size), np.zeros(1 << size)
+    Row k leaves the target counts of fold k out; the last row has all of them.
+    """
+    raw, target = np.zeros(1 << size), np.zeros((folds + 1, 1 << size))
     for row in counts.collect():
-        raw[row["bucket"]], target[row["bucket"]] = row["raw"], row["target"]
-    raw, target = raw + smoothing, target + smoothing
-    return np.log(target / target.sum()) - np.log(raw / raw.sum())
+        raw[row[0]], target[:folds, row[0]] = row[1], row[2:]
+    target = target.sum(axis=0) - target + smoothing
+    raw = raw + smoothing
+    return np.log(target / target.sum(axis=1, keepdims=True)) - np.log(raw / raw.sum())
 
 
 def measured(docs, ratios, size=16):
-    """Rule measures of every document, and `ratio`: the mean log ratio of its n-grams."""
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    """Rule measures of every document, and `ratio`: the mean log ratio of its n-grams.
+
+    `apart` is the same without the target counts of the document's own fold.
+    """
+    text = F.col("text").cast("binary")
+    source = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), fold_of(text, len(ratios) - 1).alias("fold"))
 
     def work(batches):
         for batch in X.slices(batches):
@@ -104,7 +121,9 @@ def measured(docs, ratios, size=16):
             found, text = buckets(words.hashes(lower=True), bounds, size)
             n = len(texts)
             grams = np.bincount(text, minlength=n)
-            ratio = np.bincount(text, weights=ratios[found], minlength=n) / np.maximum(grams, 1)
+            fold = batch.column("fold").to_numpy()[text]
+            ratio, apart = (np.bincount(text, weights=ratios[k, found], minlength=n) / np.maximum(grams, 1)
+                            for k in (-1, fold))
             first = np.cumsum([0, *[len(t) + 1 for t in texts]])[:-1] + 1
             sums = [np.concatenate([[0], np.cumsum(x[words.buffer])]) for x in (_CHARS, _SYMBOLS)]
             last = first + [len(t) for t in texts]
@@ -113,7 +132,7 @@ def measured(docs, ratios, size=16):
                 word_chars=sums[0][last] - sums[0][first],
                 n_symbols=sums[1][last] - sums[1][first],
                 n_dup_lines=[repeated_lines(t) for t in texts],
-                n_repeat_words=words_in_repeats(words.hashes(), bounds), ratio=ratio)
+                n_repeat_words=words_in_repeats(words.hashes(), bounds), ratio=ratio, apart=apart)
 
     return source.mapInArrow(work, COLUMNS)
 
@@ -133,14 +152,17 @@ def threshold(scores, lost=0.005, step=0.001):
     return None
 
 
-def likelihood_filter(docs, labels, size=16, lost=0.005, min_words=50):
+def likelihood_filter(docs, labels, size=16, lost=0.005, min_words=50, folds=8):
     """Measures of every document and whether it stays.
 
     Target: documents that `labels` (doc_id, quality, toxic) has with quality 1 and not
     toxic. Raw corpus: all of `docs`. `ratio` is log p_target - log p_raw of the hashed
     lower-cased words and word pairs of a document, divided by their number (0 without
-    any). A document stays if it passes the rules and its ratio reaches the threshold,
-    which loses at most `lost` of the trusted documents that pass the rules.
+    any). The ratio of a trusted document leaves out the target counts of its fold
+    (`folds` of them, by text), so it stands where the ratio of any other clean document
+    would. A document stays if it passes the rules and its ratio reaches the threshold:
+    the largest, so the one with most toxic documents below it, that loses at most `lost`
+    of the trusted documents that pass the rules.
 
     A null text has no words and fails the rules; a null doc_id is never trusted;
     repeated rows count and are judged each on its own; labels that contradict each
@@ -148,11 +170,15 @@ def likelihood_filter(docs, labels, size=16, lost=0.005, min_words=50):
     leaves the rules alone. Columns beside those named are ignored.
     """
     trusted = labels.where("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id").distinct()
-    ratios = log_ratios(ngram_counts(docs, trusted, size), size)
+    ratios = log_ratios(ngram_counts(docs, trusted, size, folds), size, folds=folds)
     path = scratch_path(docs.sparkSession, "quality")
     failed = F.expr(f"n_words < {min_words} or 100 * n_repeat_words > 50 * n_words")
-    measured(docs, ratios, size).withColumn("base_failed", failed).write.parquet(path)
+    ids = trusted.select(F.col("doc_id").alias("trusted_id")).where("trusted_id is not null")
+    rows = measured(docs, ratios, size).join(ids, F.col("doc_id") == F.col("trusted_id"), "left")
+    rows = rows.withColumn("trusted", F.col("trusted_id").isNotNull())
+    rows = rows.withColumn("ratio", F.when(F.col("trusted"), F.col("apart")).otherwise(F.col("ratio")))
+    rows.drop("apart", "trusted_id").withColumn("base_failed", failed).write.parquet(path)
     rows = docs.sparkSession.read.parquet(path)
-    least = threshold(rows.where("not base_failed").join(trusted, "doc_id", "left_semi"), lost)
+    least = threshold(rows.where("trusted and not base_failed"), lost)
     verdict = F.lit(True) if least is None else F.col("ratio") >= least
-    return rows.withColumn("kept", ~F.col("base_failed") & verdict)
+    return rows.drop("trusted").withColumn("kept", ~F.col("base_failed") & verdict)

@@ -70,6 +70,20 @@ def test_rule_measures_equal_brute_force(spark, folder, documents):
     assert none.count() == 0
 
 
+def test_held_out_trusted_documents_stay(spark):
+    data = "/root/testdata/sf0.01"
+    docs = queries.table(spark, data, "documents")
+    labels = {r.doc_id: (r.quality, r.toxic) for r in queries.table(spark, data, "labels").collect()}
+    held = lambda text: zlib.crc32((text or "").encode()) % 2 == 0
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    known = [(i, *labels[i]) for i in labels if not held(texts.get(i))]
+    found = quality.likelihood_filter(docs, spark.createDataFrame(known, "doc_id long, quality long, toxic long")).collect()
+    judged = [r for r in found if labels.get(r.doc_id) == (1, 0) and held(texts[r.doc_id]) and not r.base_failed]
+    assert len(judged) > 100 and sum(r.kept for r in judged) >= 0.97 * len(judged)
+    poor = [r for r in found if labels.get(r.doc_id) == (0, 0) and held(texts[r.doc_id])]
+    assert sum(r.kept for r in poor) <= 0.5 * len(poor)
+
+
 def test_base_scores_and_forward_recursion(spark, documents):
     rows = documents[:80] + [(-5, None), (-6, ""), (-6, ""), (None, "the and")]
     held = langid.held_out(F.col("doc_id"), 10, 0)
