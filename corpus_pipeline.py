@@ -19,9 +19,17 @@ def minhash_near_dedup(spark, docs, sf_dir):
     return minhash.one_of_each(docs)
 
 
+# 51 words of one byte and the white space between them: every passage of over 50 words is as wide.
+PASSAGE_WORDS, PASSAGE_BYTES = 51, 101
+
+
 def suffix_array_dedup(spark, docs, sf_dir):
-    """Texts without the byte strings that they share; documents left without text go."""
-    return suffixarray.without_repeats(docs).where("text is null or trim(text) <> ''")
+    """Texts without the passages that they share; documents left without text go.
+
+    A shared passage has over 50 words, or at least the 400 bytes of op7.
+    """
+    found = suffixarray.without_repeats(docs, PASSAGE_BYTES, min_words=PASSAGE_WORDS, min_bytes=400)
+    return found.where("text is null or trim(text) <> ''")
 
 
 def benchmark_decontamination(spark, docs, sf_dir):

@@ -166,9 +166,10 @@ def _whole_characters(text, start, end):
     return start, end
 
 
-def without_repeats(docs, width=400, gram=32):
+def without_repeats(docs, width=400, gram=32, min_words=0, min_bytes=0):
     """The rows of `docs` with the removed bytes taken out of the text; n_chars follows it.
 
+    Only runs of repeated bytes with at least `min_words` words or `min_bytes` bytes go.
     A character that a span holds only in part stays, so that texts stay valid. A text
     of which nothing is left becomes empty; a null text stays null.
     """
@@ -177,7 +178,8 @@ def without_repeats(docs, width=400, gram=32):
             out = []
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
                 if text is not None:
-                    edges = [0, *[x for span in joined(spans) for x in _whole_characters(text, *span)], len(text)]
+                    long = [(a, b) for a, b in joined(spans) if b - a >= min_bytes or len(text[a:b].split()) >= min_words]
+                    edges = [0, *[x for span in long for x in _whole_characters(text, *span)], len(text)]
                     text = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])).decode("utf-8", "replace")
                 out.append(text)
             yield pa.RecordBatch.from_arrays(
