@@ -221,10 +221,100 @@ def paragraphs(words):
     return first, text[first], np.arange(len(first)) - begin[text[first]]
 
 
-def scan(docs, sample=1500, least=0.5, confirm=0.6, sure=0.9, size=11):
-    """Licence statements of all documents, one row for each paragraph that has one.
+@cache
+def notice_index():
+    """Numbers of the templates' words, of their pairs, and which pairs each template has."""
+    notices = [(f, pairs) for f in sorted(TEMPLATES) for pairs in template_pairs()[f]]
+    every = sorted(set().union(*[pairs for _, pairs in notices]))
+    vocabulary = {w: i for i, w in enumerate(sorted({w for pair in every for w in pair}), 1)}
+    table = np.full((len(vocabulary) + 1, len(vocabulary) + 1), -1)
+    for i, (a, b) in enumerate(every):
+        table[vocabulary[a], vocabulary[b]] = i
+    return vocabulary, table, [(len(pairs), np.array([p in pairs for p in every])) for _, pairs in notices]
+
 
-    A paragraph is a line with a word. The classifier is fitted on the templates and at
+@cache
+def known_words():
+    """Vocabulary numbers of the plain words in each word this worker has met, by hash."""
+    return {}
+
+
+def plain_words(words, hashes, bound=500_000):
+    """Vocabulary numbers (0: none) of all plain words, and the word that each belongs to."""
+    vocabulary, known = notice_index()[0], known_words()
+    if len(known) > bound:
+        known.clear()
+    keys, first, place = np.unique(hashes, return_index=True, return_inverse=True)
+    found = []
+    for key, i in zip(keys.tolist(), first.tolist()):
+        if key not in known:
+            known[key] = tuple(vocabulary.get(w, 0) for w in plain(words.word(i)))
+        found.append(known[key])
+    size = np.array([len(t) for t in found])
+    flat, begin = np.array([x for t in found for x in t], np.int64), (np.cumsum(size) - size)[place]
+    n = size[place]
+    word = np.repeat(np.arange(len(place)), n)
+    return flat[begin[word] + np.arange(len(word)) - (np.cumsum(n) - n)[word]], word
+
+
+def notices(words, hashes, block, confirm):
+    """(first word, last word) of each place that holds the share `confirm` of a template's pairs.
+
+    The pairs lie in one block within twice the template's length. Of places that overlap,
+    the one with the largest share is taken (ties: the longer template, then the first).
+    """
+    _, table, templates = notice_index()
+    plain_word, word = plain_words(words, hashes)
+    pair = table[plain_word[:-1], plain_word[1:]]
+    pair[block[word[:-1]] != block[word[1:]]] = -1
+    at = np.flatnonzero(pair >= 0)
+    pair, own = pair[at], block[word[at]]
+    places = []
+    for size, member in templates:
+        some = np.flatnonzero(member[pair])
+        hit, kind, part = at[some], pair[some], own[some]
+        need, reach = int(np.ceil(confirm * size - 1e-9)), 2 * size
+        n = len(hit) - need + 1
+        if n < 1:
+            continue
+        near = (hit[need - 1:] - hit[:n] < reach) & (part[need - 1:] == part[:n])
+        for i in np.flatnonzero(near).tolist():
+            seen, last = set(), i
+            for j in range(i, min(len(hit), i + reach)):
+                if hit[j] - hit[i] >= reach or part[j] != part[i]:
+                    break
+                if kind[j] not in seen:
+                    seen.add(kind[j])
+                    last = j
+            if len(seen) >= need:
+                places.append((-len(seen) / size, -size, int(word[hit[i]]), int(word[hit[last] + 1])))
+    taken, out = np.zeros(len(words), bool), []
+    for _, _, a, b in sorted(places):
+        if not taken[a:b + 1].any():
+            taken[a:b + 1] = True
+            out.append((a, b))
+    return sorted(out)
+
+
+def spread(first, end, width, step):
+    """Ranges of at most `width` that cover each range [first, end), each `step` after the last."""
+    more = np.maximum(-(-(end - first - width) // step), 0) + 1
+    own = np.repeat(np.arange(len(first)), more)
+    start = first[own] + step * (np.arange(len(own)) - (np.cumsum(more) - more)[own])
+    return start, np.minimum(start + width, end[own])
+
+
+def scan(docs, sample=1500, least=0.5, confirm=0.6, sure=0.9, size=11, width=64):
+    """Licence statements of all documents, one row for each place that has one.
+
+    A paragraph is a line with a word; lines without a blank one between them are a block.
+    A line of at most `width` words is judged whole. Blocks of several lines or with a longer
+    line are judged in overlapping windows of `width` words too, and every place of a block,
+    across lines, that holds the share `confirm` of a template's word pairs within twice the
+    template's length is a statement whatever the classifier gives `none`; its family is the
+    confirmed one with the largest probability. A window can be `unknown` only with a word pair
+    of a template, as repeated junk has none. A statement over several lines replaces those
+    of its lines; its row has the number of its first line and the text of all its words. The classifier is fitted on the templates and at
     most `sample` paragraphs of the corpus (a bound for fitting alone); it judges every
     paragraph of every text. A family counts if its calibrated probability reaches
     `least` and the paragraph holds at least the share `confirm` of the word pairs of
@@ -252,6 +342,12 @@ def scan(docs, sample=1500, least=0.5, confirm=0.6, sure=0.9, size=11):
             return family, float(row[own.labels.index(family)]), alike
         return OTHER, float(1 - row[-1]), alike
 
+    def named(line, own):
+        row = own.probabilities((vector(line, own.size) @ own.weights)[None], np.ones(1))[0]
+        alike = {f: similarity(line, f) for f in sorted(TEMPLATES)}
+        family = max((f for f in alike if alike[f] >= confirm), key=lambda f: row[own.labels.index(f)], default=None)
+        return family and (family, float(row[own.labels.index(family)]), alike[family])
+
     def work(batches):
         own = model.value
         weights = own.weights.astype(np.float32)
@@ -268,15 +364,63 @@ def scan(docs, sample=1500, least=0.5, confirm=0.6, sure=0.9, size=11):
             grams = weights[word]
             grams[inner] += weights[pair[inner]]
             grams[again] = 0
-            count = 2 * np.add.reduceat(~again, first, dtype=np.int64) - 1
-            p = own.probabilities(np.add.reduceat(grams, first, axis=0), count)
+            end = np.append(first[1:], len(words))
+            newline = np.cumsum(words.buffer == 0x0A)[words.starts]
+            apart = np.append(True, (text[1:] != text[:-1]) | (np.diff(newline[first]) > 1))
+            line_of = np.repeat(np.arange(len(first)), end - first)
+            block = (np.cumsum(apart) - 1)[line_of]
+            head = first[apart]
+            tail = np.append(head[1:], len(words))
+            wide = np.bincount(block[first]) > 1
+            wide[block[first[end - first > width]]] = True
+            more = spread(head[wide], tail[wide], width, width // 2)
+            start, stop = np.append(first, more[0]), np.append(end, more[1])
+            edges = np.stack([start, stop], axis=1).ravel()
+            # An empty row at the end, so that the last range may end there.
+            once = np.add.reduceat(np.append(~again, False), edges, dtype=np.int64)[::2]
+            sums = np.add.reduceat(np.vstack([grams, np.zeros((1, grams.shape[1]), grams.dtype)]), edges, axis=0)[::2]
+            # The first word of a window inside a line has no pair there.
+            cut = inner[start] & ~again[start]
+            sums[cut] -= weights[pair[start[cut]]]
+            p = own.probabilities(sums, np.maximum(2 * once - 1, 1))
             ids, rows = batch.column("doc_id"), []
-            last = np.append(first[1:], len(words)) - 1
-            for i in np.flatnonzero(p[:, -1] < 1 - least).tolist():
-                line = words.raw[words.starts[first[i]]:words.ends[last[i]]]
-                family, likely, alike = judge(line, p[i], own)
-                if family != OTHER or likely >= sure:
-                    rows.append((ids[int(text[i])].as_py(), int(number[i]), family, likely, alike, line))
+
+            def spell(a, b):
+                return words.raw[words.starts[a]:words.ends[b]]
+
+            # Place (first and last word) and verdict: lines, then places of templates, then windows.
+            found = []
+            for i in np.flatnonzero(p[:len(first), -1] < 1 - least).tolist():
+                verdict = judge(spell(first[i], end[i] - 1), p[i], own)
+                if verdict[0] != OTHER or verdict[1] >= sure:
+                    found.append((int(first[i]), int(end[i]) - 1, verdict))
+            lines = {int(line_of[a]): (a, b, v) for a, b, v in found}
+            for a, b in notices(words, hashes, block, confirm):
+                i, j = int(line_of[a]), int(line_of[b])
+                inside = [lines[k] for k in range(i, j + 1) if k in lines and lines[k][2][0] != OTHER]
+                if i == j and inside and end[i] - first[i] <= width:
+                    continue
+                verdict = named(spell(a, b), own)
+                if not verdict or any(v[0] != verdict[0] and v[2] >= verdict[2] and y - x < width for x, y, v in inside):
+                    continue
+                for k in range(i, j + 1):
+                    lines.pop(k, None)
+                if i == j and end[i] - first[i] <= width:
+                    a, b = int(first[i]), int(end[i]) - 1
+                rows.append((a, b, verdict))
+            rows += lines.values()
+            used = np.zeros(len(words), bool)
+            for a, b, _ in rows:
+                used[a:b + 1] = True
+            for i in (len(first) + np.flatnonzero(p[len(first):, -1] <= 1 - sure)).tolist():
+                a, b = int(start[i]), int(stop[i]) - 1
+                if not used[a:b + 1].any():
+                    verdict = judge(spell(a, b), p[i], own)
+                    if verdict[2]:
+                        used[a:b + 1] = True
+                        rows.append((a, b, verdict))
+            rows = [(ids[int(text[line_of[a]])].as_py(), int(number[line_of[a]]), *v, spell(a, b))
+                    for a, b, v in sorted(rows)]
             if rows:
                 yield X.batch_of(RESULT, **dict(zip(RESULT.names, zip(*rows))))
 

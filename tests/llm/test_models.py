@@ -129,3 +129,16 @@ def test_licence_statements(spark, documents):
         text = bytes(r.text).decode().lower()
         assert r.family == "unknown" or "licen" in text or "reserved" in text
     assert licenses.scan(frame(spark, [])).count() == 0
+
+
+def test_licence_notices_over_lines_and_in_long_lines(spark, documents):
+    mit = licenses.TEMPLATES["mit"][2].split()
+    wrapped = "\n".join("# " + " ".join(mit[i:i + 7]) for i in range(0, len(mit), 7))
+    prose = " ".join(t.replace("\n", " ") for _, t in documents[:40]).split()
+    long = " ".join([*prose[:900], "Licensed under the Apache License, Version 2.0.", *prose[900:1800]])
+    apart = "\n\n".join(" ".join(mit[i:i + 7]) for i in range(0, len(mit), 7))
+    rows = documents[:60] + [(-1, f"First line.\n\n{wrapped}\n\nLast line."), (-2, long), (-3, apart)]
+    found = [r for r in licenses.scan(frame(spark, rows), sample=60).collect() if r.doc_id < 0 and r.family != "unknown"]
+    assert sorted((r.doc_id, r.paragraph, r.family) for r in found) == [(-2, 0, "apache"), (-1, 1, "mit")]
+    one = next(r for r in found if r.doc_id == -1)
+    assert one.similarity == 1 and bytes(one.text).endswith(b"without restriction.")
