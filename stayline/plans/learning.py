@@ -77,11 +77,10 @@ def train_mlp(spark, folder):
 def tune(spark, folder):
     train, _, _ = _parts(spark, folder)
     tuned = learn.tune(
-        LogisticRegression(weightCol="class_weight", standardization=False, maxIter=50),
+        LogisticRegression(weightCol="class_weight", standardization=False),
         train,
         {"regParam": (1e-4, 1.0), "elasticNetParam": [0.0, 0.5, 1.0]},
-        trials=6,
-        folds=3,
+        folds=5,
     )
     return tidy(learn.trial_table(spark, tuned).select("trial", "roc_auc"))
 
@@ -102,5 +101,5 @@ def score_batch(spark, folder):
 def explain_model(spark, folder):
     train, test, names = _parts(spark, folder)
     model = learn.fit_baseline(train)
-    found = explain.sampled_contributions(model, test, names, permutations=2)
+    found = explain.sampled_contributions(model, test, names)
     return tidy(explain.global_importance(found, top=20))

@@ -86,3 +86,26 @@ def test_all_rejected_is_an_error(spark, customers):
     with pytest.raises(ValueError):
         scoring.require_some_scored(scoring.score_totals(broken))
     scoring.require_some_scored(scoring.score_totals(customers))
+
+
+def test_queries_search_and_explain_with_the_defaults(monkeypatch):
+    from stayline.plans import learning
+
+    seen = {}
+
+    def record(name):
+        def call(*given, **named):
+            seen[name] = named
+            seen[name + "_iterations"] = given[0].getMaxIter() if name == "tune" else None
+            raise InterruptedError
+        return call
+
+    monkeypatch.setattr(learning, "_parts", lambda *_: (None, None, []))
+    monkeypatch.setattr(learning.learn, "fit_baseline", lambda *_: None)
+    monkeypatch.setattr(learning.learn, "tune", record("tune"))
+    monkeypatch.setattr(learning.explain, "sampled_contributions", record("explain"))
+    for query in (learning.tune, learning.explain_model):
+        with pytest.raises(InterruptedError):
+            query(None, None)
+    assert seen["tune"].get("trials", learn.TRIALS) == 20 and seen["tune"]["folds"] == 5
+    assert seen["tune_iterations"] == 100 and seen["explain"].get("permutations", 8) == 8
