@@ -4,7 +4,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from stayline.llm import (
-    chat, decontam, fmindex, hmm, langid, licenses, minhash, packing, quality, suffixarray,
+    chat, collocations, decontam, fim, fmindex, hmm, langid, licenses, minhash, packing, pii, quality,
+    suffixarray,
 )
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -112,9 +113,111 @@ def op10_lm_scoring(spark, folder):
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_pii(spark, folder):
+    found = pii.personal_data(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone",
+        F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
+
+
+def op12_fill_in_middle(spark, folder):
+    return fim.fill_in_middle(table(spark, folder, "documents"))
+
+
+OP12_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+u AS (
+  SELECT doc_id, t, n,
+         CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS u1, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS u2,
+         CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 AS u3, CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS u4
+  FROM d),
+f AS (
+  SELECT *, least(u1, u2) AS a, greatest(u1, u2) AS b,
+         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR u3 >= 90 THEN 'plain'
+              WHEN u4 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM u),
+p AS (
+  SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix FROM f)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CAST(CASE WHEN form <> 'plain' THEN a END AS BIGINT) AS prefix_chars,
+       CAST(CASE WHEN form <> 'plain' THEN b - a END AS BIGINT) AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+def op13_phrase_collocations(spark, folder):
+    found = collocations.collocations(table(spark, folder, "documents"))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score", "path_words")
+
+
+OP13_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts)),
+placed AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+grams AS (
+  SELECT lang, w[i:i + k - 1] AS g FROM placed, (SELECT unnest([1, 2, 3]) AS k) WHERE i + k - 1 <= len(w)),
+f AS (SELECT lang, g, count(*) AS c FROM grams GROUP BY lang, g),
+totals AS (SELECT lang, sum(c) AS n FROM f WHERE len(g) = 1 GROUP BY lang),
+candidates AS (SELECT lang, g, c FROM f WHERE c >= 10 AND len(g) > 1),
+cuts AS (
+  SELECT c.lang, c.g, c.c AS a, k, l.c AS l, r.c AS r,
+         (1000000::HUGEINT * c.c * c.c) // (l.c::HUGEINT * r.c) AS score
+  FROM (SELECT *, unnest(range(1, len(g))) AS k FROM candidates) c
+  JOIN f l ON l.lang = c.lang AND l.g = c.g[1:k]
+  JOIN f r ON r.lang = c.lang AND r.g = c.g[k + 1:]),
+best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, s, max(c) AS most FROM (
+    SELECT lang, c, unnest([g[1:2], g[2:3]]) AS s FROM candidates WHERE len(g) = 3) GROUP BY lang, s),
+left_over AS (
+  SELECT b.* FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.s = b.g
+  WHERE i.most IS NULL OR 100 * i.most < 50 * b.a),
+edges AS (SELECT lang, g AS e, g[1:2] AS s, g[2:3] AS t FROM candidates WHERE len(g) = 3),
+met AS (
+  SELECT lang, n FROM (SELECT lang, t AS n FROM edges GROUP BY lang, t HAVING count(*) = 1)
+  JOIN (SELECT lang, s AS n FROM edges GROUP BY lang, s HAVING count(*) = 1) USING (lang, n)),
+follows AS (
+  SELECT a.lang, a.e, b.e AS z FROM edges a JOIN met ON met.lang = a.lang AND met.n = a.t
+  JOIN edges b ON b.lang = a.lang AND b.s = a.t),
+chain AS (
+  SELECT lang, e, z, 1 AS steps FROM follows
+  UNION ALL
+  SELECT c.lang, c.e, f.z, c.steps + 1 FROM chain c JOIN follows f ON f.lang = c.lang AND f.e = c.z
+  WHERE c.steps < 2000),
+ended AS (SELECT c.* FROM chain c ANTI JOIN follows f ON f.lang = c.lang AND f.e = c.z),
+lengths AS (SELECT lang, z, max(steps) + 3 AS path_words FROM ended GROUP BY lang, z),
+members AS (
+  SELECT lang, e AS g, path_words FROM ended JOIN lengths USING (lang, z)
+  UNION ALL SELECT lang, z, path_words FROM lengths),
+ranked AS (
+  SELECT *, array_to_string(g, ' ') AS phrase,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank
+  FROM left_over)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score,
+       CAST(path_words AS BIGINT) AS path_words
+FROM ranked JOIN totals USING (lang) LEFT JOIN members USING (lang, g) WHERE rank <= 2000
+"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_formatting, op2_packing, op3_license_scans, op4_minhash_near_dedup,
     op5_benchmark_decontamination, op6_substring_dedup, op7_suffix_array_dedup, op8_language_id,
-    op9_quality_rules, op10_lm_scoring,
+    op9_quality_rules, op10_lm_scoring, op11_pii, op12_fill_in_middle, op13_phrase_collocations,
 )}
-ORACLE = {"op1_chat_formatting": OP1_SQL}
+ORACLE = {
+    "op1_chat_formatting": OP1_SQL, "op12_fill_in_middle": OP12_SQL,
+    "op13_phrase_collocations": OP13_SQL,
+}
