@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from stayline import schema as S
 from stayline.functions.features import predicted_clv
-from stayline.operators.prefix import join_by_value, prefix_counts, quantiles_from_prefix
+from stayline.operators.prefix import join_by_value, prefix_counts
+from stayline.operators.quantiles import exact_quantiles
 
 LIFETIME_MONTHS = 24
 BUDGET_RATIO = 0.15
@@ -57,9 +58,8 @@ def clv_percentile(clv):
 
 def clv_tiers(clv):
     """Add high, medium or low value by the quartiles of the predicted value."""
-    cuts = quantiles_from_prefix(
-        value_prefix(clv), "predicted_clv", {"p25": 0.25, "p75": 0.75}
-    ).select(F.struct("p25", "p75"))
+    cuts = exact_quantiles(clv, "predicted_clv", {"p25": 0.25, "p75": 0.75}).select(
+        F.struct("p25", "p75"))
     value = F.col("predicted_clv")
     return clv.withColumn("_cuts", cuts.scalar()).withColumn(
         "clv_tier",
@@ -71,7 +71,7 @@ def clv_tiers(clv):
 
 def clv_portfolio(clv):
     """Portfolio totals in one row; zeros for an empty portfolio."""
-    median = quantiles_from_prefix(value_prefix(clv), "predicted_clv", {"median_clv": 0.5})
+    median = exact_quantiles(clv, "predicted_clv", {"median_clv": 0.5})
     zero = F.lit(0.0)
     return clv.agg(
         F.coalesce(F.sum("predicted_clv"), zero).alias("total_clv"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stayline import schema as S
 from stayline.functions import features as X
-from stayline.operators.prefix import exact_quantiles
+from stayline.operators.quantiles import exact_quantiles
 from stayline.operators.profile import unpivot_numeric, unpivot_text
 
 ENGINEERED_NUMERIC = [

@@ -3,7 +3,8 @@
 from pyspark.sql import Window, functions as F
 
 from stayline.functions import rules as R
-from stayline.operators.prefix import exact_quantiles
+from stayline.operators.prefix import join_null_safe
+from stayline.operators.quantiles import exact_quantiles
 
 CHURN_FACTOR = 0.8
 LIFETIME_MONTHS = 24
@@ -18,8 +19,7 @@ def kpi_table(
     p, revenue = F.col("churn_probability"), F.col("MonthlyCharges")
     top_quarter = exact_quantiles(scored, "MonthlyCharges", {"_p75": 0.75}, by)
     if by:
-        # One row per group.
-        rows = scored.join(F.broadcast(top_quarter), by, "left")
+        rows = join_null_safe(scored, top_quarter, by, "left")
     else:
         rows = scored.withColumn("_p75", top_quarter.scalar())
 

@@ -1,4 +1,4 @@
-"""Running totals, ranks and exact quantiles in a global order.
+"""Running totals and ranks in a global order.
 
 An unpartitioned window would put every row on one task. Here rows are ranged
 over the cluster by the order itself, each range is numbered, and only the range
@@ -74,41 +74,6 @@ def global_rank(df, order, by=(), name="rank_no"):
     return _with_offsets(rows, order, by, ["_one"]).withColumnRenamed("_one_cum", name).drop("_one")
 
 
-def quantiles_from_prefix(prefix, value, probs, by=(), n="n"):
-    """Linearly interpolated quantiles of a `prefix_counts` result, one row per key.
-
-    `probs` maps output names to probabilities. The value at 0-based position r is the
-    smallest one whose running count exceeds r, so each end needs only a `min`.
-    """
-    by = list(by)
-    sizes = prefix.groupBy(*by).agg(F.sum(n).alias("_size"))
-    sized = join_null_safe(prefix, sizes, by) if by else prefix.withColumn(
-        "_size", sizes.scalar()
-    )
-    ends = []
-    for name, p in probs.items():
-        at = F.lit(float(p)) * (F.col("_size") - 1)
-        for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
-            ends.append(
-                F.min(F.when(F.col(f"{n}_cum") > rank, F.col(value))).alias(f"_{name}_{side}")
-            )
-    found = sized.groupBy(*by).agg(F.max("_size").alias("_size"), *ends)
-    out = []
-    for name, p in probs.items():
-        at = F.lit(float(p)) * (F.col("_size") - 1)
-        low, high = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
-        out.append((low + (high - low) * (at - F.floor(at))).alias(name))
-    return found.select(*by, *out)
-
-
-def exact_quantiles(df, value, probs, by=()):
-    """Exact quantiles without holding a group in one task."""
-    prefix = prefix_counts(
-        df.where(F.col(value).isNotNull()), value, {"n": F.count(F.lit(1))}, by
-    )
-    return quantiles_from_prefix(prefix, value, probs, by)
-
-
 def join_by_value(df, per_value, value, n="n", key=None, hot_share=0.001):
     """Join rows to a table with one row per distinct value, safe for frequent values.
 

@@ -5,7 +5,9 @@ from pyspark.sql import types as T
 
 from stayline import schema as S
 from stayline.functions import features as X
-from stayline.operators.prefix import prefix_counts, quantiles_from_prefix
+from stayline.operators.prefix import join_null_safe
+from stayline.operators.quantiles import bin_counts, exact_quantiles, moments, quantiles_from_bins
+from stayline.session import checkpointed
 
 
 def numeric_columns(df):
@@ -51,33 +53,17 @@ def missingness(df):
 def describe(df, columns=None, by=(), probs=None):
     """Count, mean, sample deviation, extremes and quantiles per (by, feature).
 
-    The input is read once: values are counted first, and everything else is
-    computed from the counts.
+    The first read counts bins and takes all moments; each further one divides the bins that
+    hold a quantile. Only bin counts are shuffled. Null groups are kept.
     """
     by = list(by)
     columns = columns or numeric_columns(df)
     probs = probs or {"p25": 0.25, "median": 0.5, "p75": 0.75}
     long = unpivot_numeric(df, columns, by).where("value IS NOT NULL")
     keys = [*by, "feature"]
-    prefix = prefix_counts(long, "value", {"n": F.count(F.lit(1))}, keys)
-    moments = prefix.groupBy(*keys).agg(
-        F.sum("n").alias("rows"),
-        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    # One row per key and column.
-    spread = (
-        prefix.join(F.broadcast(moments.select(*keys, "mean", "rows")), keys)
-        .groupBy(*keys)
-        .agg(
-            F.sum(F.col("n") * F.pow(F.col("value") - F.col("mean"), 2)).alias("_ss"),
-            F.first("rows").alias("_n"),
-        )
-        .select(*keys, F.sqrt(F.try_divide("_ss", F.col("_n") - 1)).alias("std"))
-    )
-    quantiles = quantiles_from_prefix(prefix, "value", probs, keys)
-    return moments.join(spread, keys).join(quantiles, keys)
+    bins = checkpointed(bin_counts(long, "value", keys))
+    quantiles = quantiles_from_bins(long, bins, "value", probs, keys)
+    return join_null_safe(moments(bins, keys), quantiles, keys)
 
 
 def numeric_summary(df, columns=None):
@@ -150,30 +136,19 @@ def with_eda_buckets(df):
 def iqr_outliers(df, columns, whisker=1.5):
     """Rows outside the quartile fences per column; the share is of all rows, nulls included."""
     long = unpivot_numeric(df, columns)
-    prefix = prefix_counts(long, "value", {"n": F.count(F.lit(1))}, ["feature"])
-    known = prefix.where("value IS NOT NULL")
-    # Nulls sort first, so positions among known values are shifted by their number.
-    nulls = prefix.where("value IS NULL").select("feature", F.col("n").alias("_nulls"))
-    known = (
-        known.join(F.broadcast(nulls), "feature", "left")
-        .withColumn("n_cum", F.col("n_cum") - F.coalesce("_nulls", F.lit(0)))
-    )
-    quartiles = quantiles_from_prefix(known, "value", {"q1": 0.25, "q3": 0.75}, ["feature"])
+    quartiles = exact_quantiles(long, "value", {"q1": 0.25, "q3": 0.75}, ["feature"])
     fences = quartiles.select(
         "feature",
         (F.col("q1") - whisker * (F.col("q3") - F.col("q1"))).alias("lower_bound"),
         (F.col("q3") + whisker * (F.col("q3") - F.col("q1"))).alias("upper_bound"),
     )
     outside = (F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound"))
+    number = F.sum(F.when(outside, 1).otherwise(0))
+    # One row per column.
     return (
-        prefix.join(F.broadcast(fences), "feature")
+        long.join(F.broadcast(fences), "feature")
         .groupBy("feature", "lower_bound", "upper_bound")
-        .agg(
-            F.sum(F.when(outside, F.col("n")).otherwise(0)).alias("outliers"),
-            (
-                F.sum(F.when(outside, F.col("n")).otherwise(0)) / F.sum("n") * 100
-            ).alias("outlier_pct"),
-        )
+        .agg(number.alias("outliers"), (number / F.count(F.lit(1)) * 100).alias("outlier_pct"))
     )
 
 
@@ -227,7 +202,7 @@ def histogram(df, columns, bins=50, by=(), density=False):
     )
     if density:
         size = binned.groupBy(*by, "feature").agg(F.sum("n").alias("_size"))
-        out = out.join(F.broadcast(size), [*by, "feature"]).withColumn(
+        out = join_null_safe(out, size, [*by, "feature"]).withColumn(
             "density", F.try_divide(F.col("n"), F.col("_size") * F.col("_width"))
         ).drop("_size")
     return out.drop("_width")

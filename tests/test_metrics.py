@@ -3,7 +3,8 @@ from collections import Counter
 import pytest
 
 from stayline.operators import metrics
-from stayline.operators.prefix import exact_quantiles, global_rank, prefix_counts
+from stayline.operators.prefix import global_rank, prefix_counts
+from stayline.operators.quantiles import exact_quantiles
 from tests.helpers import plan_text, tied_scores
 
 
