@@ -73,7 +73,7 @@ def output_parts(form, text, first, second):
 class Sink:
     """Rows collected into record batches of bounded size."""
 
-    def __init__(self, schema, rows=4096, size=8 << 20):
+    def __init__(self, schema, rows=1024, size=1 << 20):
         self.schema, self.rows, self.size = schema, rows, size
         self.held, self.bytes = [], 0
 
@@ -92,7 +92,7 @@ class Sink:
         return out
 
 
-def pieces(docs, chunk=4096, **choice):
+def pieces(docs, chunk=1024, **choice):
     """Every document as the pieces of its output: key, at, facts of the document, piece.
 
     A piece has at most `chunk` units (code points) and a mark before the first of a part.
@@ -152,6 +152,13 @@ class Parts:
         return [(self.part, self.rest)] if self.rest else []
 
 
+def rows_of(batches, rows=512):
+    """The rows of record batches as tuples, a few at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield from zip(*(c.to_pylist() for c in batch.slice(start, rows).columns))
+
+
 def assemble(batches):
     """Sorted pieces to digests of the outputs and to parts of the texts."""
     sink = Sink(PARTS)
@@ -164,18 +171,17 @@ def assemble(batches):
             sink.add((now, part, at, *facts, None, raw), len(raw))
             at += 1
 
-    for batch in batches:
-        for key, _, *rest, piece in zip(*(c.to_pylist() for c in batch.columns)):
-            if key != now:
-                if now is not None:
-                    put(reader.end())
-                    sink.add((now, 3, 0, *facts, digest.hexdigest(), b""))
-                now, facts, at = key, rest, 0
-                digest, reader = hashlib.sha256(), Parts(FORMS[rest[2]])
-            digest.update(piece)
-            put(reader.feed(piece))
-            if sink.full():
-                yield sink.batch()
+    for key, _, *rest, piece in rows_of(batches):
+        if key != now:
+            if now is not None:
+                put(reader.end())
+                sink.add((now, 3, 0, *facts, digest.hexdigest(), b""))
+            now, facts, at = key, rest, 0
+            digest, reader = hashlib.sha256(), Parts(FORMS[rest[2]])
+        digest.update(piece)
+        put(reader.feed(piece))
+        if sink.full():
+            yield sink.batch()
     if now is not None:
         put(reader.end())
         sink.add((now, 3, 0, *facts, digest.hexdigest(), b""))
@@ -186,21 +192,19 @@ def restore(batches):
     """Parts in the order of the text to digests of the rebuilt texts."""
     sink = Sink(RESULT)
     digest = hashlib.sha256()
-    for batch in batches:
-        for _, part, _, doc_id, n, form, prefix, middle, output, piece in zip(
-                *(c.to_pylist() for c in batch.columns)):
-            if part < 3:
-                digest.update(piece)
-                continue
-            sink.add((doc_id, n, FORMS[form], prefix, middle, output, digest.hexdigest()))
-            digest = hashlib.sha256()
-            if sink.full():
-                yield sink.batch()
+    for _, part, _, doc_id, n, form, prefix, middle, output, piece in rows_of(batches):
+        if part < 3:
+            digest.update(piece)
+            continue
+        sink.add((doc_id, n, FORMS[form], prefix, middle, output, digest.hexdigest()))
+        digest = hashlib.sha256()
+        if sink.full():
+            yield sink.batch()
     if sink.held:
         yield sink.batch()
 
 
-def fill_in_middle(docs, chunk=4096, **choice):
+def fill_in_middle(docs, chunk=1024, **choice):
     """Form, cuts and digests of every document's output and of the text rebuilt from it.
 
     Columns: doc_id, n (code points), form, prefix_chars, middle_chars (null if plain),
