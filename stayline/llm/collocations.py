@@ -119,6 +119,10 @@ def summed(ids, counts):
     return [x[order[first]] for x in ids], np.add.reduceat(counts[order], first)
 
 
+def batch_of_rows(rows):
+    return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows), PACKED)], schema=PACKED)
+
+
 def packed(vocabulary, ids, counts, buckets, done=False):
     """Record batches of the counts, one row for each bucket; buckets go by the whole phrase."""
     if not len(counts):
@@ -132,20 +136,25 @@ def packed(vocabulary, ids, counts, buckets, done=False):
     rows = []
     for own in np.split(order, cuts):
         used, place = np.unique(np.concatenate([x[own] for x in ids]), return_inverse=True)
-        place = place.astype("<u2" if len(used) <= 1 << 16 else "<u4")
+        place = place.astype("<u2" if len(used) <= 1 << 16 else "<u4").reshape(len(ids), -1)
+        # First words rise, and so do keys: steps and byte planes are what the shuffle compresses well.
+        place[0, 1:] = np.diff(place[0])
         most = int(counts[own].max())
         kind = "<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<i8"
-        rows.append((int(bucket[own[0]]), len(ids), done, vocabulary[used].astype("<u8").tobytes(),
-                     place.tobytes(), counts[own].astype(kind).tobytes()))
-    for start in range(0, len(rows), 64):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, type=f.type) for c, f in zip(zip(*rows[start:start + 64]), PACKED)], schema=PACKED)
+        planes = vocabulary[used].astype("<u8").view(np.uint8).reshape(-1, 8).T
+        rows.append((int(bucket[own[0]]), len(ids), done, planes.tobytes(), place.tobytes(), counts[own].astype(kind).tobytes()))
+        if len(rows) == 32:
+            yield batch_of_rows(rows)
+            rows = []
+    if rows:
+        yield batch_of_rows(rows)
 
 
 def unpacked(words, grams, counts, width):
     """Word keys, places in them and counts of one packed row."""
-    keys = np.frombuffer(words, "<u8")
-    ids = np.frombuffer(grams, "<u2" if len(keys) <= 1 << 16 else "<u4").astype(np.int64).reshape(width, -1)
+    keys = np.ascontiguousarray(np.frombuffer(words, np.uint8).reshape(8, -1).T).view("<u8").reshape(-1)
+    ids = np.frombuffer(grams, "<u2" if len(keys) <= 1 << 16 else "<u4").reshape(width, -1).astype(np.uint32)
+    ids[0] = np.cumsum(ids[0])
     n = ids.shape[1]
     kind = {1: "<u1", 2: "<u2", 8: "<i8"}[len(counts) // n]
     return keys, ids, np.frombuffer(counts, kind).astype(np.int64)
@@ -171,6 +180,7 @@ class Block:
         keys, pieces, old, longest = np.concatenate(self.keys), np.concatenate(self.pieces), self.old, self.longest
         n = len(keys)
         vocabulary, ids = np.unique(keys, return_inverse=True)
+        ids = ids.astype(np.int32)
         start = np.arange(max(0, old - longest + 1), n - longest + 1)
         edge = start[pieces[start] == pieces[start + longest - 1]]
         columns, counts = summed([ids[edge + k] for k in range(longest)], np.ones(len(edge), np.int64))
@@ -190,7 +200,7 @@ class Block:
         self.keys, self.pieces, self.size, self.old = [keys[n - kept:]], [pieces[n - kept:]], kept, kept
 
 
-def edges(docs, longest, buckets, words=2_000_000):
+def edges(docs, longest, buckets, words=1_000_000):
     """Packed counts of the edges and of the piece ends, one table a block of about `words` words."""
     source = docs.select("lang", F.col("text").cast("binary").alias("text"))
 
@@ -211,9 +221,10 @@ def merged(rows):
     """Vocabulary, places and counts of several packed rows, equal phrases summed."""
     tables = [unpacked(*row) for row in rows]
     vocabulary, place = np.unique(np.concatenate([t[0] for t in tables]), return_inverse=True)
+    place = place.astype(np.uint32)
     shift = np.cumsum([0, *[len(t[0]) for t in tables]])
     width = tables[0][1].shape[0]
-    ids = [np.concatenate([place[t[1][k] + s] for t, s in zip(tables, shift)]) for k in range(width)]
+    ids = [np.concatenate([place[s:][t[1][k]] for t, s in zip(tables, shift)]) for k in range(width)]
     return vocabulary, *summed(ids, np.concatenate([t[2] for t in tables]))
 
 
@@ -246,9 +257,9 @@ def phrase_counts(docs, longest=3, least=10, buckets=None):
     """Counts of all phrases of up to `longest` words found `least` times or more.
 
     Columns: width, words (array of word keys), a. One shuffle a level; a task holds the
-    counts of one bucket, and buckets grow with `spark.sql.shuffle.partitions`.
+    counts of one bucket, and there are two buckets for each of `spark.sql.shuffle.partitions`.
     """
-    buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     table = edges(docs, longest, buckets)
     for width in range(longest, 0, -1):
         table = flow(table, width, buckets, least)
