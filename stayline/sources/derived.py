@@ -137,7 +137,8 @@ def model_scores(spark, folder):
 def events(spark, folder):
     """Customer events as JSON text: camelCase for even ids, snake_case for odd ones.
 
-    Every fiftieth event lacks its tenure and the one after it names an unknown gender.
+    Every fiftieth event lacks its tenure and the one after it names an unknown gender. The
+    charges differ between the events of a customer.
     """
     base = customer_base(spark, folder)
     happened = table(spark, folder, "events").select(
@@ -146,8 +147,9 @@ def events(spark, folder):
     gender = F.expr("CASE WHEN event_id % 50 = 1 THEN 'X' ELSE gender END")
     tenure = F.expr("CASE WHEN event_id % 50 <> 0 THEN tenure END")
     fields = [c for c in S.CUSTOMER_COLUMNS if c != S.TARGET]
-    values = {"gender": gender, "tenure": tenure}
-    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    charges = F.expr("CAST(mc + event_id % 7 * 100 AS DOUBLE) / 100")
+    values = {"gender": gender, "tenure": tenure, "MonthlyCharges": charges}
+    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
 
     def payload(name_of):
         parts = [values.get(c, F.col(c)).alias(name_of(c)) for c in fields]

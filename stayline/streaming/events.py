@@ -16,39 +16,27 @@ FIELDS = [c for c in S.CUSTOMER_COLUMNS if c != S.TARGET]
 TOPIC = "customer_events"
 
 
+_WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z0-9]+")
+
+
 def snake_case(name):
-    """Field name in snake case; a trailing ID counts as one word."""
-    if name.endswith("ID"):
-        name = name[:-2] + "Id"
-    return re.sub(r"(?<=[a-z0-9])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])", "_", name).lower()
+    """The words of a name, in lower case and joined by underscores."""
+    return "_".join(_WORDS.findall(name)).lower()
 
 
 def spellings():
-    """Per field, where its text is found: (parsed struct, name) pairs, preferred first.
-
-    Column names differing in case only cannot share a struct, so the names as declared
-    and the others are parsed apart.
-    """
-    found = {}
-    for name in FIELDS:
-        other = snake_case(name)
-        found[name] = [("_declared", name)] + ([("_other", other)] if other != name else [])
+    """Names under which an event may carry each field, the preferred one first."""
+    found = {name: [name, snake_case(name)] for name in FIELDS}
     # Fixed extras: a capital gender, and the required fields in lower case.
-    found["gender"].append(("_other", "Gender"))
+    found["gender"].append("Gender")
     for name in REQUIRED:
-        if name.lower() not in (name, snake_case(name)):
-            found[name].append(("_other", name.lower()))
-    return found
+        found[name].append(name.lower())
+    return {name: list(dict.fromkeys(names)) for name, names in found.items()}
 
 
 SPELLINGS = spellings()
 
 
-def _names(part):
-    names = [n for pairs in SPELLINGS.values() for where, n in pairs if where == part]
-    return names + (["timestamp"] if part == "_declared" else [])
-
-
 def kafka_source(spark, servers, topic=TOPIC, offsets="latest"):
     """Streaming source on a topic; needs the Kafka connector on the class path."""
     return (
@@ -69,10 +57,6 @@ def file_source(spark, folder, files_per_batch=None):
     return reader.load(folder)
 
 
-def _parsed(part):
-    return F.from_json("value", ", ".join(f"`{n}` STRING" for n in _names(part)))
-
-
 def _number(text, kind):
     value = text.try_cast("double")
     return F.when(value == F.floor(value), value.try_cast("int")) if kind == "int" else value
@@ -84,20 +68,17 @@ def normalize_events(events):
     The error names the missing required fields, or else the broken rules.
     """
     kept = [c for c in events.columns if c != "value"]
-    parsed = events.select(
-        *kept, _parsed("_declared").alias("_declared"), _parsed("_other").alias("_other")
-    )
+    # One parse: names that differ in case only are different keys of a map.
+    parsed = events.select(*kept, F.from_json("value", "map<string,string>").alias("_sent"))
+    sent = lambda name: F.try_element_at(F.col("_sent"), F.lit(name))
     texts = {
-        name: F.coalesce(*[
-            F.when(F.col(f"{where}.`{n}`") != "", F.col(f"{where}.`{n}`")) for where, n in pairs
-        ])
-        for name, pairs in SPELLINGS.items()
+        name: F.coalesce(*[F.nullif(sent(n), F.lit("")) for n in names]) for name, names in SPELLINGS.items()
     }
     read = parsed.select(
         *kept,
         *[text.alias(f"_{name}") for name, text in texts.items()],
-        F.col(f"_declared.{S.ID}").alias("_sent_id"),
-        F.col("_declared.timestamp").alias("event_timestamp"),
+        sent(S.ID).alias("_sent_id"),
+        sent("timestamp").alias("event_timestamp"),
     )
     columns = {}
     for name in FIELDS:

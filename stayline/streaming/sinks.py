@@ -1,12 +1,17 @@
-"""Keyed results of the event stream: latest score, durable upsert, run report."""
+"""Keyed results of the event stream: latest score, keyed state, run counts."""
 
+from contextlib import contextmanager
+
+from pyspark.sql import Observation, Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 from stayline import schema as S
 from stayline.session import checkpointed
 from stayline.streaming.events import event_rejects, normalize_events, score_events
 
 STATE_FIELDS = ["churn_probability", "churn_prediction", "event_timestamp"]
+STATE_COLUMNS = "churn_probability double, churn_prediction boolean, event_timestamp string"
 TTL_SECONDS = 3600
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -35,97 +40,47 @@ def newest_per_customer(scored, order=("ts", "event_id")):
     )
 
 
-def _fs(spark, path):
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
-
-
-def _complete(spark, folder, kind):
-    """Names of the written parts of one kind that carry Spark's success marker."""
-    fs, root = _fs(spark, folder)
-    if not fs.exists(root):
-        return []
-    found = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        marker = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith(f"{kind}=") and fs.exists(marker):
-            found.append(name)
-    return sorted(found)
-
-
-def upsert_batch(folder, order=("ts", "event_id"), run="0"):
-    """foreachBatch function: write the newest row per customer of the batch.
+class RunCounts:
+    """What a run has written, counted by the writes themselves.
 
-    What is written grows with the batch, not with the table. A replayed batch overwrites
-    its own part, so nothing is counted twice. Batch numbers start again with a new
-    checkpoint, so `run` names the checkpoint: the same one after a restart from it,
-    another one for a new checkpoint.
+    A replayed batch replaces its own counts.
     """
 
-    def write(batch, batch_id):
-        newest_per_customer(batch, order).write.mode("overwrite").parquet(
-            f"{folder}/batch={run}-{batch_id}"
-        )
+    def __init__(self):
+        self.batches = {}
 
-    return write
+    def add(self, batch_id, scored, failed):
+        self.batches[batch_id] = (scored, failed)
 
+    def report(self, spark):
+        """processed_count, errors and success of the run, in one row."""
+        scored, failed = (sum(x) for x in zip((0, 0), *self.batches.values()))
+        return spark.createDataFrame(
+            [(scored + failed, failed, failed == 0)], "processed_count long, errors long, success boolean")
 
-def _last_base(spark, folder):
-    """Name of the last compacted part and the set of the parts that it covers."""
-    bases = _complete(spark, folder, "base")
-    covers = set(_complete(spark, folder, "covers"))
-    usable = [b for b in bases if b.replace("base", "covers") in covers]
-    if not usable:
-        return None, set()
-    last = max(usable, key=lambda b: int(b.split("=")[1]))
-    path = f"{folder}/{last.replace('base', 'covers')}"
-    # One name for each micro-batch.
-    return last, {r.part for r in spark.read.parquet(path).collect()}
-
-
-def read_upserted(spark, folder, order=("ts", "event_id")):
-    """One row per customer: the newest over the last compacted part and the batches that
-    it does not cover."""
-    base, covered = _last_base(spark, folder)
-    parts = [p for p in _complete(spark, folder, "batch") if p not in covered]
-    if base:
-        parts.append(base)
-    if not parts:
-        return None
-    return newest_per_customer(spark.read.parquet(*[f"{folder}/{p}" for p in parts]), order)
-
-
-def compact(spark, folder, order=("ts", "event_id")):
-    """Write all batches so far as one part, so that readers merge less.
-
-    The names of the batches in it are written after it; a part without them is not read.
-    Run it while no batch is written.
-    """
-    base, covered = _last_base(spark, folder)
-    batches = _complete(spark, folder, "batch")
-    if set(batches) - covered:
-        number = int(base.split("=")[1]) + 1 if base else 0
-        read_upserted(spark, folder, order).write.mode("overwrite").parquet(f"{folder}/base={number}")
-        spark.createDataFrame([(b,) for b in batches], "part string").write.mode("overwrite").parquet(
-            f"{folder}/covers={number}")
 
+def written(df, path):
+    """Write a table and give the number of its rows, counted on the way."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    return seen.get.get("n", 0)
 
-def split_sink(scores_folder, rejects_folder, score=None, threshold=0.5):
+
+def split_sink(scores_folder, rejects_folder, score=None, threshold=0.5, counts=None):
     """foreachBatch function: valid events to scores, broken ones to rejects.
 
     Each batch overwrites its own folder, so a replay adds nothing twice. The parsed batch
-    is kept while both sides are written.
+    is kept while both sides are written. `counts` (RunCounts) learns how much was written.
     """
+    counts = RunCounts() if counts is None else counts
 
     def write(batch, batch_id):
         normalized = normalize_events(batch).persist()
         try:
-            score_events(normalized, threshold, score).write.mode("overwrite").parquet(
-                f"{scores_folder}/batch={batch_id}"
-            )
-            event_rejects(normalized).write.mode("overwrite").parquet(
-                f"{rejects_folder}/batch={batch_id}"
+            counts.add(
+                batch_id,
+                written(score_events(normalized, threshold, score), f"{scores_folder}/batch={batch_id}"),
+                written(event_rejects(normalized), f"{rejects_folder}/batch={batch_id}"),
             )
         finally:
             normalized.unpersist()
@@ -133,13 +88,13 @@ def split_sink(scores_folder, rejects_folder, score=None, threshold=0.5):
     return write
 
 
-def run_available(stream, write, checkpoint, timeout=None):
+def run_available(stream, write, checkpoint, timeout=None, mode="append"):
     """Process what is there now, then stop; the query's own failure is raised.
 
     `timeout` is a limit in seconds that the caller may set.
     """
     query = (
-        stream.writeStream.foreachBatch(write)
+        stream.writeStream.foreachBatch(write).outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -152,59 +107,82 @@ def run_available(stream, write, checkpoint, timeout=None):
     return query
 
 
-def run_report(scores, rejects):
-    """Processed and failed events in one row."""
-    failed = rejects.agg(F.count(F.lit(1))).scalar()
-    return scores.agg(F.count(F.lit(1)).alias("_scored")).withColumn("errors", failed).select(
-        (F.col("_scored") + F.col("errors")).alias("processed_count"),
-        "errors",
-        (F.col("errors") == 0).alias("success"),
-    )
-
-
-def latest_state(scored_stream, ttl_seconds=TTL_SECONDS):
+@contextmanager
+def rocksdb_state(spark):
+    """Queries started inside keep their state in RocksDB, which keyed state needs."""
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, STATE_STORE)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
+class Latest(StatefulProcessor):
+    """Newest score of a customer; a timer in event time ends it after the time to live."""
+
+    def init(self, handle):
+        self.handle = handle
+        self.latest = handle.getValueState("latest", f"{STATE_COLUMNS}, at long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        old = self.latest.get() if self.latest.exists() else None
+        # (time, score) decides, so ties go to the higher score in any order of the rows.
+        newest = max(((r.at, r.churn_probability, r.churn_prediction, r.event_timestamp) for r in rows))
+        if old is not None and (old[3], old[0]) >= newest[:2]:
+            return
+        if old is not None:
+            self.handle.deleteTimer(self.expiry(old[3]))
+        at, probability, prediction, stamp = newest
+        self.latest.update((probability, prediction, stamp, at))
+        self.handle.registerTimer(self.expiry(at))
+        yield Row(**{S.ID: key[0]}, churn_probability=probability, churn_prediction=prediction, event_timestamp=stamp, expired=False)
+
+    def expiry(self, at):
+        # The watermark is behind by the time to live already; timers count milliseconds.
+        return at // 1000 + 1
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        probability, prediction, stamp, _ = self.latest.get()
+        self.latest.clear()
+        yield Row(**{S.ID: key[0]}, churn_probability=probability, churn_prediction=prediction, event_timestamp=stamp, expired=True)
+
+    def close(self):
+        pass
+
+
+def latest_state(scored, ttl_seconds=TTL_SECONDS):
     """Streaming twin of `latest_scores`: keyed state that expires after the time to live.
 
-    The session needs the RocksDB state store (`STATE_STORE`). A row is emitted whenever
-    a customer's newest score changes.
+    `scored` is a stream with the columns of `score_events`. A row is emitted whenever a
+    customer's newest score changes, and with `expired` once it ends. The clock is the
+    newest event, so a run over what is there ends by itself, and a run from the same
+    checkpoint goes on where it ended. Start it inside `rocksdb_state`.
+
+    Each Arrow batch passes on one row per customer, so that a frequent customer does not
+    reach its task as rows.
     """
-    import pandas as pd
-    from pyspark.sql.streaming import StatefulProcessor
+    rows = scored.select(
+        S.ID, *STATE_FIELDS, F.to_timestamp("event_timestamp").alias("ts")
+    ).where(F.col("ts").isNotNull())
 
-    schema = "customerID string, churn_probability double, churn_prediction boolean, event_timestamp string"
+    def newest(frames):
+        for frame in frames:
+            yield frame.sort_values(["ts", "churn_probability"]).drop_duplicates(S.ID, keep="last")
 
-    class Latest(StatefulProcessor):
-        def init(self, handle):
-            self.latest = handle.getValueState(
-                "latest",
-                "churn_probability double, churn_prediction boolean, event_timestamp string",
-                ttl_seconds * 1000,
-            )
+    timed = rows.mapInPandas(newest, rows.schema).withWatermark("ts", f"{ttl_seconds} seconds")
+    return timed.withColumn("at", F.unix_micros("ts")).groupBy(S.ID).transformWithState(
+        statefulProcessor=Latest(), outputStructType=f"{S.ID} string, {STATE_COLUMNS}, expired boolean",
+        outputMode="Update", timeMode="EventTime")
 
-        def handleInputRows(self, key, rows, timerValues):
-            newest = None
-            for frame in rows:
-                top = frame.sort_values("event_timestamp", kind="stable").iloc[-1]
-                if newest is None or top.event_timestamp >= newest.event_timestamp:
-                    newest = top
-            known = self.latest.get() if self.latest.exists() else None
-            if newest is None or (known is not None and known[2] > newest.event_timestamp):
-                return
-            value = (
-                float(newest.churn_probability), bool(newest.churn_prediction),
-                newest.event_timestamp,
-            )
-            self.latest.update(value)
-            yield pd.DataFrame([(key[0], *value)], columns=[S.ID, *STATE_FIELDS])
 
-        def close(self):
-            pass
+def read_state(spark, checkpoint, ttl_seconds=TTL_SECONDS):
+    """The rows that the state of a stopped `latest_state` run holds, read from its checkpoint.
 
-    return (
-        scored_stream.select(S.ID, *STATE_FIELDS)
-        .groupBy(S.ID)
-        .transformWithStateInPandas(
-            statefulProcessor=Latest(), outputStructType=schema,
-            outputMode="Update", timeMode="ProcessingTime",
-        )
-    )
+    Timers fire by the millisecond after the newest event; the comparison here is exact.
+    """
+    state = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "latest").load()
+    rows = state.select(f"key.{S.ID}", "value.*")
+    newest = rows.agg(F.max("at")).scalar()
+    return rows.where(F.col("at") > newest - ttl_seconds * 1_000_000).drop("at")
