@@ -449,11 +449,18 @@ COLUMNS = ("doc_id long, n_email long, n_ip long, n_card long, n_phone long,"
 
 
 def contexts_of(docs, sample=400, chars=1500):
-    """Passages to set examples into: the starts of `sample` different texts, first by hash."""
+    """Passages to set examples into: the starts of at most `sample` different texts, first by hash.
+
+    A share of the hashes that holds about four times as many texts is read, so tasks send
+    the driver a few rows however large the corpus is; copies are one text.
+    """
     text = F.substring(F.col("text").cast("string"), 1, chars)
-    rows = docs.where("text is not null").select(text.alias("text"), F.xxhash64(text).alias("h")).groupBy("h").agg(
-        F.min("text").alias("text")).orderBy("h").limit(sample).collect()
-    return [r["text"] for r in rows]
+    known = docs.where("text is not null")
+    share = min(1.0, 4 * sample / max(1, known.count()))
+    rows = known.select(text.alias("text"), F.xxhash64(text).alias("h")).where(
+        F.col("h") <= min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63)))
+    found = rows.groupBy("h").agg(F.min("text").alias("text")).orderBy("h").limit(sample).collect()
+    return [r["text"] for r in found]
 
 
 def fit(docs, sample=400, examples=2400, width=96, rounds=8):
