@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import Window, functions as F
 
 from stayline import schema as S
+from stayline.operators.neighbours import nearest
 from stayline.operators.prefix import global_rank, join_null_safe
 
 
@@ -107,8 +108,8 @@ def oversample(df, features, label="label", key=S.ID, method="neighbours", k=5,
     """Add minority rows until both classes are equal; new rows carry `synthetic = true`.
 
     "duplicate" repeats rows. "neighbours" places each new row on the line between a
-    minority row and one of its k nearest along a seeded random projection. The projection
-    order stands in for the exact neighbour search, which has to compare all pairs.
+    minority row and one of its k nearest minority rows, found by hash tables and ranked by
+    true distance (`neighbours.nearest`). Which rows yield one copy more goes by a seeded hash.
     """
     small, size, large = _minority(df, label)
     missing = large - size
@@ -120,70 +121,24 @@ def oversample(df, features, label="label", key=S.ID, method="neighbours", k=5,
     def fraction(*parts):
         return hash_number(F.col(key), F.col("_copy").cast("string"), *parts) / 10000.0
 
+    ranked = global_rank(minority, [F.md5(F.concat_ws("|", key, F.lit(str(seed)))), F.col(key)])
+    copies = F.explode(F.sequence(F.lit(0), copies_needed(F.col("rank_no"), size, missing)))
     if method == "duplicate":
-        ranked = global_rank(minority, [F.md5(F.concat_ws("|", key, F.lit(str(seed)))), F.col(key)])
-        new = ranked.withColumn(
-            "_copy", F.explode(F.sequence(F.lit(0), copies_needed(F.col("rank_no"), size, missing)))
-        ).where("_copy > 0")
-        return originals.unionByName(
-            new.drop("_copy", "rank_no").withColumn("synthetic", F.lit(True))
-        )
+        new = ranked.withColumn("_copy", copies).where("_copy > 0").drop("_copy", "rank_no")
+        return originals.unionByName(new.withColumn("synthetic", F.lit(True)))
     if method != "neighbours":
         raise ValueError("method is 'neighbours' or 'duplicate'")
-
-    import random
-
-    draw = random.Random(seed)
-    projection = reduce(
-        lambda a, b: a + b, [F.col(c).cast("double") * draw.gauss(0, 1) for c in features]
-    )
-    ranked = global_rank(
-        minority.withColumn("_at", projection), [F.col("_at"), F.col(key)]
-    )
-    # Windows of consecutive ranks: k+1 blocks overlap, so each row meets its next k rows
-    # without a global window.
-    point = F.struct(*[F.col(c).cast("double").alias(c) for c in features])
-    block = 4096
-    placed = ranked.withColumn(
-        "_block",
-        F.explode(
-            F.array_distinct(
-                F.array(
-                    F.floor((F.col("rank_no") - 1) / block),
-                    F.greatest(F.lit(0), F.floor((F.col("rank_no") - 1 - k) / block)),
-                )
-            )
-        ),
-    )
-    following = Window.partitionBy("_block").orderBy("rank_no").rowsBetween(1, k)
-    preceding = Window.partitionBy("_block").orderBy("rank_no").rowsBetween(-k, -1)
-    own = F.floor((F.col("rank_no") - 1) / block) == F.col("_block")
-    with_neighbours = (
-        placed.withColumn("_near", F.collect_list(point).over(following))
-        .withColumn("_behind", F.collect_list(point).over(preceding))
-        .where(own)
-        .withColumn("_near", F.when(F.size("_near") > 0, F.col("_near")).otherwise(F.col("_behind")))
-    )
+    near = nearest(minority, key, features, k, seed=seed).select(F.col("key").alias(key), "near")
+    pick = F.floor(fraction(F.lit("pick")) * F.size("near")) + 1
     new = (
-        with_neighbours.withColumn(
-            "_copy", F.explode(F.sequence(F.lit(0), copies_needed(F.col("rank_no"), size, missing)))
-        )
+        ranked.join(near, key, "left")
+        .withColumn("_copy", copies)
         .where("_copy > 0")
-        .withColumn(
-            "_to",
-            F.when(
-                F.size("_near") > 0,
-                F.element_at(
-                    "_near",
-                    (F.floor(fraction(F.lit("pick")) * F.size("_near")) + 1).cast("int"),
-                ),
-            ).otherwise(point),
-        )
+        .withColumn("_to", F.when(F.size("near") > 0, F.element_at("near", pick.cast("int"))["point"]))
         .withColumn("_f", fraction(F.lit("step")))
-        .withColumns(
-            {c: F.col(c) + F.col("_f") * (F.col(f"_to.{c}") - F.col(c)) for c in features}
-        )
-    )
-    return originals.unionByName(
-        new.select(*df.columns).withColumn("synthetic", F.lit(True)), allowMissingColumns=False
+        .withColumns({
+            c: F.coalesce(F.col(c) + F.col("_f") * (F.col("_to")[i] - F.col(c)), F.col(c).cast("double"))
+            for i, c in enumerate(features)
+        })
     )
+    return originals.unionByName(new.select(*df.columns).withColumn("synthetic", F.lit(True)))
