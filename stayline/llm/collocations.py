@@ -123,8 +123,20 @@ def batch_of_rows(rows):
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows), PACKED)], schema=PACKED)
 
 
-def packed(vocabulary, ids, counts, buckets, done=False):
-    """Record batches of the counts, one row for each bucket; buckets go by the whole phrase."""
+def row_of(bucket, vocabulary, ids, counts, done=False):
+    """One packed row."""
+    used, place = np.unique(np.concatenate(ids), return_inverse=True)
+    place = place.astype("<u2" if len(used) <= 1 << 16 else "<u4").reshape(len(ids), -1)
+    # First words rise, and so do keys: steps and byte planes are what the shuffle compresses well.
+    place[0, 1:] = np.diff(place[0])
+    most = int(counts.max())
+    kind = "<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<i8"
+    planes = vocabulary[used].astype("<u8").view(np.uint8).reshape(-1, 8).T
+    return int(bucket), len(ids), done, planes.tobytes(), place.tobytes(), counts.astype(kind).tobytes()
+
+
+def dealt(vocabulary, ids, counts, buckets):
+    """Packed rows of the counts, one for each bucket; buckets go by the whole phrase."""
     if not len(counts):
         return
     mix = vocabulary[ids[0]]
@@ -133,21 +145,20 @@ def packed(vocabulary, ids, counts, buckets, done=False):
     bucket = (X.mixed(mix) % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-    rows = []
     for own in np.split(order, cuts):
-        used, place = np.unique(np.concatenate([x[own] for x in ids]), return_inverse=True)
-        place = place.astype("<u2" if len(used) <= 1 << 16 else "<u4").reshape(len(ids), -1)
-        # First words rise, and so do keys: steps and byte planes are what the shuffle compresses well.
-        place[0, 1:] = np.diff(place[0])
-        most = int(counts[own].max())
-        kind = "<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<i8"
-        planes = vocabulary[used].astype("<u8").view(np.uint8).reshape(-1, 8).T
-        rows.append((int(bucket[own[0]]), len(ids), done, planes.tobytes(), place.tobytes(), counts[own].astype(kind).tobytes()))
-        if len(rows) == 32:
-            yield batch_of_rows(rows)
-            rows = []
-    if rows:
-        yield batch_of_rows(rows)
+        yield row_of(bucket[own[0]], vocabulary, [x[own] for x in ids], counts[own])
+
+
+def batches_of(rows, most=32):
+    """Record batches of packed rows."""
+    held = []
+    for row in rows:
+        held.append(row)
+        if len(held) == most:
+            yield batch_of_rows(held)
+            held = []
+    if held:
+        yield batch_of_rows(held)
 
 
 def unpacked(words, grams, counts, width):
@@ -176,7 +187,7 @@ class Block:
         self.size += len(keys)
 
     def graph(self, last):
-        """Edges and piece ends of the block as packed rows."""
+        """Edges of the block as packed rows dealt by phrase, and its piece ends, one row a width."""
         keys, pieces, old, longest = np.concatenate(self.keys), np.concatenate(self.pieces), self.old, self.longest
         n = len(keys)
         vocabulary, ids = np.unique(keys, return_inverse=True)
@@ -184,7 +195,7 @@ class Block:
         start = np.arange(max(0, old - longest + 1), n - longest + 1)
         edge = start[pieces[start] == pieces[start + longest - 1]]
         columns, counts = summed([ids[edge + k] for k in range(longest)], np.ones(len(edge), np.int64))
-        yield from packed(vocabulary, columns, counts, self.buckets)
+        yield from dealt(vocabulary, columns, counts, self.buckets)
         # An end is known once the next word is: that of the last word waits for the next block.
         end = np.arange(max(0, old - 1), n if last else n - 1)
         final = np.ones(len(end), bool)
@@ -194,8 +205,10 @@ class Block:
         for width in range(1, longest):
             own = end[end - width + 1 >= 0]
             own = own[pieces[own - width + 1] == pieces[own]]
-            columns, counts = summed([ids[own - width + 1 + k] for k in range(width)], np.ones(len(own), np.int64))
-            yield from packed(vocabulary, columns, counts, self.buckets)
+            if len(own):
+                columns, counts = summed([ids[own - width + 1 + k] for k in range(width)], np.ones(len(own), np.int64))
+                # Ends are only carried to the level of their width, so any bucket will do.
+                yield row_of(X.mixed(keys[own[:1]])[0] % np.uint64(self.buckets), vocabulary, columns, counts)
         kept = min(n, longest - 1)
         self.keys, self.pieces, self.size, self.old = [keys[n - kept:]], [pieces[n - kept:]], kept, kept
 
@@ -210,20 +223,19 @@ def edges(docs, longest, buckets, words=1_000_000):
             for start in range(0, len(keys), words):
                 block.add(keys[start:start + words], pieces[start:start + words])
                 if block.size >= words:
-                    yield from block.graph(last=False)
+                    yield from batches_of(block.graph(last=False))
         if block.size:
-            yield from block.graph(last=True)
+            yield from batches_of(block.graph(last=True))
 
     return source.mapInArrow(work, PACKED_COLUMNS)
 
 
-def merged(rows):
-    """Vocabulary, places and counts of several packed rows, equal phrases summed."""
-    tables = [unpacked(*row) for row in rows]
+def merged(tables):
+    """Vocabulary, places and counts of several tables of one width, equal phrases summed."""
     vocabulary, place = np.unique(np.concatenate([t[0] for t in tables]), return_inverse=True)
     place = place.astype(np.uint32)
     shift = np.cumsum([0, *[len(t[0]) for t in tables]])
-    width = tables[0][1].shape[0]
+    width = len(tables[0][1])
     ids = [np.concatenate([place[s:][t[1][k]] for t, s in zip(tables, shift)]) for k in range(width)]
     return vocabulary, *summed(ids, np.concatenate([t[2] for t in tables]))
 
@@ -231,23 +243,30 @@ def merged(rows):
 def flow(table, width, buckets, least):
     """One level down: phrases of `width` words are summed, and flow into their nodes.
 
-    Phrases found `least` times or more go on as results, as do piece ends of shorter ones.
+    Phrases found `least` times or more go on as results. What flows into a node meets the
+    pieces that end in it. `buckets` are those of the next level.
     """
 
     def work(group):
-        rows = {}
-        for w, done, words, grams, counts in zip(*(group.column(c).to_pylist() for c in PACKED.names[1:])):
-            rows.setdefault((w, done), []).append((words, grams, counts, w))
-        out = []
-        for (w, done), own in sorted(rows.items()):
-            vocabulary, ids, counts = merged(own)
-            if w == width and not done:
-                often = counts >= least
-                out += packed(vocabulary, [x[often] for x in ids], counts[often], buckets, done=True)
-                if width > 1:
-                    out += packed(vocabulary, *summed(ids[:-1], counts), buckets)
+        columns = [group.column(c) for c in PACKED.names[1:]]
+        bucket = group.column("bucket")[0].as_py() % buckets
+        own, ends, rows = [], [], []
+        for w, done, words, grams, counts in zip(*(c.to_pylist() for c in columns)):
+            if done or w < width - 1:
+                rows.append((bucket, w, done, words, grams, counts))
             else:
-                out += packed(vocabulary, ids, counts, buckets, done)
+                (own if w == width else ends).append(unpacked(words, grams, counts, w))
+        if own:
+            vocabulary, ids, counts = merged(own)
+            often = counts >= least
+            if often.any():
+                rows.append(row_of(bucket, vocabulary, [x[often] for x in ids], counts[often], done=True))
+            if width > 1:
+                ends.append((vocabulary, *summed(ids[:-1], counts)))
+        del own
+        out = list(batches_of(rows))
+        if ends:
+            out += batches_of(dealt(*merged(ends), buckets))
         return pa.Table.from_batches(out, PACKED)
 
     return table.groupBy("bucket").applyInArrow(work, PACKED_COLUMNS)
@@ -257,11 +276,13 @@ def phrase_counts(docs, longest=3, least=10, buckets=None):
     """Counts of all phrases of up to `longest` words found `least` times or more.
 
     Columns: width, words (array of word keys), a. One shuffle a level; a task holds the
-    counts of one bucket, and there are two buckets for each of `spark.sql.shuffle.partitions`.
+    counts of one bucket. Without `buckets` there are twice as many for the edges as
+    `spark.sql.shuffle.partitions`, and half as many for each level below.
     """
     buckets = buckets or 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     table = edges(docs, longest, buckets)
     for width in range(longest, 0, -1):
+        buckets = max(1, buckets // 2)
         table = flow(table, width, buckets, least)
     schema = pa.schema([("width", pa.int32()), ("words", pa.list_(pa.int64())), ("a", pa.int64())])
 
@@ -276,30 +297,33 @@ def phrase_counts(docs, longest=3, least=10, buckets=None):
     return table.where("done").mapInArrow(rows, "width int, words array<long>, a long")
 
 
-def spelled(docs, wanted, bits=20):
+def spelled(docs, wanted, bits=24):
     """Language and text of the wanted word keys, and the number of words of each language.
 
     Columns: key, lang, word, n. Rows with a null key hold the n words of their language.
-    `wanted` (key) passes a filter of 2^bits places on its way to the tasks, so what is
-    broadcast has a fixed size; the exact join follows.
+    `wanted` (key) passes a filter of 2^bits bits on its way to the tasks, so what the
+    driver gets and broadcasts has a fixed size (2 MB); the exact join follows.
     """
     spark = docs.sparkSession
-    marked = wanted.select(F.pmod("key", F.lit(1 << bits)).alias("place")).distinct().toArrow()
-    places = np.zeros(1 << bits, bool)
-    places[marked.column(0).to_numpy()] = True
-    shared = spark.sparkContext.broadcast(np.packbits(places).tobytes())
+    place = F.pmod("key", F.lit(1 << bits))
+    marked = wanted.select(F.shiftright(place, 6).alias("word"), place.bitwiseAND(F.lit(63)).cast("int").alias("bit")).groupBy(
+        "word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")).toArrow()
+    places = np.zeros(1 << bits >> 6, np.int64)
+    places[marked.column("word").to_numpy()] = marked.column("bits").to_numpy()
+    shared = spark.sparkContext.broadcast(places)
     source = docs.select("lang", F.col("text").cast("binary").alias("text"))
     schema = pa.schema([("key", pa.int64()), ("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
 
     def work(batches):
-        wanted = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool)
+        wanted = shared.value
         seen, n = set(), {}
         for langs, text, keys, _, raw, starts, ends in words_of(batches):
             for i, count in enumerate(np.bincount(text, minlength=len(langs)).tolist()):
                 n[langs[i]] = n.get(langs[i], 0) + count
             signed = keys.view(np.int64)
             found, first = np.unique(signed, return_index=True)
-            hit = wanted[found % (1 << bits)]
+            place = found % (1 << bits)
+            hit = (wanted[place >> 6] >> (place & 63)) & 1 == 1
             new = [i for k, i in zip(found[hit].tolist(), first[hit].tolist()) if k not in seen]
             seen.update(signed[new].tolist())
             if len(seen) > 1 << 20:
