@@ -32,6 +32,7 @@ PACKED = pa.schema([
     ("words", pa.binary()), ("grams", pa.binary()), ("counts", pa.binary())])
 PACKED_COLUMNS = "bucket int, width int, done boolean, words binary, grams binary, counts binary"
 LONG_WORD = 1 << 16
+SPELLED = pa.struct([("key", pa.int64()), ("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
 
 
 def language_key(lang):
@@ -213,7 +214,7 @@ class Block:
         self.keys, self.pieces, self.size, self.old = [keys[n - kept:]], [pieces[n - kept:]], kept, kept
 
 
-def edges(docs, longest, buckets, words=1_000_000):
+def edges(docs, longest, buckets, words=600_000):
     """Packed counts of the edges and of the piece ends, one table a block of about `words` words."""
     source = docs.select("lang", F.col("text").cast("binary").alias("text"))
 
@@ -284,6 +285,9 @@ def phrase_counts(docs, longest=3, least=10, buckets=None):
     for width in range(longest, 0, -1):
         buckets = max(1, buckets // 2)
         table = flow(table, width, buckets, least)
+    # Written first, so that no task needs two Python workers at once.
+    path = scratch_path(docs.sparkSession, "phrase-tables")
+    table.where("done").drop("bucket", "done").write.parquet(path)
     schema = pa.schema([("width", pa.int32()), ("words", pa.list_(pa.int64())), ("a", pa.int64())])
 
     def rows(batches):
@@ -294,7 +298,7 @@ def phrase_counts(docs, longest=3, least=10, buckets=None):
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, width), pa.int32()), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([pa.array([width] * len(a), pa.int32()), lists, pa.array(a)], schema=schema)
 
-    return table.where("done").mapInArrow(rows, "width int, words array<long>, a long")
+    return docs.sparkSession.read.parquet(path).mapInArrow(rows, "width int, words array<long>, a long")
 
 
 def spelled(docs, wanted, bits=24):
@@ -311,36 +315,51 @@ def spelled(docs, wanted, bits=24):
     places = np.zeros(1 << bits >> 6, np.int64)
     places[marked.column("word").to_numpy()] = marked.column("bits").to_numpy()
     shared = spark.sparkContext.broadcast(places)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select("lang", F.col("text").cast("binary").alias("text"))
-    schema = pa.schema([("key", pa.int64()), ("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
+    packed = pa.schema([("bucket", pa.int32()), ("rows", pa.list_(SPELLED))])
+
+    def rows(found, n):
+        """Rows by bucket, the words of a task as lists."""
+        out = {}
+        for key, (lang, word) in found.items():
+            out.setdefault(key % buckets, []).append({"key": key, "lang": lang, "word": word, "n": None})
+        for lang, count in n.items():
+            out.setdefault(0, []).append({"key": None, "lang": lang, "word": None, "n": count})
+        if out:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(out), pa.int32()), pa.array(list(out.values()), packed.field("rows").type)], schema=packed)
 
     def work(batches):
-        wanted = shared.value
-        seen, n = set(), {}
+        wanted, found, n = shared.value, {}, {}
         for langs, text, keys, _, raw, starts, ends in words_of(batches):
             for i, count in enumerate(np.bincount(text, minlength=len(langs)).tolist()):
                 n[langs[i]] = n.get(langs[i], 0) + count
-            signed = keys.view(np.int64)
-            found, first = np.unique(signed, return_index=True)
-            place = found % (1 << bits)
+            own, first = np.unique(keys.view(np.int64), return_index=True)
+            place = own % (1 << bits)
             hit = (wanted[place >> 6] >> (place & 63)) & 1 == 1
-            new = [i for k, i in zip(found[hit].tolist(), first[hit].tolist()) if k not in seen]
-            seen.update(signed[new].tolist())
-            if len(seen) > 1 << 20:
-                seen.clear()
-            if new:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed[new]), pa.array([langs[text[i]] for i in new], pa.string()),
-                     pa.array([raw[starts[i]:ends[i]].decode() for i in new], pa.string()),
-                     pa.nulls(len(new), pa.int64())], schema=schema)
-        if n:
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(n), pa.int64()), pa.array(list(n), pa.string()), pa.nulls(len(n), pa.string()),
-                 pa.array(list(n.values()), pa.int64())], schema=schema)
-
-    found = source.mapInArrow(work, "key long, lang string, word string, n long")
-    return found.groupBy("key", F.when(F.col("key").isNull(), F.col("lang")).alias("of")).agg(
-        F.min("lang").alias("lang"), F.min("word").alias("word"), F.sum("n").alias("n"))
+            for key, i in zip(own[hit].tolist(), first[hit].tolist()):
+                if key not in found:
+                    found[key] = langs[text[i]], raw[starts[i]:ends[i]].decode()
+            if len(found) > 1 << 18:
+                yield from rows(found, n)
+                found, n = {}, {}
+        yield from rows(found, n)
+
+    def once(group):
+        words, n = {}, {}
+        for own in group.column("rows").to_pylist():
+            for row in own:
+                if row["key"] is None:
+                    n[row["lang"]] = n.get(row["lang"], 0) + row["n"]
+                else:
+                    words[row["key"]] = row
+        counted = [{"key": None, "lang": lang, "word": None, "n": count} for lang, count in n.items()]
+        return pa.Table.from_struct_array(pa.array([*words.values(), *counted], SPELLED))
+
+    kind = "struct<key: long, lang: string, word: string, n: long>"
+    return source.mapInArrow(work, f"bucket int, rows array<{kind}>").groupBy("bucket").applyInArrow(
+        once, "key long, lang string, word string, n long")
 
 
 def unary_paths(edges, longest):
