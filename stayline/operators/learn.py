@@ -1,8 +1,9 @@
 """Model training on the feature table with Spark ML estimators."""
 
 import random
+import time
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
@@ -12,16 +13,21 @@ from pyspark.ml.classification import (
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import functions as F
 
 from stayline import schema as S
-from stayline.operators.splits import class_weights, kfold
+from stayline.operators import isotonic, metrics
+from stayline.operators.splits import class_weights, hash_number, kfold
 
 # Fixed values.
 MAX_ITER = 1000
 TRIALS = 20
+ROUNDS = 1000
+SEARCH_SECONDS = 1800
+
+#: Shares of the training rows that the rounds of a search use.
+FRACTIONS = (1 / 9, 1 / 3, 1.0)
 
 
 def assemble(matrix, features):
@@ -64,6 +70,37 @@ def boosted_trees(seed=42, **params):
     return GBTClassifier(seed=seed, weightCol="class_weight", **options)
 
 
+def held_share(rows, share, name, key=S.ID):
+    """Add `held`: whether a row belongs to a share of the rows set by a named hash of its key."""
+    return rows.withColumn("held", hash_number(F.col(key), F.lit(name)) < int(10000 * share))
+
+
+def fit_boosted(rows, rounds=ROUNDS, held=0.15, patience=50, seed=42, **params):
+    """Boosted trees whose rounds are chosen by the loss on held rows: (model, rounds).
+
+    A share `held` of the rows trains nothing; the loss on it is measured after each round.
+    Training goes on, in runs of twice as many rounds, until the lowest loss lies `patience`
+    rounds back or `rounds` is reached. The model has the rounds up to the lowest loss; as
+    trees depend on the earlier ones only, it is trained once more with that many.
+    """
+    parts = held_share(with_balance(rows), held, f"boosting-{seed}").cache()
+    train, test = parts.where("not held"), parts.where("held")
+    tried = min(rounds, 2 * patience)
+    try:
+        while True:
+            model = boosted_trees(seed, maxIter=tried, **params).fit(train)
+            losses = model.evaluateEachIteration(test)
+            best = 1 + min(range(len(losses)), key=losses.__getitem__)
+            if best + patience <= tried or tried == rounds:
+                break
+            tried = min(rounds, 2 * tried)
+        if best < tried:
+            model = boosted_trees(seed, maxIter=best, **params).fit(train)
+        return model, best
+    finally:
+        parts.unpersist()
+
+
 def random_forest(seed=42, trees=100, depth=10):
     return RandomForestClassifier(seed=seed, numTrees=trees, maxDepth=depth)
 
@@ -95,7 +132,7 @@ def calibrated_scores(rows, to_score, folds=5, seed=42, max_iter=MAX_ITER):
     """Average of the isotonic curves of the folds.
 
     Each fold trains on the others, balanced among themselves, and fits its curve on
-    itself. Folds are stratified.
+    itself. Folds are stratified; curves are fitted and applied as Spark jobs.
     """
     folded = kfold(rows, folds, seed=seed, label="label").cache()
     out = to_score.withColumn("_sum", F.lit(0.0))
@@ -106,14 +143,14 @@ def calibrated_scores(rows, to_score, folds=5, seed=42, max_iter=MAX_ITER):
             held = model.transform(folded.where(F.col("fold") == i)).select(
                 F.col("label").cast("double"), vector_to_array("probability")[1].alias("raw")
             )
-            curve = IsotonicRegression(featuresCol="raw", predictionCol="_curve").fit(held)
+            curve = isotonic.blocks(held)
             raw = (
                 model.transform(out)
                 .withColumn("raw", vector_to_array("probability")[1])
                 .drop("rawPrediction", "probability", "prediction")
             )
             out = (
-                curve.transform(raw)
+                isotonic.apply_curve(raw, curve, name="_curve")
                 .withColumn("_sum", F.col("_sum") + F.col("_curve"))
                 .drop("raw", "_curve")
             )
@@ -157,6 +194,79 @@ def tune(estimator, rows, space, trials=TRIALS, folds=None, seed=42, parallelism
         weighted.unpersist()
 
 
+def cross_validated(estimator, rows, folds=5, seed=42, name="model"):
+    """Area under the curve of each stratified fold: model, fold, roc_auc.
+
+    Each fold is scored by a model of the others, whose classes are balanced among themselves.
+    """
+    folded = kfold(rows, folds, seed=seed, label="label").cache()
+    try:
+        parts = []
+        for i in range(folds):
+            model = fit(estimator, folded.where(F.col("fold") != i))
+            part = scores(model, folded.where(F.col("fold") == i), name)
+            parts.append(metrics.roc_auc(part).select(
+                F.lit(name).alias("model"), F.lit(i).alias("fold"), "roc_auc").first())
+        return rows.sparkSession.createDataFrame(parts, "model string, fold int, roc_auc double")
+    finally:
+        folded.unpersist()
+
+
+def fold_summary(folds):
+    """Mean and deviation of the folds' areas: model, folds, mean_auc, std_auc."""
+    return folds.groupBy("model").agg(
+        F.count("roc_auc").alias("folds"), F.avg("roc_auc").alias("mean_auc"),
+        F.stddev_pop("roc_auc").alias("std_auc"))
+
+
+TRIAL_COLUMNS = ("trial int, params map<string,string>, rung int, fraction double, roc_auc double, outcome string")
+
+
+def halving_search(
+    estimator, rows, space, trials=TRIALS, fractions=FRACTIONS, keep=1 / 3, seconds=SEARCH_SECONDS,
+    held=0.2, seed=42, parallelism=4, clock=time.monotonic,
+):
+    """Random search by successive halving: (rows of trials, best setting or None).
+
+    All settings start on the first fraction of the training rows; the best share `keep` of
+    them goes on to the next, larger one. Fractions are nested, and all trials are measured
+    on the same held rows. After `seconds` nothing new is started, and what has been measured
+    decides. Outcome: `kept`, `dropped` (others were better), `best`, or `time` (not run).
+    """
+    start = clock()
+    parts = held_share(with_balance(rows), held, f"search-{seed}").withColumn(
+        "_share", hash_number(F.col(S.ID), F.lit(f"rung-{seed}")) / 10000).cache()
+    evaluator = BinaryClassificationEvaluator(metricName="areaUnderROC")
+    test, train = parts.where("held"), parts.where("not held")
+
+    def run(setting, fraction):
+        if clock() - start > seconds:
+            return None
+        model = estimator.copy(setting).fit(train.where(F.col("_share") < fraction))
+        return evaluator.evaluate(model.transform(test))
+
+    found, best = [], None
+    alive = list(enumerate(random_grid(estimator, space, trials, seed)))
+    try:
+        for rung, fraction in enumerate(fractions):
+            with ThreadPoolExecutor(parallelism) as pool:
+                areas = list(pool.map(lambda t: run(t[1], fraction), alive))
+            ranked = sorted(((a, t) for a, t in zip(areas, alive) if a is not None), key=lambda x: (-x[0], x[1][0]))
+            last = rung + 1 == len(fractions)
+            stay = [t for _, t in ranked[:1 if last else max(1, round(len(alive) * keep))]]
+            best = stay[0] if stay else best
+            for area, (number, setting) in zip(areas, alive):
+                kept = any(number == n for n, _ in stay)
+                outcome = "time" if area is None else "dropped" if not kept else "best" if last else "kept"
+                found.append((number, {p.name: str(v) for p, v in setting.items()}, rung, float(fraction), area, outcome))
+            if not stay:
+                break
+            alive = stay
+    finally:
+        parts.unpersist()
+    return found, best and best[1]
+
+
 def trial_table(spark, tuned):
     """Mean metric of every tried setting. One row per trial."""
     metrics = getattr(tuned, "avgMetrics", None) or tuned.validationMetrics
@@ -165,8 +275,3 @@ def trial_table(spark, tuned):
         for i, (setting, m) in enumerate(zip(tuned.getEstimatorParamMaps(), metrics))
     ]
     return spark.createDataFrame(rows, "trial int, params map<string,string>, roc_auc double")
-
-
-def learner_pipeline(features, estimator):
-    """Assembler and estimator as one Spark ML pipeline."""
-    return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), estimator])

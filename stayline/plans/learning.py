@@ -1,6 +1,5 @@
 """Queries that fit models on the feature table. Only their rows can be checked."""
 
-from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from stayline import schema as S
@@ -54,8 +53,17 @@ def calibrate(spark, folder):
 
 @query("train_gbt")
 def train_gbt(spark, folder):
+    """Up to 1,000 rounds; `rounds` says after how many the loss on held rows was lowest."""
     train, test, _ = _parts(spark, folder)
-    return _evaluated(learn.scores(learn.fit(learn.boosted_trees(), train), test, "boosted"))
+    model, rounds = learn.fit_boosted(train)
+    return _evaluated(learn.scores(model, test, "boosted")).withColumn("rounds", F.lit(rounds))
+
+
+@query("cross_validation")
+def cross_validation(spark, folder):
+    train, _, _ = _parts(spark, folder)
+    estimator = learn.baseline(train)
+    return tidy(learn.fold_summary(learn.cross_validated(estimator, train, name="baseline")))
 
 
 @query("rf_importance")
@@ -75,14 +83,14 @@ def train_mlp(spark, folder):
 
 @query("tune")
 def tune(spark, folder):
+    """Boosted trees by successive halving: what every trial reached, and why it ended."""
     train, _, _ = _parts(spark, folder)
-    tuned = learn.tune(
-        LogisticRegression(weightCol="class_weight", standardization=False),
-        train,
-        {"regParam": (1e-4, 1.0), "elasticNetParam": [0.0, 0.5, 1.0]},
-        folds=5,
+    trials, _ = learn.halving_search(
+        learn.boosted_trees(), train,
+        {"maxDepth": [3, 4, 5, 6], "maxIter": [10, 20, 40], "stepSize": (0.01, 0.3),
+         "subsamplingRate": [0.6, 0.8, 1.0], "minInstancesPerNode": [1, 3, 10]},
     )
-    return tidy(learn.trial_table(spark, tuned).select("trial", "roc_auc"))
+    return tidy(spark.createDataFrame(trials, learn.TRIAL_COLUMNS).drop("params"))
 
 
 @query("coef_importance")
