@@ -73,8 +73,22 @@ def _feature_sizes(counts):
 
 def psi_numeric(counts, bins=BINS):
     """PSI per feature from `value_counts`: equal-width bins over the joint range."""
+    return _psi_of(counts, _feature_sizes(counts), bins)
+
+
+def psi_by_bins(reference, current, columns, bins=BINS):
+    """PSI per feature in two reads: sizes and extremes, then the counts of the bins.
+
+    No value is ordered, and only bin counts are shuffled.
+    """
+    rows = _both_sides([(reference, current, columns)], unpivot_numeric)
+    rows = rows.select("feature", "value", F.col("_ref").alias("ref"), (1 - F.col("_ref")).alias("cur"))
+    return _psi_of(rows, _feature_sizes(rows), bins)
+
+
+def _psi_of(rows, sizes, bins):
     # One row per column.
-    placed = counts.join(F.broadcast(_feature_sizes(counts)), "feature")
+    placed = rows.join(F.broadcast(sizes), "feature")
     width = (F.col("high") - F.col("low")) / bins
     inner = reduce(
         lambda a, i: a + (F.col("value") >= F.col("low") + i * width).cast("int"),
@@ -94,7 +108,8 @@ def ks_two_sample(counts, method="limit", exact_limit=EXACT_LIMIT):
 
     "limit" is the limit distribution as a native expression. "exact" counts lattice
     paths and fails on samples of more than `exact_limit` values; "auto" takes the exact
-    value up to that limit and the limit distribution above. The statistic is the same.
+    value up to that limit and the limit distribution above, and says in `ks_distribution`
+    which one it was. The statistic is the same.
     """
     placed = counts.join(F.broadcast(_feature_sizes(counts)), "feature")
     gap = F.abs(
@@ -115,6 +130,8 @@ def ks_two_sample(counts, method="limit", exact_limit=EXACT_LIMIT):
         p = limit
     else:
         raise ValueError("method is 'limit', 'exact' or 'auto'")
+    if method == "auto":
+        found = found.withColumn("ks_distribution", F.when(small, "exact").otherwise("limit"))
     return found.withColumn("ks_pvalue", p)
 
 

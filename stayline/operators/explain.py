@@ -93,41 +93,44 @@ def sampled_contributions(
         ),
         lambda s: s["i"],
     )
+    # The step at which each feature is switched: the order, inverted by a sort.
+    place = F.transform(
+        F.array_sort(F.transform("_order", lambda i, step: F.struct(i.alias("i"), step.alias("step")))),
+        lambda s: s["step"],
+    )
     planned = (
         rows.select(key, values.alias("_x"))
         .withColumn("_perm", F.explode(F.sequence(F.lit(1), F.lit(permutations))))
         .withColumn("_order", order)
+        .withColumn("_place", place)
         .withColumn("_slot", F.pmod(F.xxhash64(key, "_perm"), size))
         .join(F.broadcast(numbered), "_slot")
     )
     stepped = planned.select(
-        key, "_perm", "_order", F.posexplode(
+        key, "_order", F.posexplode(
             F.transform(
                 F.sequence(F.lit(0), F.lit(d)),
                 lambda step: F.transform(
                     "_x",
-                    lambda x, i: F.when(
-                        F.array_position("_order", i) <= step, x
-                    ).otherwise(F.get("_z", i)),
+                    lambda x, i: F.when(F.get("_place", i) < step, x).otherwise(F.get("_z", i)),
                 ),
             )
         ).alias("_step", "_mix"),
     ).withColumn(vector, array_to_vector("_mix"))
     scored = model.transform(stepped).select(
-        key, "_perm", "_order", "_step", vector_to_array("probability")[1].alias("_score")
+        key, "_order", "_step", vector_to_array("probability")[1].alias("_score")
     )
-    # One window per row and permutation: d + 1 scores.
-    walk = Window.partitionBy(key, "_perm").orderBy("_step")
-    names = F.array(*[F.lit(f) for f in features])
-    moved = scored.withColumn("_gain", F.col("_score") - F.lag("_score").over(walk)).where(
-        F.col("_step") > 0
+    # A score adds to the feature switched just before it and takes from the one after it, so
+    # the changes are sums that combine before the shuffle, without a window.
+    gains = F.array(
+        F.struct(F.get("_order", F.col("_step") - 1).alias("_i"), F.col("_score").alias("_gain")),
+        F.struct(F.get("_order", F.col("_step")).alias("_i"), (-F.col("_score")).alias("_gain")),
     )
+    names = F.array(*[F.lit(f) for f in features])
     return (
-        moved.select(
-            key, F.element_at(names, F.element_at("_order", F.col("_step")) + 1).alias("feature"), "_gain"
-        )
-        .groupBy(key, "feature")
-        .agg(F.avg("_gain").alias("contribution"))
+        scored.select(key, F.inline(gains)).where("_i IS NOT NULL")
+        .groupBy(key, "_i").agg((F.sum("_gain") / permutations).alias("contribution"))
+        .select(key, F.element_at(names, F.col("_i") + 1).alias("feature"), "contribution")
     )
 
 

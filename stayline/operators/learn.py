@@ -65,6 +65,22 @@ def fit_baseline(rows, max_iter=MAX_ITER):
         weighted.unpersist()
 
 
+def gradient_size(model, rows):
+    """Largest absolute derivative of the baseline's loss at its fit; near 0 where it converged.
+
+    The loss is the weighted mean log loss plus the penalty, as in `baseline`.
+    """
+    weighted = with_balance(rows)
+    error = (vector_to_array("probability")[1] - F.col("label")) * F.col("class_weight")
+    # The constant feature 1 stands for the intercept, which has no penalty.
+    entries = F.posexplode(F.concat(F.array(F.lit(1.0)), vector_to_array("features"))).alias("i", "x")
+    scored = model.transform(weighted).select(error.alias("error"), "class_weight", entries)
+    sums = scored.groupBy("i").agg((F.sum(F.col("error") * F.col("x")) / F.sum("class_weight")).alias("slope"))
+    # One row per feature.
+    penalty = [0.0, *(model.getRegParam() * float(c) for c in model.coefficients)]
+    return max(abs(r.slope + penalty[r.i]) for r in sums.collect())
+
+
 def boosted_trees(seed=42, **params):
     options = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1, **params}
     return GBTClassifier(seed=seed, weightCol="class_weight", **options)

@@ -4,6 +4,7 @@ from pyspark.sql import Window, functions as F
 
 from stayline import schema as S
 from stayline.operators.metrics import classification_metrics, roc_auc, score_prefix
+from stayline.operators.prefix import join_null_safe
 
 # Fixed values.
 DROP_LIMIT = 0.05
@@ -22,7 +23,7 @@ def perf_metrics(df, by=(), threshold=0.5):
     """Metrics per group; without groups an empty input gives one row of size 0."""
     base = classification_metrics(df, by, threshold)
     auc = roc_auc(df, by, score_prefix(df, by))
-    joined = base.join(auc, list(by), "left") if by else base.withColumn("roc_auc", auc.scalar())
+    joined = join_null_safe(base, auc, list(by), "left") if by else base.withColumn("roc_auc", auc.scalar())
     return joined.withColumn("prediction_threshold", F.lit(float(threshold)))
 
 
@@ -37,7 +38,7 @@ def compare(current, baseline, on=(), keep=()):
     now = current.select(*on, *keep, *[c for c in wanted if c in current.columns])
     then = F.struct(*COMPARED)
     if on:
-        pairs = now.join(baseline.select(*on, then.alias("_base")), list(on))
+        pairs = join_null_safe(now, baseline.select(*on, then.alias("_base")), list(on))
     else:
         pairs = now.withColumn("_base", baseline.select(then).scalar())
     pairs = pairs.withColumns(

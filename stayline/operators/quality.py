@@ -94,11 +94,18 @@ def suite_summary(results):
     )
 
 
+def quality_gate(results):
+    """Whether what follows may run, and the expectations that forbid it, in one row."""
+    failed = F.array_sort(F.collect_list(F.when(~F.col("success"), F.col("expectation"))))
+    return results.agg(
+        (F.size(failed) == 0).alias("open"), F.concat_ws(", ", failed).alias("failed"))
+
+
 def require_quality(results):
     """Stop what follows if an expectation failed."""
-    failed = [r.expectation for r in results.where(~F.col("success")).collect()]
-    if failed:
-        raise ValueError(f"data quality checks failed: {', '.join(failed)}")
+    gate = quality_gate(results).first()
+    if not gate.open:
+        raise ValueError(f"data quality checks failed: {gate.failed}")
 
 
 def without_nulls(*columns):

@@ -176,21 +176,24 @@ def journey_transitions(spark, folder):
 
 
 @query("journey_insights", sql(f"""
-    SELECT 'total' AS section, 'customers' AS item, sum(customer_count)::DOUBLE AS value FROM stages
-    UNION ALL SELECT 'total', 'annual_revenue', sum(total_annual_revenue) FROM stages
-    UNION ALL SELECT 'stage_pct', journey_stage, customer_count / total * 100 FROM stages, t
-    UNION ALL SELECT 'finding', 'at_risk', customer_count / total * 100 FROM stages, t
+    SELECT 'total' AS section, 'customers' AS item, sum(customer_count)::DOUBLE AS value, NULL AS text FROM stages
+    UNION ALL SELECT 'total', 'annual_revenue', sum(total_annual_revenue), NULL FROM stages
+    UNION ALL SELECT 'stage_pct', journey_stage, customer_count / total * 100, NULL FROM stages, t
+    UNION ALL SELECT 'finding', 'at_risk', customer_count / total * 100,
+        printf('%d customers (%.1f%%) are at risk with %.1f%% average churn probability',
+            customer_count, customer_count / total * 100, avg_churn_probability * 100) FROM stages, t
         WHERE journey_stage = 'at_risk'
-    UNION ALL (SELECT 'finding', 'highest_risk_stage', avg_churn_probability FROM stages
-        WHERE journey_stage <> 'at_risk' ORDER BY avg_churn_probability DESC LIMIT 1)
-    UNION ALL SELECT 'recommendation', 'urgent', customer_count FROM stages, t
+    UNION ALL (SELECT 'finding', 'highest_risk_stage', avg_churn_probability,
+        upper(journey_stage[1]) || journey_stage[2:] || printf(' stage has highest churn risk (%.1f%%)', avg_churn_probability * 100)
+        FROM stages WHERE journey_stage <> 'at_risk' ORDER BY avg_churn_probability DESC LIMIT 1)
+    UNION ALL SELECT 'recommendation', 'urgent', customer_count, '{journey.URGENT_TEXT}' FROM stages, t
         WHERE journey_stage = 'at_risk' AND customer_count > total * 0.1
-    UNION ALL SELECT 'recommendation', 'onboarding', avg_churn_probability FROM stages
+    UNION ALL SELECT 'recommendation', 'onboarding', avg_churn_probability, '{journey.ONBOARDING_TEXT}' FROM stages
         WHERE journey_stage = 'acquisition' AND avg_churn_probability > 0.4""", ["value"],
     f"{STAGES}, t AS (SELECT sum(customer_count) AS total FROM stages)"))
 def journey_insights(spark, folder):
     metrics = journey.stage_metrics(scored(spark, folder))
-    return tidy(journey.journey_insights(metrics).drop("text"))
+    return tidy(journey.journey_insights(metrics))
 
 
 # --- lifetime value ----------------------------------------------------------------------
@@ -511,14 +514,18 @@ def sample_size(spark, folder):
 @query("experiment_design", sql(f"""
     SELECT 'exp_critical_risk_retention_intervention' AS experiment_id,
         'Critical Risk Retention Intervention' AS name, cohort_id AS target_cohort,
+        'A personal offer against the usual letter' AS description,
+        'A personal offer lowers churn by 15%' AS hypothesis, 'offer' AS intervention_type,
+        0.15e0 AS expected_effect_size,
         {sample_size_sql("avg_churn_probability", "0.15e0")} AS sample_size_control,
         {sample_size_sql("avg_churn_probability", "0.15e0")} AS sample_size_treatment,
         4 AS duration_weeks, 'churn_rate' AS success_metric, 0.8e0 AS statistical_power,
         0.05e0 AS significance_level
     FROM cohorts WHERE risk_level = 'critical'""", ["statistical_power", "significance_level"], COHORTS))
 def experiment_design(spark, folder):
-    planned = experiments.design(cohorts.cohort_table(scored(spark, folder)))
-    return tidy(planned.drop("description", "hypothesis", "intervention_type", "expected_effect_size"))
+    return tidy(experiments.design(
+        cohorts.cohort_table(scored(spark, folder)), "Critical Risk Retention Intervention",
+        "A personal offer against the usual letter", "A personal offer lowers churn by 15%", "offer"))
 
 
 _ARM = """CAST(CAST('0x' || substr(md5(concat("customerID", '|exp_discount')), 1, 8) AS BIGINT)
@@ -558,7 +565,27 @@ def ab_test(spark, folder):
     return tidy(experiments.analyse(_arms(spark, folder)))
 
 
-@query("ab_p_value")
+def erfc_sql(x):
+    """The complementary error function in SQL: series up to 2, continued fraction beyond."""
+    near, far = "1e0", x
+    for k in range(60, 0, -1):
+        near = f"(1e0 + 2e0 * {x} * {x} / {2 * k + 1}e0 * {near})"
+    for k in range(80, 0, -1):
+        far = f"({x} + {k / 2}e0 / {far})"
+    scale = f"(exp(-{x} * {x}) / sqrt(pi()))"
+    return f"CASE WHEN {x} < 2 THEN 1e0 - 2e0 * {x} * {scale} * {near} ELSE {scale} / {far} END"
+
+
+@query("ab_p_value", sql(f"""
+    SELECT experiment_id, p_value, is_significant,
+        CASE WHEN is_significant AND absolute_lift < 0
+          THEN printf('Statistically significant improvement: %.1f%% reduction in churned (p=%.4f)', abs(relative_lift_pct), p_value)
+        WHEN is_significant
+          THEN printf('Statistically significant increase: %.1f%% increase in churned (p=%.4f)', relative_lift_pct, p_value)
+        ELSE printf('No statistically significant difference (p=%.4f). Lift: %.1f%%', p_value, relative_lift_pct)
+        END AS interpretation
+    FROM (SELECT *, {erfc_sql("x")} AS p_value, abs(z_score) > {Z[0.975]!r} AS is_significant
+          FROM (SELECT *, abs(z_score) / sqrt(2) AS x FROM ab))""", ["p_value"], _AB))
 def ab_p_value(spark, folder):
     tested = experiments.with_p_value(experiments.analyse(_arms(spark, folder)))
     return tidy(tested.select("experiment_id", "p_value", "is_significant", "interpretation"))
@@ -600,19 +627,61 @@ def _report_inputs(spark, folder):
     )
 
 
-@query("recommendations", sql("""
-    SELECT 1 AS rule_no, 'customers_at_risk' AS rule, customers_at_risk::DOUBLE AS value FROM kpi
+ADVICE = """advice AS (
+    SELECT 1 AS rule_no, 'customers_at_risk' AS rule, customers_at_risk::DOUBLE AS value,
+        printf('URGENT: %d customers (%.1f%%) are at risk. Immediate intervention required.',
+            customers_at_risk, at_risk_percentage) AS text FROM kpi
         WHERE customers_at_risk > total_customers * 0.3
-    UNION ALL SELECT 2, 'revenue_at_risk', revenue_at_risk_percentage FROM kpi WHERE revenue_at_risk_percentage > 30
-    UNION ALL SELECT 3, 'strong_roi', roi_percentage FROM roi WHERE roi_percentage > 200
-    UNION ALL SELECT 4, 'critical_cohorts', count(*) FROM cohorts WHERE risk_level = 'critical' HAVING count(*) > 0
-    UNION ALL SELECT 5, 'model_quality', model_roc_auc FROM kpi WHERE model_roc_auc < 0.8""",
-    ["value"], f"{kpi_ctes()}, {ROI}, {COHORTS}"))
+    UNION ALL SELECT 2, 'revenue_at_risk', revenue_at_risk_percentage,
+        'CRITICAL: $' || format('{:,.0f}', revenue_at_risk)
+            || printf(' in monthly revenue (%.1f%%) is at risk.', revenue_at_risk_percentage)
+        FROM kpi WHERE revenue_at_risk_percentage > 30
+    UNION ALL SELECT 3, 'strong_roi', roi_percentage,
+        printf('STRONG ROI: Retention initiatives show %.1f%% ROI. Scale intervention programs.', roi_percentage)
+        FROM roi WHERE roi_percentage > 200
+    UNION ALL SELECT 4, 'critical_cohorts', count(*), printf('Focus on %d critical-risk cohorts with ', count(*))
+            || '$' || format('{:,.0f}', sum(total_annual_revenue)) || ' in annual revenue.'
+        FROM cohorts WHERE risk_level = 'critical' HAVING count(*) > 0
+    UNION ALL SELECT 5, 'model_quality', model_roc_auc,
+        'Consider model retraining: Current model performance may be degrading.' FROM kpi WHERE model_roc_auc < 0.8)"""
+
+
+@query("recommendations", sql("SELECT * FROM advice", ["value"], f"{kpi_ctes()}, {ROI}, {COHORTS}, {ADVICE}"))
 def recommendations(spark, folder):
-    return tidy(reports.recommendations(*_report_inputs(spark, folder)).drop("text"))
-
-
-@query("exec_summary")
+    return tidy(reports.recommendations(*_report_inputs(spark, folder)))
+
+
+def _lines(section, item, source, **texts):
+    """SQL rows (section, item, measure, text) of one source, one for each text."""
+    return " UNION ALL ".join(
+        f"SELECT '{section}' AS section, {item} AS item, '{name}' AS measure, {text} AS text FROM {source}"
+        for name, text in texts.items())
+
+
+def _money(column):
+    return f"'$' || format('{{:,.2f}}', {column})"
+
+
+@query("exec_summary", sql(" UNION ALL ".join([
+    _lines("key_findings", "'all'", "kpi", customers_at_risk="CAST(customers_at_risk AS VARCHAR)",
+           revenue_at_risk=_money("revenue_at_risk"),
+           revenue_at_risk_percentage="printf('%.1f%%', revenue_at_risk_percentage)",
+           estimated_annual_churn="CAST(estimated_annual_churn AS VARCHAR)",
+           estimated_revenue_loss=_money("estimated_revenue_loss")),
+    _lines("roi_analysis", "'all'", "roi", intervention_cost=_money("intervention_cost"),
+           estimated_revenue_saved=_money("revenue_saved"), net_benefit=_money("net_benefit"),
+           roi_percentage="printf('%.1f%%', roi_percentage)",
+           payback_period_months="printf('%.1f', payback_period_months)"),
+    _lines("critical_cohorts", "name",
+           "(SELECT * FROM cohorts ORDER BY avg_churn_probability DESC, total_annual_revenue LIMIT 5)",
+           customer_count="CAST(customer_count AS VARCHAR)", total_annual_revenue=_money("total_annual_revenue"),
+           avg_churn_probability="printf('%.1f%%', avg_churn_probability * 100)"),
+    _lines("high_impact_playbooks", "playbook_id",
+           "(SELECT * FROM playbooks ORDER BY churn_probability DESC, playbook_id LIMIT 5)",
+           churn_probability="printf('%.1f%%', churn_probability * 100)", monthly_revenue=_money("monthly_revenue"),
+           net_roi="printf('%.1fx', net_roi)"),
+    "SELECT 'recommendations', rule, 'text', text FROM advice",
+]), ctes=f"{kpi_ctes()}, {ROI}, {COHORTS}, {ADVICE}, {PLAYBOOKS}"))
 def exec_summary(spark, folder):
     rows = scored(spark, folder)
     return reports.executive_summary(*_report_inputs(spark, folder), _playbooks(rows))

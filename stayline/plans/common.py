@@ -80,6 +80,9 @@ base AS (SELECT concat('C-', CAST(k AS VARCHAR)) AS "customerID", k, bp, mc,
 
 COLUMNS = ", ".join(f'"{c}"' for c in S.CUSTOMER_COLUMNS)
 
+#: Place of a customer in the seeded split, from 0 to 9999.
+SLOT = "CAST('0x' || substr(md5(concat(\"customerID\", '|42')), 1, 8) AS BIGINT) % 10000"
+
 SERVICE_COUNT = "(" + " + ".join(f"(\"{c}\" = 'Yes')::INT" for c in S.SERVICES) + ")"
 
 SCORED = f"""

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from stayline import schema as S
 from stayline.functions import features as X
 from stayline.operators import explain, features, scoring, splits
-from stayline.plans.common import SERVICE_COUNT, sql, tidy, unpivot_sql
+from stayline.plans.common import SERVICE_COUNT, SLOT, sql, tidy, unpivot_sql
 from stayline.plans.intake import _DIRTY, _ENGINEERED, errors_sql
 from stayline.sources import derived
 
@@ -165,14 +165,20 @@ catalogue AS (
 
 
 @query("feature_catalogue", sql(
-    """SELECT *, CASE WHEN feature = 'tenure' THEN 'Months with the company' END AS description,
-       CASE WHEN feature = 'tenure' THEN 'retention' END AS owner FROM catalogue""",
+    f"""SELECT *, CASE WHEN feature = 'tenure' THEN 'Months with the company' END AS description,
+       CASE WHEN feature = 'tenure' THEN 'retention' END AS owner,
+       CASE WHEN feature = 'tenure' THEN 'numeric' ELSE '' END AS tags,
+       '{",".join([*CATALOGUED[0], *CATALOGUED[1]])}' AS column_order,
+       '{{"scale":"standard"}}' AS transformer_config FROM catalogue""",
     ["null_share", "mean", "min", "max"], _CATALOGUE))
 def feature_catalogue(spark, folder):
     catalogue = features.feature_catalogue(
-        derived.snapshots(spark, folder), *CATALOGUED, metadata=_described(spark)
+        derived.snapshots(spark, folder), *CATALOGUED, metadata=_described(spark),
+        transformer_config={"scale": "standard"},
     )
-    return tidy(catalogue.drop("column_order", "transformer_config", "tags"))
+    return tidy(catalogue.withColumns({
+        "tags": F.concat_ws(",", "tags"), "column_order": F.concat_ws(",", "column_order"),
+        "transformer_config": F.to_json("transformer_config")}))
 
 
 @query("feature_catalogue_latest", sql(
@@ -188,12 +194,9 @@ def feature_catalogue_latest(spark, folder):
 
 # --- splits ------------------------------------------------------------------------------
 
-_SLOT = "CAST('0x' || substr(md5(concat(\"customerID\", '|42')), 1, 8) AS BIGINT) % 10000"
-
-
 @query("stratified_split", sql(
-    f"""SELECT "customerID", "Churn", CASE WHEN {_SLOT} < 2000 THEN 'test'
-        WHEN {_SLOT} < 3600 THEN 'validation' ELSE 'train' END AS split FROM customers"""))
+    f"""SELECT "customerID", "Churn", CASE WHEN {SLOT} < 2000 THEN 'test'
+        WHEN {SLOT} < 3600 THEN 'validation' ELSE 'train' END AS split FROM customers"""))
 def stratified_split(spark, folder):
     rows = derived.customers(spark, folder).select(S.ID, S.TARGET)
     return splits.stratified_split(rows)
@@ -212,7 +215,7 @@ def stratified_split_exact(spark, folder):
 
 
 @query("kfold_balance", sql(
-    f"""SELECT CAST({_SLOT} % 5 AS INT) AS fold, count(*) AS n,
+    f"""SELECT CAST({SLOT} % 5 AS INT) AS fold, count(*) AS n,
         avg(("Churn" = 'Yes')::INT) AS positive_rate FROM customers GROUP BY 1""",
     ["positive_rate"]))
 def kfold_balance(spark, folder):

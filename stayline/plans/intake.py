@@ -155,6 +155,14 @@ def dq_summary(spark, folder):
     )
 
 
+@query("quality_gate", sql("""
+    SELECT count(*) FILTER (NOT success) = 0 AS open,
+        coalesce(string_agg(expectation, ', ' ORDER BY expectation) FILTER (NOT success), '') AS failed
+    FROM results""", ctes=_EXPECTED))
+def quality_gate(spark, folder):
+    return quality.quality_gate(quality.expectations(derived.dirty_customers(spark, folder)))
+
+
 def errors_sql():
     """SQL list of the contract errors of a row, in column order."""
     rules = ["CASE WHEN \"customerID\" IS NULL THEN 'customerID: missing' END"]

@@ -89,7 +89,7 @@ def _sides(spark, folder):
 
 @query("psi_numeric", sql("SELECT * FROM psi_n", ["psi"], _DRIFT))
 def psi_numeric(spark, folder):
-    return tidy(drift.psi_numeric(drift.value_counts(*_sides(spark, folder), NUMBERS)))
+    return tidy(drift.psi_by_bins(*_sides(spark, folder), NUMBERS))
 
 
 @query("psi_categorical", sql("SELECT * FROM psi_c", ["psi"], _DRIFT))
@@ -104,11 +104,34 @@ def ks_two_sample(spark, folder):
     return tidy(drift.ks_two_sample(drift.value_counts(*_sides(spark, folder), NUMBERS)))
 
 
-@query("ks_exact", sql(
-    "SELECT feature, n_ref, n_cur, ks_statistic FROM ks", ["ks_statistic"], _DRIFT))
+# Lattice paths from (0, 0) to (n_ref, n_cur) that keep their distance below the statistic,
+# one step of the reference at a time, scaled by their peak so that no count overflows.
+_LATTICE = f"""{_DRIFT},
+lattice AS (SELECT feature, n_ref AS n, n_cur AS m, lcm(n_ref, n_cur) AS common,
+    round(ks_statistic * lcm(n_ref, n_cur)) AS bound FROM ks),
+walks AS (
+  SELECT feature, 0 AS i, j, (j * (common // m) < bound)::INT::DOUBLE AS paths, 0e0 AS log_scale
+  FROM lattice, LATERAL (SELECT unnest(range(0, m + 1)) AS j)
+  UNION ALL
+  SELECT feature, i, j, paths / peak, log_scale + ln(peak) FROM (
+    SELECT *, max(paths) OVER (PARTITION BY feature) AS peak FROM (
+      SELECT feature, i, j, log_scale, inside * sum(paths * inside) OVER (PARTITION BY feature ORDER BY j) AS paths
+      FROM (SELECT w.feature, w.i + 1 AS i, w.j, w.paths, w.log_scale,
+                (abs(w.j * (l.common // l.m) - (w.i + 1) * (l.common // l.n)) < l.bound)::INT AS inside
+            FROM walks w JOIN lattice l ON l.feature = w.feature WHERE w.i < l.n)))
+  WHERE peak > 0),
+stayed AS (SELECT l.feature, l.n, l.m, l.bound, w.paths, w.log_scale
+  FROM lattice l LEFT JOIN walks w ON w.feature = l.feature AND w.i = l.n AND w.j = l.m)"""
+
+
+@query("ks_exact", sql("""
+    SELECT feature, n_ref, n_cur, ks_statistic, 'exact' AS ks_distribution,
+        CASE WHEN bound <= 0 OR coalesce(paths, 0) = 0 THEN 1e0
+          ELSE 1 - exp(ln(paths) + log_scale - (lgamma(n + m + 1) - lgamma(n + 1) - lgamma(m + 1))) END AS ks_pvalue
+    FROM ks JOIN stayed USING (feature)""", ["ks_statistic", "ks_pvalue"], _LATTICE).replace("WITH", "WITH RECURSIVE", 1))
 def ks_exact(spark, folder):
     counts = drift.value_counts(*_sides(spark, folder), NUMBERS)
-    return tidy(drift.ks_two_sample(counts, method="auto").drop("ks_pvalue"))
+    return tidy(drift.ks_two_sample(counts, method="auto"))
 
 
 def _data_drift(spark, folder):

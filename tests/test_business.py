@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from stayline import schema as S
 from stayline.functions import rules as R
 from stayline.functions.features import predicted_clv
+from stayline.functions.stats import two_tailed_p
 from stayline.operators import (
     clv, cohorts, experiments, journey, kpis, playbooks, reports, roi,
 )
@@ -172,6 +173,15 @@ def test_sample_size(spark):
     assert rows[0] == math.ceil(top / (p1 - p2) ** 2) and rows[1] == 1000 and rows[2] >= 30
 
 
+def test_two_tailed_p_without_python(spark):
+    z = [0.0, 1e-9, -0.5, 1.0, 1.96, -2.8, 2.83, 4.0, 8.0, -25.0, 60.0, None]
+    df = spark.createDataFrame([(v,) for v in z], "z double").withColumn("p", two_tailed_p(F.col("z")))
+    assert "Python" not in plan_text(df)
+    for row in df.collect():
+        expected = None if row.z is None else math.erfc(abs(row.z) / math.sqrt(2))
+        assert row.p == (None if expected is None else pytest.approx(expected, rel=1e-9, abs=1e-300))
+
+
 def test_ab_analysis(spark):
     rows = [("e", 0, int(i < 50)) for i in range(100)] + [("e", 1, int(i < 20)) for i in range(100)]
     rows += [("one-armed", 0, 1)]

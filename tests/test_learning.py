@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from stayline import schema as S
 from stayline.operators import explain, features, learn, metrics, scoring
 from stayline.sources import derived
+from tests.helpers import plan_text
 
 
 @pytest.fixture(scope="module")
@@ -88,24 +89,75 @@ def test_all_rejected_is_an_error(spark, customers):
     scoring.require_some_scored(scoring.score_totals(customers))
 
 
-def test_queries_search_and_explain_with_the_defaults(monkeypatch):
+def test_the_explanation_query_uses_the_defaults(monkeypatch):
     from stayline.plans import learning
 
     seen = {}
 
-    def record(name):
-        def call(*given, **named):
-            seen[name] = named
-            seen[name + "_iterations"] = given[0].getMaxIter() if name == "tune" else None
-            raise InterruptedError
-        return call
+    def record(*_, **named):
+        seen.update(named)
+        raise InterruptedError
 
     monkeypatch.setattr(learning, "_parts", lambda *_: (None, None, []))
     monkeypatch.setattr(learning.learn, "fit_baseline", lambda *_: None)
-    monkeypatch.setattr(learning.learn, "tune", record("tune"))
-    monkeypatch.setattr(learning.explain, "sampled_contributions", record("explain"))
-    for query in (learning.tune, learning.explain_model):
-        with pytest.raises(InterruptedError):
-            query(None, None)
-    assert seen["tune"].get("trials", learn.TRIALS) == 20 and seen["tune"]["folds"] == 5
-    assert seen["tune_iterations"] == 100 and seen["explain"].get("permutations", 8) == 8
+    monkeypatch.setattr(learning.explain, "sampled_contributions", record)
+    with pytest.raises(InterruptedError):
+        learning.explain_model(None, None)
+    assert seen.get("permutations", 8) == 8
+
+
+def test_contributions_need_no_window(spark, rows):
+    data, names = rows
+    plan = plan_text(explain.sampled_contributions(learn.fit_baseline(data, max_iter=5), data, names))
+    # The only window numbers the background rows.
+    assert plan.count("Window ") <= 1 and "array_position" not in plan
+
+
+def test_boosting_keeps_the_rounds_of_the_lowest_loss(spark, rows, monkeypatch):
+    data, _ = rows
+    model, rounds = learn.fit_boosted(data, rounds=24, patience=6, maxDepth=6, stepSize=0.6)
+    assert model.getNumTrees == rounds < 24
+    held = learn.held_share(learn.with_balance(data), 0.15, "boosting-42")
+    more = learn.boosted_trees(maxIter=rounds + 6, maxDepth=6, stepSize=0.6).fit(held.where("not held"))
+    losses = more.evaluateEachIteration(held.where("held"))
+    # More rounds are worse, and the first rounds of a longer run are those of the shorter one.
+    assert min(losses) == losses[rounds - 1] and losses[-1] > losses[rounds - 1]
+    assert model.evaluateEachIteration(held.where("held")) == pytest.approx(losses[:rounds])
+    capped, rounds = learn.fit_boosted(data, rounds=2, patience=50)
+    assert capped.getNumTrees == rounds <= 2
+
+
+def test_search_halves_and_keeps_to_its_time(spark, rows):
+    data, _ = rows
+    estimator, space = learn.baseline(data, max_iter=5), {"regParam": (0.001, 1.0)}
+    found, best = learn.halving_search(estimator, data, space, trials=6, fractions=(0.3, 1.0), parallelism=2)
+    table = spark.createDataFrame(found, learn.TRIAL_COLUMNS).collect()
+    by = {rung: [r for r in table if r.rung == rung] for rung in (0, 1)}
+    assert len(by[0]) == 6 and len(by[1]) == 2
+    kept = sorted((r.roc_auc for r in by[0] if r.outcome == "kept"), reverse=True)
+    assert len(kept) == 2 and kept[-1] >= max(r.roc_auc for r in by[0] if r.outcome == "dropped")
+    first = max(by[1], key=lambda r: r.roc_auc)
+    assert first.outcome == "best" and float(first.params["regParam"]) == best[estimator.regParam]
+
+    ticks = iter(range(100))
+    found, best = learn.halving_search(
+        estimator, data, space, trials=4, fractions=(0.3, 1.0), seconds=2, parallelism=1, clock=lambda: next(ticks))
+    assert [x[5] for x in found if x[4] is None] == ["time"] * sum(x[4] is None for x in found) and best is not None
+    assert any(x[4] is None for x in found)
+    none, best = learn.halving_search(estimator, data, space, trials=2, seconds=-1, parallelism=1)
+    assert best is None and {x[5] for x in none} == {"time"}
+
+
+def test_areas_of_the_folds(spark, rows):
+    data, _ = rows
+    folds = learn.cross_validated(learn.baseline(data, max_iter=10), data, folds=3)
+    areas = [r.roc_auc for r in folds.collect()]
+    row = learn.fold_summary(folds).first()
+    assert len(areas) == row.folds == 3 and all(0.6 < a < 1 for a in areas)
+    assert row.mean_auc == pytest.approx(sum(areas) / 3)
+
+
+def test_the_fit_has_no_slope_left(rows):
+    data, _ = rows
+    assert learn.gradient_size(learn.fit_baseline(data), data) < 1e-4
+    assert learn.gradient_size(learn.fit_baseline(data, max_iter=1), data) > 1e-3

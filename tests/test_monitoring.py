@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from stayline.functions.stats import kolmogorov_p
 from stayline.operators import alerts, drift, performance
+from tests.helpers import plan_text
 
 
 def _normal(spark, seed, n=1000, shift=0.0):
@@ -192,3 +193,22 @@ def test_alignment_by_key(spark):
     labels = spark.createDataFrame([("b", 0), ("a", 1), ("y", 1)], "customerID string, label int")
     row = performance.perf_metrics(performance.aligned(scores, labels)).first()
     assert row.sample_size == 2 and row.roc_auc == 1.0 and row.prediction_threshold == 0.5
+
+
+def test_psi_needs_no_order(spark):
+    frame = lambda seed, shift: spark.range(500).select(
+        (F.rand(seed) + shift).alias("x"), F.when(F.rand(seed + 1) < 0.9, F.floor(F.rand(seed + 2) * 5)).alias("y"))
+    a, b = frame(1, 0.0).cache(), frame(7, 0.2).cache()
+    ordered = {r.feature: r.psi for r in drift.psi_numeric(drift.value_counts(a, b, ["x", "y"])).collect()}
+    binned = drift.psi_by_bins(a, b, ["x", "y"])
+    assert {r.feature: r.psi for r in binned.collect()} == pytest.approx(ordered)
+    assert "rangepartitioning" not in plan_text(binned) and "Window" not in plan_text(binned)
+
+
+def test_the_p_value_says_where_it_comes_from(spark):
+    frame = lambda n: spark.range(n).select(F.col("id").cast("double").alias("x"))
+    counts = drift.value_counts(frame(30), frame(40), ["x"])
+    found = [drift.ks_two_sample(counts, "auto", limit).first() for limit in (100, 10)]
+    assert [r.ks_distribution for r in found] == ["exact", "limit"]
+    assert found[0].ks_pvalue == drift.ks_two_sample(counts, "exact").first().ks_pvalue
+    assert found[1].ks_pvalue == drift.ks_two_sample(counts).first().ks_pvalue

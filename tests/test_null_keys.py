@@ -2,7 +2,7 @@
 
 import datetime
 
-from stayline.operators import clv, metrics, performance, prefix, splits
+from stayline.operators import clv, kpis, metrics, performance, prefix, profile, splits
 
 
 def test_exact_split_keeps_null_labels(spark):
@@ -37,3 +37,21 @@ def test_trend_has_every_point(spark):
     rows = [((start + datetime.timedelta(days=i)).isoformat(), *[0.5] * len(performance.COMPARED)) for i in range(150)]
     history = spark.createDataFrame(rows, f"timestamp string, {fields}")
     assert performance.perf_trend(history).count() == 150
+
+
+def test_null_group_has_an_area_and_a_comparison(spark):
+    rows = [(g, f"{g}{i}", i / 10, int(i > 5)) for g in ("x", None) for i in range(10)]
+    df = spark.createDataFrame(rows, "g string, id string, score double, label int")
+    now = performance.perf_metrics(df, ["g"])
+    assert {r.g: r.roc_auc for r in now.collect()} == {"x": 1.0, None: 1.0}
+    compared = performance.compare(now, now, ["g"]).collect()
+    assert {r.g for r in compared} == {"x", None} and not any(r.degraded for r in compared)
+
+
+def test_null_group_has_key_figures_and_a_density(spark):
+    rows = [(g, 0.8, float(m)) for g in ("x", None) for m in (10, 20, 30, 40)]
+    df = spark.createDataFrame(rows, "g string, churn_probability double, MonthlyCharges double")
+    table = {r.g: r.intervention_readiness_score for r in kpis.kpi_table(df, ["g"]).collect()}
+    assert table == {"x": 25.0, None: 25.0}
+    bars = profile.histogram(df, ["MonthlyCharges"], bins=2, by=["g"], density=True).collect()
+    assert {r.g for r in bars} == {"x", None} and all(r.density is not None for r in bars)
