@@ -61,33 +61,80 @@ def fold_of(text, folds):
     return F.pmod(F.xxhash64(text), F.lit(folds)).cast("int")
 
 
-def ngram_counts(docs, trusted, size=16, folds=8):
-    """Counts of hashed words and word pairs: bucket, raw, and target_k of each fold k.
+#: Bits of the filter of trusted ids that every task gets: 2 MB, however many there are.
+FILTER_BITS = 24
+#: Most ids that a join broadcasts; beyond it Spark shuffles.
+BROADCAST_IDS = 100_000
 
-    `trusted` has the doc_id of the trusted documents (nulls and repeats don't matter).
-    Every document counts as raw corpus.
-    """
-    ids = trusted.select(F.col("doc_id").alias("trusted_id")).where("trusted_id is not null").distinct()
-    text = F.col("text").cast("binary")
-    rows = docs.select("doc_id", text.alias("text"), fold_of(text, folds).alias("fold")).join(
-        ids, F.col("doc_id") == F.col("trusted_id"), "left"
-    ).select("text", F.when(F.col("trusted_id").isNotNull(), F.col("fold")).otherwise(folds).alias("fold"))
+
+def _place(doc_id):
+    """Place of an id in the filter."""
+    return F.pmod(F.xxhash64(doc_id), F.lit(1 << FILTER_BITS))
+
+
+def id_filter(ids):
+    """The ids (column doc_id) as bits, 64 to a number."""
+    marked = ids.select(_place(F.col("doc_id")).alias("place")).select(
+        F.shiftright("place", 6).alias("word"), F.col("place").bitwiseAND(F.lit(63)).cast("int").alias("bit"))
+    found = marked.groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")).toArrow()
+    out = np.zeros(1 << FILTER_BITS >> 6, np.int64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return out
+
+
+def _counted(rows, shared, size, folds, sign=1):
+    """Counts of the n-grams of `rows` (text, fold, place), as target where the place is in the filter."""
     names = ["raw", *[f"target_{k}" for k in range(folds)]]
 
     def work(batches):
         raw, target = np.zeros(1 << size, np.int64), np.zeros((folds + 1, 1 << size), np.int64)
-        for batch in X.slices(batches):
+        bits = None if shared is None else shared.value
+        for batch in X.slices(batches, limit=1 << 18):
             words = X.Words(batch.column("text").to_pylist())
             found, text = buckets(words.hashes(lower=True), words.bounds, size)
-            raw += np.bincount(found, minlength=1 << size)
-            fold = batch.column("fold").to_numpy()[text]
+            if bits is None:
+                hit = np.ones(batch.num_rows, bool)
+            else:
+                raw += np.bincount(found, minlength=1 << size)
+                place = batch.column("place").to_numpy()
+                hit = (place >= 0) & ((bits[place >> 6] >> (place & 63)) & 1 == 1)
+            fold = np.where(hit, batch.column("fold").to_numpy(), folds)[text]
             some = fold < folds
             np.add.at(target.reshape(-1), (fold[some].astype(np.int64) << size) + found[some], 1)
-        used = np.flatnonzero(raw)
+        used = np.flatnonzero(raw + target[:folds].sum(axis=0))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (used, raw[used], *target[:folds, used])], ["bucket", *names])
+            [pa.array(x) for x in (used, raw[used], *(sign * target[:folds, used]))], ["bucket", *names])
+
+    return rows.mapInArrow(work, ", ".join(f"{x} long" for x in ["bucket", *names]))
 
-    counts = rows.mapInArrow(work, ", ".join(f"{x} long" for x in ["bucket", *names]))
+
+def ngram_counts(docs, trusted, size=16, folds=8):
+    """Counts of hashed words and word pairs: bucket, raw, and target_k of each fold k.
+
+    `trusted` has the doc_id of the trusted documents (nulls and repeats don't matter).
+    Every document counts as raw corpus. No text is shuffled: one scan counts every document
+    whose id passes a filter of fixed size as trusted; ids alone are joined to find those
+    that passed wrongly, and what these documents added is taken off again.
+    """
+    ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
+    shared = docs.sparkSession.sparkContext.broadcast(id_filter(ids))
+    text, doc_id = F.col("text").cast("binary"), F.col("doc_id").cast("long")
+    rows = docs.select(
+        doc_id.alias("doc_id"), text.alias("text"), fold_of(text, folds).alias("fold"),
+        F.when(doc_id.isNotNull(), _place(doc_id)).otherwise(-1).alias("place"))
+    counts = _counted(rows.select("text", "fold", "place"), shared, size, folds)
+    names = counts.columns[1:]
+
+    path = scratch_path(docs.sparkSession, "passed")
+    others = docs.select(doc_id.alias("doc_id")).where("doc_id is not null").distinct().join(ids, "doc_id", "left_anti")
+    taken = ids.select(_place(F.col("doc_id")).alias("place")).distinct()
+    others.withColumn("place", _place(F.col("doc_id"))).join(taken, "place").select("doc_id").write.parquet(path)
+    wrong = docs.sparkSession.read.parquet(path)
+    n = wrong.count()
+    if n:
+        few = F.broadcast(wrong) if n <= BROADCAST_IDS else wrong
+        again = rows.join(few, "doc_id", "left_semi").select("text", "fold")
+        counts = counts.unionByName(_counted(again, None, size, folds, sign=-1))
     return counts.groupBy("bucket").agg(*[F.sum(x).alias(x) for x in names])
 
 
@@ -114,7 +161,7 @@ def measured(docs, ratios, size=16):
         F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), fold_of(text, len(ratios) - 1).alias("fold"))
 
     def work(batches):
-        for batch in X.slices(batches):
+        for batch in X.slices(batches, limit=1 << 18):
             texts = [t or b"" for t in batch.column("text").to_pylist()]
             words = X.Words(texts)
             bounds = words.bounds

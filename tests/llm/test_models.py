@@ -142,3 +142,22 @@ def test_licence_notices_over_lines_and_in_long_lines(spark, documents):
     assert sorted((r.doc_id, r.paragraph, r.family) for r in found) == [(-2, 0, "apache"), (-1, 1, "mit")]
     one = next(r for r in found if r.doc_id == -1)
     assert one.similarity == 1 and bytes(one.text).endswith(b"without restriction.")
+
+
+def test_target_counts_leave_out_ids_that_share_a_filter_place(spark, monkeypatch):
+    """With a filter of 64 places most documents pass it, and the counts stay those of a join."""
+    rows = [(i if i % 11 else None, f"Word{i % 7} word{i % 5} x{i % 3}", i) for i in range(400)] + [(5, "again word1", 0), (6, None, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fold int")
+    trusted = spark.createDataFrame([(i,) for i in range(0, 400, 9)] + [(None,), (0,), (9999,)], "doc_id long")
+
+    def counts(bits, few):
+        monkeypatch.setattr(quality, "FILTER_BITS", bits)
+        monkeypatch.setattr(quality, "BROADCAST_IDS", few)
+        return sorted(map(tuple, quality.ngram_counts(docs, trusted, 8, 3).where("raw <> 0").collect()))
+
+    wide, narrow, joined = counts(24, 10), counts(6, 1000), counts(6, 0)
+    assert wide == narrow == joined
+    known = {i for i in range(0, 400, 9)}
+    grams = sum(max(0, 2 * len((t or "").split()) - 1) for i, t, _ in rows)
+    target = sum(max(0, 2 * len((t or "").split()) - 1) for i, t, _ in rows if i in known)
+    assert (sum(r[1] for r in wide), sum(sum(r[2:]) for r in wide)) == (grams, target)
