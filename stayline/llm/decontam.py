@@ -238,5 +238,5 @@ def decontaminated(docs, benchmark, width=8, min_windows=5, min_share=0.5, bound
                 hit = {m[0] for m in shared.value.matches(texts, min_windows, min_share, kinds)}
                 yield batch.filter(pa.array([i not in hit for i in range(batch.num_rows)]))
 
-        docs = docs.mapInArrow(work, docs.schema)
+        docs = X.map_rows(docs, work)
     return docs

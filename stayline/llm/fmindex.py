@@ -5,7 +5,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from stayline.llm import texts as X
-from stayline.llm.repeats import Repeats
+from stayline.llm.repeats import SLICE, Repeats, overlapping
 from stayline.llm.suffixarray import joined, suffix_array
 
 RESULT = pa.schema([
@@ -124,10 +124,17 @@ def _symbols(texts):
 
 
 def _cut(text, ranges):
-    hashes = X.Words([text]).hashes()
+    hashes = X.long_words(text)
     return [hashes[a:b].tobytes() for a, b in ranges]
 
 
+def word_repeats(width, gram, index):
+    """Repeats of windows of words, told apart by 64-bit hashes of the words."""
+    return Repeats(
+        width, gram, _symbols, lambda text: overlapping(X.long_words(text), width), _cut,
+        lambda piece: np.frombuffer(piece, np.uint64), lambda pieces, counts: index(pieces, counts, width))
+
+
 def remove_repeats(docs, width=35, gram=5):
     """Texts without the words of any window of `width` words that starts at two places.
 
@@ -143,12 +150,10 @@ def remove_repeats(docs, width=35, gram=5):
     repeated rows are copies of each other; a null id stays null; an empty table gives no
     rows; columns beside doc_id and text are ignored.
     """
-    repeats = Repeats(
-        width, gram, _symbols, _cut, lambda piece: np.frombuffer(piece, np.uint64),
-        lambda pieces, counts: repeated_starts(pieces, counts, width))
+    repeats = word_repeats(width, gram, repeated_starts)
 
     def work(batches):
-        for batch in X.slices(batches):
+        for batch in X.slices(batches, limit=SLICE):
             out = {f.name: [] for f in RESULT}
             columns = (batch.column(c).to_pylist() for c in ("doc_id", "text", "spans"))
             for doc, text, spans in zip(*columns):

@@ -51,7 +51,7 @@ def fit(docs, size=15, smoothing=0.5):
 
     def work(batches):
         total = {}
-        for batch in batches:
+        for batch in X.slices(batches, limit=1 << 18):
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 counts = grams(text, size)
                 total[lang] = total[lang] + counts if lang in total else counts
@@ -129,20 +129,25 @@ def _judge(spark, model, size, penalty):
     return judge
 
 
-def known_language(docs, model, least=0.5, size=15, penalty=1.0):
-    """The rows of `docs` with a language whose share is at least `least`, as they are.
+def known_language(docs, model, least=0.5, wanted=None, size=15, penalty=1.0):
+    """The rows of `docs` with a language whose share is at least `least`; a null lang is filled.
 
     The decisions of `identify`, taken where a row is read: it rejects texts without a
-    letter and mixtures in which no language has that share.
+    letter, mixtures in which no language has that share, and languages not in `wanted`
+    (all learned ones if None). Other columns stay as they are.
     """
     judge = _judge(docs.sparkSession, model, size, penalty)
+    place = docs.columns.index("lang")
 
     def work(batches):
-        for batch in batches:
-            found = (judge(t and t.encode()) for t in batch.column("text").to_pylist())
-            yield batch.filter(pa.array([lang != "und" and score >= least for lang, score, *_ in found], pa.bool_()))
-
-    return docs.mapInArrow(work, docs.schema)
+        for batch in X.slices(batches, limit=1 << 18):
+            found = [judge(t and t.encode())[:2] for t in batch.column("text").to_pylist()]
+            kept = [lang != "und" and score >= least and (wanted is None or lang in wanted) for lang, score in found]
+            langs = [own if own is not None else lang for own, (lang, _) in zip(batch.column("lang").to_pylist(), found)]
+            filled = batch.set_column(place, "lang", pa.array(langs, pa.string()))
+            yield filled.filter(pa.array(kept, pa.bool_()))
+
+    return X.map_rows(docs, work)
 
 
 def identify(docs, model, size=15, penalty=1.0):

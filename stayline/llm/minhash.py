@@ -26,6 +26,9 @@ COLUMNS = "doc_id long, n_shingles long, set_hash binary, bands array<long>"
 #: Sets up to this size also get bands of half as many permutations: in small sets the
 #: minimum and the maximum agree less often than the square of the similarity.
 SMALL = 32
+#: Bytes of text that are hashed at a time, and shingles that a document of a block has at most on average.
+SLICE = 1 << 18
+SHINGLES = 1500
 
 
 def shingle_sets(texts, width):
@@ -93,7 +96,7 @@ def signatures(docs, width=5, bands=64, rows=4):
 
     def work(batches):
         hasher = MinMax(bands, rows)
-        for batch in X.slices(batches):
+        for batch in X.slices(batches, limit=SLICE):
             sets = list(shingle_sets(batch.column("text").to_pylist(), width))
             yield X.batch_of(
                 SIGNATURES, doc_id=batch.column("doc_id"), n_shingles=[len(s) for s in sets],
@@ -132,7 +135,7 @@ def confirmed(pairs, docs, width, percent, chunk=256):
 
     def work(batches):
         first, of = None, None
-        for batch in X.slices(batches):
+        for batch in X.slices(batches, limit=SLICE):
             sets = shingle_sets(batch.column("text").to_pylist(), width)
             a, b = [], []
             keys = zip(batch.column("a").to_pylist(), batch.column("partner").to_pylist(), batch.column("id").to_pylist())
@@ -161,7 +164,7 @@ def shared_elsewhere(rows, texts, width, per_range=400_000):
     counts = pa.schema([("rep", pa.int64()), ("common", pa.int64())])
 
     def cut(batches):
-        for batch in X.slices(batches):
+        for batch in X.slices(batches, limit=SLICE):
             out = []
             sets = shingle_sets(batch.column("text").to_pylist(), width)
             for rep, label, s in zip(batch.column("rep").to_pylist(), batch.column("label").to_pylist(), sets):
@@ -192,14 +195,16 @@ def compared(rows, texts, width, percent, block=256):
     """Links between documents of different labels that share a bucket.
 
     `rows` has key (of a bucket), rep, n, label and common. Documents connected by
-    buckets are dealt into blocks of about `block`; every two blocks meet in one task,
-    which compares those of their documents that share a bucket and can be alike.
+    buckets are dealt into blocks of about `block`, fewer if they have more than `SHINGLES`
+    shingles each; every two blocks meet in one task, which compares those of their documents
+    that share a bucket and can be alike.
     """
     low = rows.groupBy("key").agg(F.min("rep").alias("a"))
     cluster = components(rows.join(low, "key").select("a", F.col("rep").alias("b")))
     members = rows.groupBy("rep", "n", "label", "common").agg(F.collect_set("key").alias("keys")).join(
         cluster.select(F.col("id").alias("rep"), F.col("label").alias("cluster")), "rep")
-    size = members.groupBy("cluster").agg(F.ceil(F.count("*") / block).alias("blocks"))
+    size = members.groupBy("cluster").agg(F.ceil(F.greatest(
+        F.count("*") / block, F.sum("n") / (block * SHINGLES))).alias("blocks"))
     dealt = members.join(size, "cluster").withColumn("own", F.pmod(F.xxhash64("rep"), "blocks")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
@@ -220,7 +225,8 @@ def compared(rows, texts, width, percent, block=256):
         low, high = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
         fits = (label[x] != label[y]) & (low * 100 >= high * percent) & (
             np.minimum(common[x], common[y]) * (100 + percent) >= (low + high) * percent)
-        sets = list(shingle_sets(table.column("text").to_pylist(), width))
+        sets = [s for batch in X.slices(table.select(["text"]).to_batches(), limit=SLICE)
+                for s in shingle_sets(batch.column("text").to_pylist(), width)]
         keys = [set(k) for k in table.column("keys").to_pylist()]
         a, b = [], []
         for i, j in zip(x[fits].tolist(), y[fits].tolist()):
@@ -304,7 +310,8 @@ def one_of_each(docs, **options):
     """
     found = near_duplicates(docs, **options)
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    names = [f"`{c}`" for c in docs.columns]
+    kept = docs.join(gone, "doc_id", "left_anti").select(names)
     again = kept.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
     repeated = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(repeated.select(docs.columns))
+    return kept.join(again, "doc_id", "left_anti").select(names).unionByName(repeated.select(names))

@@ -88,7 +88,7 @@ def op7_suffix_array_dedup(spark, folder):
     found = suffixarray.remove_repeats(table(spark, folder, "documents"))
     return found.select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
-        F.sha2("kept", 256).alias("kept_sha256"))
+        F.sha2("kept", 256).alias("kept_sha256"), "n_passage_words")
 
 
 def op8_language_id(spark, folder):

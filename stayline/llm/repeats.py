@@ -9,6 +9,8 @@ anchor and differ go to the shards, where an index compares them in full. All wi
 count, at every size of the input; nothing is sampled.
 """
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -16,6 +18,9 @@ from pyspark.sql import functions as F
 from stayline.llm import texts as X
 from stayline.session import scratch_path
 
+#: Bytes of text that are hashed at a time.
+SLICE = 1 << 18
+
 SPOTS = pa.schema([
     ("row", pa.int64()), ("start", pa.int32()), ("count", pa.int32()),
     ("anchor", pa.int64()), ("content", pa.int64()),
@@ -28,6 +33,18 @@ SPANS = pa.schema([("row", pa.int64()), ("start", pa.int32()), ("end", pa.int32(
 DIGESTS = pa.schema([("shard", pa.int64()), ("range", pa.int64()), ("digests", pa.binary())])
 
 
+def delete_scratch(spark, path):
+    """Delete a written table that nothing reads any more."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
+def overlapping(values, width, step=1 << 16, hashes=lambda x: x):
+    """Parts of a long sequence with `step` windows each: first symbol, hashes of the symbols."""
+    for first in range(0, max(1, len(values) - width + 1), step):
+        yield first, hashes(values[first:first + step + width - 1])
+
+
 def _sliding_min(values, span):
     size = 1
     while size * 2 <= span:
@@ -38,16 +55,15 @@ def _sliding_min(values, span):
 
 def segments(values, bounds, width, gram):
     """(text, start in it, number of windows, anchor hash, content hash) of all segments."""
-    n = len(values)
-    if n < width:
+    size = np.diff(bounds)
+    long = size >= width
+    if not long.any():
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
     rolling = X.Rolling(values)
     grams = rolling.windows(gram)
     low = np.uint64(0xFFFFFFFF)
     key = (grams & ~low) | (low - np.arange(len(grams), dtype=np.uint64))
     at = (low - (_sliding_min(key, width - gram + 1) & low)).astype(np.int64)
-    size = np.diff(bounds)
-    long = size >= width
     inside = X.covered(bounds[:-1][long], bounds[:-1][long] + size[long] - width + 1, len(at))
     new = inside.copy()
     new[1:] &= (at[1:] != at[:-1]) | ~inside[:-1]
@@ -65,18 +81,44 @@ def segments(values, bounds, width, gram):
     return text, start - bounds[text], end - start, grams[at[start]], content
 
 
+def keyed(docs):
+    """row (a key of id and text), `own` (all columns but the text) and the text in bytes."""
+    return docs.select(
+        F.xxhash64("doc_id", "text").alias("row"),
+        F.struct(*[f"`{c}`" for c in docs.columns if c != "text"]).alias("own"),
+        F.col("text").cast("binary").alias("text"))
+
+
+def spread(df, counts, on, by, share=0.001, least=10_000):
+    """The rows of `df` that have a partner in `counts` (columns `on`, n), for frequent keys.
+
+    A key with more than `share` of all rows is dealt over as many parts as it has shares, by
+    a hash of the columns `by`. There are fewer than 1/share such keys.
+    """
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    limit = max(least, int(total * share))
+    parts = counts.select(*on, F.ceil(F.col("n") / limit).cast("int").alias("parts"))
+    frequent = F.broadcast(parts.where("parts > 1").select(*[F.col(c).alias(f"_{c}") for c in on], "parts"))
+    met = functools.reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_{c}") for c in on])
+    dealt = df.join(frequent, met, "left").withColumn(
+        "part", F.pmod(F.xxhash64(*by), F.coalesce("parts", F.lit(1))).cast("int")).select(*df.columns, "part")
+    partners = parts.select(*on, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    return dealt.join(partners, [*on, "part"], "left_semi").drop("part")
+
+
 class Repeats:
     """The job for one kind of symbol and one index.
 
-    `symbols(texts)` gives the symbols' hashes and the bounds of each text, `cut(text,
-    ranges)` the stored form of ranges of symbols, `restore(piece)` their hashes again,
-    and `index(pieces)` marks, for each piece with its number of windows, the windows that
-    occur in another place of the given pieces.
+    `symbols(texts)` gives the symbols' hashes and the bounds of each text, `long(text)` the
+    same for one long text as parts (first symbol, hashes) that overlap by less than a window,
+    `cut(text, ranges)` the stored form of ranges of symbols, `restore(piece)` their hashes
+    again, and `index(pieces)` marks, for each piece with its number of windows, the windows
+    that occur in another place of the given pieces.
     """
 
-    def __init__(self, width, gram, symbols, cut, restore, index, shard_bytes=2 << 20, shard_classes=3000):
+    def __init__(self, width, gram, symbols, long, cut, restore, index, shard_bytes=2 << 20, shard_classes=3000):
         self.width, self.gram = width, gram
-        self.symbols, self.cut, self.restore, self.index = symbols, cut, restore, index
+        self.symbols, self.long, self.cut, self.restore, self.index = symbols, long, cut, restore, index
         self.shard_bytes, self.shard_classes = shard_bytes, shard_classes
 
     def find(self, docs):
@@ -84,25 +126,37 @@ class Repeats:
 
         spans is null where nothing repeats, else an array of (start, end).
         """
-        spark = docs.sparkSession
-        rows = docs.select(
-            F.xxhash64("doc_id", "text").alias("row"),
-            F.struct(*[f"`{c}`" for c in docs.columns if c != "text"]).alias("own"),
-            F.col("text").cast("binary").alias("text"))
+        rows = keyed(docs)
+        return rows.join(self.spans(rows), "row", "left").select("own", "text", "spans")
 
-        def stored(df, name):
-            path = scratch_path(spark, name)
-            df.write.option("compression", "zstd").parquet(path)
-            return spark.read.parquet(path)
+    def spans(self, rows):
+        """row and its spans of symbols to remove, as a written table; `rows` is `keyed`.
 
+        The tables in between are deleted once it is written.
+        """
+        spark, paths = rows.sparkSession, []
+
+        def stored(df, name):
+            paths.append(scratch_path(spark, name))
+            df.write.option("compression", "zstd").parquet(paths[-1])
+            return spark.read.parquet(paths[-1])
+
+        found = self._found(rows, stored)
+        path = scratch_path(spark, "repeats")
+        found.write.option("compression", "zstd").parquet(path)
+        for old in paths:
+            delete_scratch(spark, old)
+        return spark.read.parquet(path)
+
+    def _found(self, rows, stored):
         spots = stored(self._spots(rows), "segments")
         # Written tables on both sides of a join let adaptive execution split a frequent anchor.
-        shared = stored(spots.groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
-        spots = stored(spots.join(shared, "anchor", "left_semi"), "shared")
+        shared = stored(spots.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "anchors")
+        spots = stored(spread(spots, shared, ["anchor"], ["row", "start"]), "shared")
         classes = stored(spots.groupBy("anchor", "content").agg(
             F.count("*").alias("n"), F.min(F.struct("row", "start", "count")).alias("one")), "classes")
-        copies = classes.where("n > 1").select("anchor", "content")
-        spans = [spots.join(copies, ["anchor", "content"], "left_semi").select(
+        copies = classes.where("n > 1").select("anchor", "content", "n")
+        spans = [spread(spots, copies, ["anchor", "content"], ["row", "start"]).select(
             "row", "start", (F.col("start") + F.col("count") + self.width - 1).alias("end"))]
         several = stored(
             classes.groupBy("anchor").agg(F.count("*").alias("classes")).where("classes > 1"), "several")
@@ -114,17 +168,28 @@ class Repeats:
         whole = spans[0]
         for more in spans[1:]:
             whole = whole.unionByName(more)
-        found = whole.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
-        return rows.join(found, "row", "left").select("own", "text", "spans")
+        return whole.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
 
     def _spots(self, rows):
+        """Segments of all texts. A long text is read in parts, whose windows are told apart
+        by their symbols only, so where a part ends changes no window and no result."""
+
+        def spots(row, first, values, bounds):
+            text, start, count, anchor, content = segments(values, bounds, self.width, self.gram)
+            return X.batch_of(
+                SPOTS, row=row.take(pa.array(text)), start=(start + first).astype(np.int32),
+                count=count.astype(np.int32), anchor=anchor.view(np.int64), content=content.view(np.int64))
+
         def work(batches):
-            for batch in X.slices(batches):
-                values, bounds = self.symbols(batch.column("text").to_pylist())
-                text, start, count, anchor, content = segments(values, bounds, self.width, self.gram)
-                yield X.batch_of(
-                    SPOTS, row=batch.column("row").take(pa.array(text)), start=start.astype(np.int32),
-                    count=count.astype(np.int32), anchor=anchor.view(np.int64), content=content.view(np.int64))
+            for batch in X.slices(batches, limit=SLICE):
+                texts = batch.column("text").to_pylist()
+                row = batch.column("row")
+                short = [t if t is not None and len(t) <= 2 * SLICE else None for t in texts]
+                yield spots(row, 0, *self.symbols(short))
+                for i, (t, s) in enumerate(zip(texts, short)):
+                    if t is not None and s is None:
+                        for first, values in self.long(t):
+                            yield spots(row.slice(i, 1), first, values, np.array([0, len(values)]))
 
         return rows.select("row", "text").mapInArrow(
             work, "row long, start int, count int, anchor long, content long")
@@ -137,7 +202,7 @@ class Repeats:
         joined = wanted.join(texts, F.col("row") == F.col("row2")).select("row", "text", "wanted")
 
         def work(batches):
-            for batch in X.slices(batches):
+            for batch in X.slices(batches, limit=SLICE):
                 out = {f.name: [] for f in PIECES}
                 columns = (batch.column(c).to_pylist() for c in ("row", "text", "wanted"))
                 for row, text, wanted in zip(*columns):

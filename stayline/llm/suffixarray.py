@@ -3,17 +3,22 @@
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stayline.llm import texts as X
-from stayline.llm.repeats import Repeats
+from stayline.llm.repeats import SLICE, Repeats, keyed, overlapping
 
 RESULT = pa.schema([
     ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
     ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("kept", pa.binary()),
+    ("n_passage_words", pa.int64()),
 ])
 COLUMNS = (
-    "doc_id long, n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary"
+    "doc_id long, n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary,"
+    " n_passage_words long"
 )
+#: Words of the shortest passage: one of over 50 words.
+PASSAGE = 51
 #: Between pieces; no byte of UTF-8 text has this value.
 SEPARATOR = b"\xff"
 
@@ -98,6 +103,24 @@ def repeated_starts(pieces, counts, width):
     return [found[b:b + c] for b, c in zip(begin, counts)]
 
 
+def repeated_word_starts(pieces, counts, width):
+    """The same for pieces of words (hashes of 8 bytes each) and windows of `width` words."""
+    hashes = np.frombuffer(b"".join(pieces), np.uint64)
+    _, codes = np.unique(hashes, return_inverse=True)
+    begin = np.cumsum([0, *[len(p) // 8 + 1 for p in pieces]])
+    # The separator 0 is in no window, so windows that meet agree on words only.
+    sequence = np.zeros(begin[-1], np.int64)
+    inside = np.ones(begin[-1], bool)
+    inside[begin[1:] - 1] = False
+    sequence[inside] = codes + 1
+    order = suffix_array(sequence, 1)
+    shared = common_prefixes(sequence, order)[order] >= width
+    shared[:-1] |= shared[1:]
+    found = np.zeros(len(sequence), bool)
+    found[order] = shared
+    return [found[b:b + c] for b, c in zip(begin, counts)]
+
+
 def _symbols(texts):
     raw = np.frombuffer(b"".join(t or b"" for t in texts), np.uint8)
     bounds = np.zeros(len(texts) + 1, np.int64)
@@ -107,12 +130,29 @@ def _symbols(texts):
 
 def byte_repeats(width, gram):
     return Repeats(
-        width, gram, _symbols, lambda text, ranges: [text[a:b] for a, b in ranges],
+        width, gram, _symbols,
+        lambda text: overlapping(np.frombuffer(text, np.uint8), width, hashes=X.byte_values),
+        lambda text, ranges: [text[a:b] for a, b in ranges],
         lambda piece: X.byte_values(np.frombuffer(piece, np.uint8)),
         lambda pieces, counts: repeated_starts(pieces, counts, width))
 
 
-def remove_repeats(docs, width=400, gram=32):
+def passage_repeats(width=PASSAGE, gram=7):
+    """Passages of `width` words and more, from suffix arrays over words."""
+    from stayline.llm.fmindex import word_repeats
+
+    return word_repeats(width, gram, repeated_word_starts)
+
+
+def both_repeats(docs, width, gram, words):
+    """own, text, `spans` of repeated bytes and `passages` (spans of words) of every row."""
+    rows = keyed(docs)
+    spans = byte_repeats(width, gram).spans(rows)
+    passages = passage_repeats(words).spans(rows).withColumnRenamed("spans", "passages")
+    return rows.join(spans, "row", "left").join(passages, "row", "left").select("own", "text", "spans", "passages")
+
+
+def remove_repeats(docs, width=400, gram=32, words=PASSAGE):
     """Texts without the bytes of any `width`-byte string that starts at two places.
 
     Candidate windows are found by anchors and brought together in shards. Each shard
@@ -121,18 +161,19 @@ def remove_repeats(docs, width=400, gram=32):
     sorted window digests.
 
     Returns doc_id, n_bytes, n_removed, spans (maximal removed runs) and kept (the other
-    bytes) of every row. Both places of a repeat are removed, also in one document. A
-    null text is empty; a text shorter than `width` stays; repeated rows are copies of
-    each other; a null id stays null; an empty table gives no rows; columns beside
-    doc_id and text are ignored.
+    bytes) of every row, and n_passage_words: its words in passages of `words` words or
+    more that start elsewhere too, found by suffix arrays over words, whatever their length
+    in bytes. Both places of a repeat are removed, also in one document. A null text is
+    empty; a text shorter than `width` stays; a long text is read in parts; repeated rows
+    are copies of each other; a null id stays null; an empty table gives no rows; columns
+    beside doc_id and text are ignored.
     """
-    repeats = byte_repeats(width, gram)
 
     def work(batches):
-        for batch in X.slices(batches):
+        for batch in X.slices(batches, limit=SLICE):
             out = {f.name: [] for f in RESULT}
-            columns = (batch.column(c).to_pylist() for c in ("doc_id", "text", "spans"))
-            for doc, text, spans in zip(*columns):
+            columns = (batch.column(c).to_pylist() for c in ("doc_id", "text", "spans", "passages"))
+            for doc, text, spans, passages in zip(*columns):
                 text = text or b""
                 gone = joined(spans)
                 out["doc_id"].append(doc)
@@ -141,9 +182,12 @@ def remove_repeats(docs, width=400, gram=32):
                 out["spans"].append([{"start": a, "end": b} for a, b in gone])
                 edges = [0, *[x for span in gone for x in span], len(text)]
                 out["kept"].append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])))
+                out["n_passage_words"].append(sum(b - a for a, b in joined(passages)))
             yield X.batch_of(RESULT, **out)
 
-    return repeats.find(docs).select(F.col("own.doc_id").cast("long").alias("doc_id"), "text", "spans").mapInArrow(work, COLUMNS)
+    found = both_repeats(docs, width, gram, words)
+    return found.select(
+        F.col("own.doc_id").cast("long").alias("doc_id"), "text", "spans", "passages").mapInArrow(work, COLUMNS)
 
 
 def joined(spans):
@@ -166,27 +210,37 @@ def _whole_characters(text, start, end):
     return start, end
 
 
-def without_repeats(docs, width=400, gram=32, min_words=0, min_bytes=0):
-    """The rows of `docs` with the removed bytes taken out of the text; n_chars follows it.
+def _places(text, passages):
+    """Spans of words as spans of bytes, from the first byte of the first word to the last of the last."""
+    words = X.Words([text])
+    # One blank stands before the text.
+    return [{"start": int(words.starts[p["start"]]) - 1, "end": int(words.ends[p["end"] - 1]) - 1} for p in passages]
+
+
+def without_repeats(docs, width=400, gram=32, words=PASSAGE):
+    """The rows of `docs` with repeated passages taken out of the text; n_chars follows it.
 
-    Only runs of repeated bytes with at least `min_words` words or `min_bytes` bytes go.
-    A character that a span holds only in part stays, so that texts stay valid. A text
-    of which nothing is left becomes empty; a null text stays null.
+    What goes: passages of `words` words or more, and strings of `width` bytes or more, that
+    start at two places. Each window is judged by itself, so quotations of different origin
+    that only touch stay. A character that a span holds only in part stays, so that texts
+    stay valid. A text of which nothing is left becomes empty; a null text stays null.
     """
     def work(batches):
-        for batch in batches:
+        for batch in X.slices(batches, limit=SLICE):
             out = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+            columns = (batch.column(c).to_pylist() for c in ("text", "spans", "passages"))
+            for text, spans, passages in zip(*columns):
                 if text is not None:
-                    long = [(a, b) for a, b in joined(spans) if b - a >= min_bytes or len(text[a:b].split()) >= min_words]
-                    edges = [0, *[x for span in long for x in _whole_characters(text, *span)], len(text)]
+                    gone = [*(spans or ()), *(_places(text, passages) if passages else ())]
+                    gone = joined(sorted(gone, key=lambda s: (s["start"], s["end"])))
+                    edges = [0, *[x for span in gone for x in _whole_characters(text, *span)], len(text)]
                     text = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])).decode("utf-8", "replace")
                 out.append(text)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("own"), pa.array(out, pa.string())], ["own", "text"])
 
-    found = byte_repeats(width, gram).find(docs)
-    own = found.schema["own"].dataType.simpleString()
-    left = found.mapInArrow(work, f"own {own}, text string")
+    found = both_repeats(docs, width, gram, words)
+    schema = T.StructType([found.schema["own"], T.StructField("text", T.StringType())])
+    left = found.mapInArrow(work, schema)
     changed = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
     return left.select(*[changed.get(c, F.col(f"own.`{c}`")).alias(c) for c in docs.columns])

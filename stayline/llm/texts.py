@@ -143,6 +143,35 @@ class Rolling:
         return mixed((self.sums[width:] - self.sums[:n]) * self.lift[:n]) if n else np.zeros(0, np.uint64)
 
 
+def long_hash(word, size=1 << 18):
+    """The hash that `Words` gives a word, taken part by part."""
+    total = 0
+    for at in range(0, len(word), size):
+        values = _BYTES[np.frombuffer(word[at:at + size], np.uint8)]
+        part = int((values * powers(INVERSE, len(values))).sum(dtype=np.uint64))
+        total += part * pow(INVERSE, at, 1 << 64)
+    return mixed(np.array([total % (1 << 64)], np.uint64))
+
+
+def long_words(text, size=1 << 18):
+    """Hashes of all words of a long text, read in parts that end at white space."""
+    out, start = [np.zeros(0, np.uint64)], 0
+    while start < len(text):
+        end = min(len(text), start + size)
+        last = end
+        while end < len(text) and not _SPACE[text[end]]:
+            end += 1
+        if end - last > size:
+            # One word goes on for more than a part.
+            while last > start and not _SPACE[text[last - 1]]:
+                last -= 1
+            out += [Words([text[start:last]]).hashes(), long_hash(text[last:end])]
+        else:
+            out.append(Words([text[start:end]]).hashes())
+        start = end
+    return np.concatenate(out)
+
+
 def runs(marked):
     """Starts and ends of the runs of true values."""
     edges = np.flatnonzero(np.diff(np.concatenate([[0], marked.astype(np.int8), [0]])))
@@ -157,6 +186,18 @@ def covered(starts, ends, n):
     return np.cumsum(depth[:n]) > 0
 
 
+def map_rows(docs, work):
+    """`mapInArrow` that gives rows of the same columns, whatever these are called."""
+    names, plain = docs.columns, [f"c{i}" for i in range(len(docs.columns))]
+    numbered = docs.toDF(*plain)
+
+    def renamed(batches):
+        for batch in work(b.rename_columns(names) for b in batches):
+            yield batch.rename_columns(plain)
+
+    return numbered.mapInArrow(renamed, numbered.schema).toDF(*names)
+
+
 def batch_of(schema, **columns):
     """Record batch with the columns in the order of the Arrow schema."""
     return pa.RecordBatch.from_arrays(

@@ -62,11 +62,69 @@ def test_substrings_equal_brute_force(spark, monkeypatch, classes):
     found = suffixarray.remove_repeats(docs, 30, 8).collect()
     assert sorted(str((r.doc_id, r.n_bytes, r.n_removed, bytes(r.kept))) for r in found) == without_repeats(
         rows, lambda t: (t or "").encode(), bytes, 30)
+    passages = [str(eval(r)[::2]) for r in without_repeats(rows, lambda t: (t or "").split(), lambda words: 0, 9)]
+    again = suffixarray.remove_repeats(docs, 30, 8, words=9).collect()
+    assert sorted(str((r.doc_id, r.n_passage_words)) for r in again) == sorted(passages)
     found = fmindex.remove_repeats(docs, 12, 3).collect()
     assert sorted(str((r.doc_id, r.n_words, r.n_removed, bytes(r.kept))) for r in found) == without_repeats(
         rows, lambda t: (t or "").encode().split(), b" ".join, 12)
 
 
+@pytest.mark.parametrize("slice_bytes", [40, 300])
+def test_long_texts_are_read_in_parts(spark, monkeypatch, slice_bytes):
+    """Texts of many parts, and words longer than a part, give what whole texts give."""
+    from stayline.llm import texts
+
+    monkeypatch.setattr(repeats, "SLICE", slice_bytes)
+    parts = repeats.overlapping
+    monkeypatch.setattr(suffixarray, "overlapping", lambda v, w, **k: parts(v, w, step=50, **k))
+    monkeypatch.setattr(fmindex, "overlapping", lambda v, w, **k: parts(v, w, step=20, **k))
+    rows = patchwork(5, ["a", "b", "ccé", "d"], 40) + [(700, "x " + "y" * 400 + " z"), (701, "q " + "y" * 400 + " z")]
+    docs = frame(spark, rows)
+    found = suffixarray.remove_repeats(docs, 30, 8).collect()
+    assert sorted(str((r.doc_id, r.n_bytes, r.n_removed, bytes(r.kept))) for r in found) == without_repeats(
+        rows, lambda t: (t or "").encode(), bytes, 30)
+    found = fmindex.remove_repeats(docs, 12, 3).collect()
+    assert sorted(str((r.doc_id, r.n_words, r.n_removed, bytes(r.kept))) for r in found) == without_repeats(
+        rows, lambda t: (t or "").encode().split(), b" ".join, 12)
+    text = b"a bb " + b"c" * 100 + b" d " + b"e" * 9
+    for size in (3, 10, 64, 1000):
+        assert texts.long_words(text, size).tolist() == texts.Words([text]).hashes().tolist()
+
+
+def test_frequent_keys_are_dealt_over_parts(spark):
+    df = spark.createDataFrame([(1, i) for i in range(900)] + [(2, i) for i in range(5)] + [(3, 0)], "k int, v int")
+    counts = df.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
+    found = repeats.spread(df, counts, ["k"], ["v"], share=0.1, least=10)
+    assert found.columns == df.columns and sorted(map(tuple, found.collect())) == sorted(map(tuple, df.where("k < 3").collect()))
+
+
+def test_neighbouring_quotations_stay(spark):
+    """Thirty words of one document and thirty of another are no passage of over 50 words."""
+    draw = random.Random(9)
+    words = lambda n: " ".join("".join(draw.choices("abcdefgh", k=6)) for _ in range(n))
+    first, second = words(120), words(120)
+    quoted = " ".join(first.split()[20:50] + second.split()[60:90])
+    rows = [(1, first), (2, second), (3, f"{words(20)} {quoted} {words(20)}")]
+    out = {r.doc_id: r.text for r in suffixarray.without_repeats(frame(spark, rows)).collect()}
+    assert out == dict(rows)
+    shared = " ".join(first.split()[20:71])
+    rows[2] = (3, f"start {shared} end")
+    out = {r.doc_id: r.text for r in suffixarray.without_repeats(frame(spark, rows)).collect()}
+    assert out[3] == "start  end" and len(out[1].split()) == 69 and out[2] == second
+
+
+def test_odd_column_names(spark):
+    names = ["doc_id", "text", "a b", "c.d", "e`f"]
+    rows = [(1, "some words of a text", 1, 2, 3), (1, "some words of a text", 1, 2, 3), (2, None, 4, 5, 6)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "x", "y", "z"]).toDF(*names[:4], "e_f")
+    assert sorted(map(tuple, minhash.one_of_each(docs).collect()), key=str) == sorted(set(rows), key=str)
+    out = suffixarray.without_repeats(docs, 400, 32)
+    assert out.columns == docs.columns and out.count() == 3
+    benchmark = spark.createDataFrame([(1, "another text entirely of a benchmark")], "item_id long, text string")
+    assert decontam.decontaminated(docs, benchmark).columns == docs.columns
+
+
 def test_removed_spans_leave_valid_texts(spark):
     rows = [(1, "é" * 40), (2, "ũ" + "é" * 40 + "!"), (3, None), (4, "short")]
     out = suffixarray.without_repeats(frame(spark, rows), 21, 8)
