@@ -8,6 +8,7 @@ from stayline.session import scratch_path
 from stayline.sources import derived
 from stayline.streaming import events as E
 from stayline.streaming import sinks
+from stayline.streaming.log_source import log_offsets, replay
 from stayline.streaming.upsert import BucketedTable
 
 QUERIES, ORACLE = {}, {}
@@ -111,6 +112,19 @@ def stream_run(spark, folder):
     return counts.report(spark)
 
 
+@query("event_replay", sql("""
+    SELECT "customerID", event_timestamp, tenure, "MonthlyCharges", error FROM sent WHERE event_id % 2 = 1""",
+    ["MonthlyCharges"], _EVENTS))
+def event_replay(spark, folder):
+    """What was added to a log after its offsets were taken, read again by these offsets."""
+    log = scratch_path(spark, "log")
+    _event_files(spark, folder, (log, 0))
+    start = log_offsets(log)
+    _event_files(spark, folder, (log, 1))
+    sent = E.normalize_events(replay(spark, log, start).select("value"))
+    return tidy(sent.select(S.ID, "event_timestamp", "tenure", "MonthlyCharges", "error"))
+
+
 _LATEST = ["churn_probability", "churn_prediction", "event_timestamp"]
 
 
