@@ -183,7 +183,7 @@ class Chains:
         return out
 
     def expected(self, model):
-        """Expected first states, moves and emissions of all sequences."""
+        """log10 likelihood of all sequences, and their expected first states, moves and emissions."""
         first, move, emit = model
         alpha, scale = self.forward(model)
         moves = np.zeros_like(move)
@@ -199,7 +199,7 @@ class Chains:
                 beta[:n2] = pull @ move.T
             gamma[at:at + n] = alpha[at:at + n] * beta
         emitted = np.stack([np.bincount(self.seen, weights=g, minlength=len(emit)) for g in gamma.T])
-        return gamma[:self.active[0]].sum(axis=0), moves * move, emitted
+        return np.log10(scale).sum(), gamma[:self.active[0]].sum(axis=0), moves * move, emitted
 
 
 def batched(batches, tokens=400_000):
@@ -217,35 +217,87 @@ def batched(batches, tokens=400_000):
                 yield own, [np.frombuffer(x, "<i2") for x in own.column("classes").to_pylist()]
 
 
-def train(rows, lexicon, states=8, rounds=4, seed=7):
+def companions(rows, lexicon, top=64):
+    """Counts of every class in the sequences that hold one of the `top` most frequent classes.
+
+    Gives these classes and a matrix with a row for each; its size depends on the parameters only.
+    """
+    size = len(lexicon.total)
+    common = np.argsort(-lexicon.total[1:], kind="stable")[:top] + 1
+    place = np.full(size, -1)
+    place[common] = np.arange(len(common))
+
+    def work(batches):
+        total = np.zeros((len(common), size))
+        for _, seqs in batched(batches, tokens=60_000):
+            text = np.repeat(np.arange(len(seqs)), [len(s) for s in seqs])
+            seen = np.concatenate(seqs).astype(np.int64)
+            counts = np.bincount(text * size + seen, minlength=len(seqs) * size).reshape(len(seqs), size)
+            total += (counts[:, common] > 0).T.astype(np.float64) @ counts
+        value = np.rint(total.ravel()).astype(np.int64)
+        used = np.flatnonzero(value)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(value[used])], ["key", "n"])
+
+    out = np.zeros(len(common) * size)
+    source = rows.where("not held_out").select("classes")
+    for r in source.mapInArrow(work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).collect():
+        out[r["key"]] = r["n"]
+    return common, out.reshape(len(common), size)
+
+
+def distinct_start(rows, lexicon, states, seed=7):
+    """A model whose states differ: each gives more to the classes that keep company with its own
+    frequent class. These classes are picked one by one, the next being the one whose company
+    is least like that of those before. States are likely to stay."""
+    usual = (lexicon.total + 0.1) / (lexicon.total + 0.1).sum()
+    _, counts = companions(rows, lexicon)
+    share = np.full((len(usual), states), 1 / states)
+    profile = np.sqrt(counts / np.maximum(counts.sum(axis=1, keepdims=True), 1))
+    if len(counts):
+        picked = [0]
+        while len(picked) < min(states, len(counts)):
+            picked.append(int((profile @ profile[picked].T).max(axis=1).argmin()))
+        own = counts[picked].T + 0.01
+        share[:, :len(picked)] = own / own.sum(axis=1, keepdims=True)
+    draw = np.random.Generator(np.random.PCG64(seed))
+    emit = usual[:, None] * (share + 0.02) * draw.uniform(0.9, 1.1, share.shape)
+    move = np.full((states, states), 0.1 / states) + 0.9 * np.eye(states)
+    return np.full(states, 1 / states), move, emit / emit.sum(axis=0)
+
+
+def train(rows, lexicon, states=8, rounds=8, close=0.001, seed=7):
     """First-state, move and emission probabilities by Baum-Welch over all training rows.
 
     Each round is one pass over the data; every task sums the expected counts of its
-    sequences and the sums of all tasks meet in one aggregation.
+    sequences and the sums of all tasks meet in one aggregation. Rounds end once the
+    likelihood of the round's start is less than `close` (log10 a token) above that of the
+    round before, or after `rounds`.
     """
-    draw = np.random.Generator(np.random.PCG64(seed))
     usual = (lexicon.total + 0.1) / (lexicon.total + 0.1).sum()
     size = len(usual)
-    emit = usual[:, None] * draw.uniform(0.5, 1.5, (size, states))
-    model = (np.full(states, 1 / states), draw.dirichlet(np.full(states, 5.0), states), emit / emit.sum(axis=0))
+    model = distinct_start(rows, lexicon, states, seed)
     source = rows.where("not held_out").select("classes")
+    before = None
     for _ in range(rounds):
         shared = rows.sparkSession.sparkContext.broadcast(model)
 
         def work(batches, shared=shared):
-            total = np.zeros(states + states * states + states * size)
+            total = np.zeros(1 + states + states * states + states * size)
             for _, seqs in batched(batches):
-                total += np.concatenate([x.ravel() for x in Chains(seqs).expected(shared.value)])
+                total += np.concatenate([np.ravel(x) for x in Chains(seqs).expected(shared.value)])
             value = np.rint(total * UNIT).astype(np.int64)
             used = np.flatnonzero(value)
             yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(value[used])], ["key", "n"])
 
-        sums = np.zeros(states + states * states + states * size)
+        sums = np.zeros(1 + states + states * states + states * size)
         for r in source.mapInArrow(work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).collect():
             sums[r["key"]] = r["n"] / UNIT
-        first, move, emit = np.split(sums, [states, states + states * states])
+        likelihood, first, move, emit = np.split(sums, [1, 1 + states, 1 + states + states * states])
         first, move, emit = first + 0.1, move.reshape(states, states) + 0.1, emit.reshape(states, size).T + usual[:, None]
         model = (first / first.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+        if before is not None and likelihood[0] - before < close * max(1, lexicon.n):
+            break
+        before = likelihood[0]
     return model
 
 
@@ -265,7 +317,7 @@ def scored(rows, model):
         work, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
 
 
-def language_model(docs, held, states=8, rounds=4, head=1024, buckets=1024):
+def language_model(docs, held, states=8, rounds=8, head=1024, buckets=1024):
     """Scores of all documents by a model of those that `held` (a Column) doesn't hold out.
 
     Tokens are lower-cased words and one end. Returns doc_id, held_out, n_tokens, n_known

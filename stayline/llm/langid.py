@@ -137,15 +137,16 @@ def known_language(docs, model, least=0.5, wanted=None, size=15, penalty=1.0):
     (all learned ones if None). Other columns stay as they are.
     """
     judge = _judge(docs.sparkSession, model, size, penalty)
-    place = docs.columns.index("lang")
+    place = docs.columns.index("lang") if "lang" in docs.columns else None
 
     def work(batches):
         for batch in X.slices(batches, limit=1 << 18):
             found = [judge(t and t.encode())[:2] for t in batch.column("text").to_pylist()]
             kept = [lang != "und" and score >= least and (wanted is None or lang in wanted) for lang, score in found]
-            langs = [own if own is not None else lang for own, (lang, _) in zip(batch.column("lang").to_pylist(), found)]
-            filled = batch.set_column(place, "lang", pa.array(langs, pa.string()))
-            yield filled.filter(pa.array(kept, pa.bool_()))
+            if place is not None:
+                langs = [own if own is not None else lang for own, (lang, _) in zip(batch.column(place).to_pylist(), found)]
+                batch = batch.set_column(place, "lang", pa.array(langs, pa.string()))
+            yield batch.filter(pa.array(kept, pa.bool_()))
 
     return X.map_rows(docs, work)
 

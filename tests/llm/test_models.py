@@ -98,6 +98,31 @@ def test_base_scores_and_forward_recursion(spark, documents):
     assert hmm.language_model(frame(spark, []), held, rounds=1).count() == 0
 
 
+def test_held_out_texts_gain_by_the_model(spark, folder):
+    """The states differ from the start on, so that a few rounds beat the unigram by a margin."""
+    docs = queries.table(spark, folder, "documents")
+    found = hmm.language_model(docs, langid.held_out(F.col("doc_id"), 10, 0))
+    sums = found.where("held_out").agg(F.sum("base_score"), F.sum("score"), F.sum("n_tokens")).first()
+    assert (sums[1] - sums[0]) / sums[2] > 0.1
+
+
+def test_company_tells_classes_apart(spark):
+    rows = [(i, " ".join(["the", "of", "cat", "dog"] if i % 2 else ["le", "de", "chat", "chien"]) + f" w{i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    stored = hmm.encoded(docs, F.lit(False)).cache()
+    pairs = stored.select(F.explode(F.arrays_zip("hashes", "seen")).alias("x")).select(F.col("x.hashes").alias("hash"), F.col("x.seen").alias("n"))
+    counts = pairs.groupBy("hash").agg(F.sum("n").alias("c"))
+    lexicon = hmm.Lexicon(counts, 40, 8, 16)
+    common, company = hmm.companions(hmm.sequences(stored, counts, 40, lexicon), lexicon, top=8)
+    # Two groups of four words that never meet, 20 texts each.
+    meet = company[:, common] > 0
+    assert sorted(meet.sum(axis=1).tolist()) == [4] * 8 and company[:, common].max() == 20
+    _, move, emit = hmm.distinct_start(hmm.sequences(stored, counts, 40, lexicon), lexicon, 2)
+    assert np.allclose(emit.sum(axis=0), 1) and np.allclose(move.sum(axis=1), 1)
+    sides = emit[common].argmax(axis=1)
+    assert all((sides[i] == sides[j]) == meet[i, j] for i in range(8) for j in range(8))
+
+
 def test_forward_equals_sum_over_paths_and_training_gains():
     draw = np.random.Generator(np.random.PCG64(3))
     model = (draw.dirichlet(np.ones(2)), draw.dirichlet(np.ones(2), 2), draw.dirichlet(np.ones(4), 2).T)
@@ -111,7 +136,8 @@ def test_forward_equals_sum_over_paths_and_training_gains():
             total += p
         assert abs(score - math.log10(total)) < 1e-9
     before = hmm.Chains(rows).scores(model).sum()
-    first, move, emit = hmm.Chains(rows).expected(model)
+    likelihood, first, move, emit = hmm.Chains(rows).expected(model)
+    assert likelihood == pytest.approx(before)
     assert abs(first.sum() - 4) < 1e-9 and abs(emit.sum() - 16) < 1e-9 and abs(move.sum() - 12) < 1e-9
     better = (first / first.sum(), move / move.sum(axis=1, keepdims=True), (emit / emit.sum(axis=1, keepdims=True)).T)
     assert hmm.Chains(rows).scores(better).sum() > before
