@@ -16,10 +16,6 @@ def risk_level(p, critical=CRITICAL, high=HIGH, medium=MEDIUM):
     )
 
 
-def risk_rank(level):
-    return F.expr("array_position(array('low','medium','high','critical'), %s)" % level)
-
-
 def segment(revenue, tenure, p, services, vip_revenue=VIP_REVENUE, vip_tenure=VIP_TENURE):
     return (
         F.when((revenue >= vip_revenue) & (tenure >= vip_tenure), "vip")

@@ -281,10 +281,14 @@ def top_psi(metrics, top=20):
 
 
 def enrich(metrics, catalogue):
-    """Attach description, owner and tags where the catalogue knows the feature."""
-    # One row per feature of one version.
-    known = catalogue.select("feature", "description", "owner", "tags")
-    return metrics.join(F.broadcast(known), "feature", "left")
+    """Attach description, owner and tags where the catalogue knows the feature.
+
+    Of a catalogue with versions the newest entry of each feature counts.
+    """
+    entry = F.struct("description", "owner", "tags")
+    newest = F.max_by(entry, F.col("version")) if "version" in catalogue.columns else F.first(entry)
+    known = catalogue.groupBy("feature").agg(newest.alias("_entry")).select("feature", "_entry.*")
+    return metrics.join(known, "feature", "left")
 
 
 def drift_summary(rows):

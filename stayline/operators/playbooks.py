@@ -17,17 +17,38 @@ STRATEGIES = [
 ]
 DEFAULT_STRATEGY = "Maintain current service levels - focus on value delivery"
 
-
-def _action(rule, action_id, title, description, priority, cost, effect, timing):
-    revenue = F.col("MonthlyCharges")
-    text = lambda x: F.lit(x) if isinstance(x, str) else x
-    priority = text(priority)
-    gain = F.try_divide(revenue * 12 * effect - cost, cost)
+# Rule, then id, title, description, priority, effectiveness and time of its action.
+ACTIONS = {
+    1: ("retention_call_critical", "Immediate Retention Specialist Call",
+        "Priority call from retention specialist to understand concerns and offer personalized solution",
+        "critical", 0.35, "immediate"),
+    2: ("personalized_discount", "Personalized 20% Discount (6 months)",
+        "Offer 20% discount on monthly charges for 6 months to retain customer", "critical", 0.45, "1-2 days"),
+    3: ("proactive_outreach", "Proactive Account Manager Outreach",
+        "Proactive call/email from account manager to check satisfaction and offer improvements",
+        "high", 0.25, "1-2 days"),
+    4: ("targeted_discount", "Targeted 15% Discount (3 months)", "Offer 15% discount for 3 months",
+        "high", 0.30, "1-2 days"),
+    5: ("contract_upgrade", "Contract Upgrade Incentive",
+        "Offer 10% annual discount to switch from month-to-month to annual contract", "high", 0.40, "1 week"),
+    6: ("auto_pay_incentive", "Auto-Pay Enrollment Incentive",
+        "Offer $5/month discount for switching to automatic payment", "medium", 0.20, "1-2 days"),
+    7: ("service_enhancement_{feature}", "Service Enhancement: {feature}",
+        "Offer complimentary {feature} service to improve satisfaction", "medium", 0.15, "1 week"),
+}
+
+
+def _action(rule, cost, priority=None, rule_no=None, feature=None):
+    """One action with its fixed texts; `priority` and `rule_no` override those of the table."""
+    action_id, title, description, usual, effect, timing = ACTIONS[rule]
+    text = lambda x: F.lit(x) if feature is None else F.replace(F.lit(x), F.lit("{feature}"), feature)
+    priority = F.lit(usual) if priority is None else priority
+    gain = F.try_divide(F.col("MonthlyCharges") * 12 * effect - cost, cost)
     return F.struct(
         # Sort order: priority, then return, then rule.
         F.array_position(F.array(*[F.lit(x) for x in PRIORITIES]), priority).alias("_level"),
         (-gain).alias("_gain"),
-        (F.lit(rule) if isinstance(rule, int) else rule).cast("int").alias("rule_no"),
+        (F.lit(rule) if rule_no is None else rule_no).cast("int").alias("rule_no"),
         text(action_id).alias("action_id"),
         text(title).alias("title"),
         text(description).alias("description"),
@@ -48,31 +69,15 @@ def with_actions(scored, explanations=None, keep=KEPT):
     """
     p, revenue = F.col("churn_probability"), F.col("MonthlyCharges")
     money = lambda x: F.lit(float(x))
+    near = (p >= 0.5) & (p < 0.75)
+    upgrade = F.when(p < 0.5, "medium").otherwise("high")
     rules = [
-        F.when(p >= 0.75, _action(
-            1, "retention_call_critical", "Immediate Retention Specialist Call",
-            "Priority call from retention specialist to understand concerns and offer personalized solution",
-            "critical", money(SPECIALIST_COST), 0.35, "immediate")),
-        F.when(p >= 0.75, _action(
-            2, "personalized_discount", "Personalized 20% Discount (6 months)",
-            "Offer 20% discount on monthly charges for 6 months to retain customer",
-            "critical", revenue * 0.20 * 6, 0.45, "1-2 days")),
-        F.when((p >= 0.5) & (p < 0.75), _action(
-            3, "proactive_outreach", "Proactive Account Manager Outreach",
-            "Proactive call/email from account manager to check satisfaction and offer improvements",
-            "high", money(MANAGER_COST), 0.25, "1-2 days")),
-        F.when((p >= 0.5) & (p < 0.75), _action(
-            4, "targeted_discount", "Targeted 15% Discount (3 months)",
-            "Offer 15% discount for 3 months",
-            "high", revenue * 0.15 * 3, 0.30, "1-2 days")),
-        F.when((F.col("Contract") == "Month-to-month") & (p >= 0.4), _action(
-            5, "contract_upgrade", "Contract Upgrade Incentive",
-            "Offer 10% annual discount to switch from month-to-month to annual contract",
-            F.when(p < 0.5, "medium").otherwise("high"), revenue * 0.10 * 12, 0.40, "1 week")),
-        F.when((F.col("PaymentMethod") == "Electronic check") & (p >= 0.3), _action(
-            6, "auto_pay_incentive", "Auto-Pay Enrollment Incentive",
-            "Offer $5/month discount for switching to automatic payment",
-            "medium", money(60), 0.20, "1-2 days")),
+        F.when(p >= 0.75, _action(1, money(SPECIALIST_COST))),
+        F.when(p >= 0.75, _action(2, revenue * 0.20 * 6)),
+        F.when(near, _action(3, money(MANAGER_COST))),
+        F.when(near, _action(4, revenue * 0.15 * 3)),
+        F.when((F.col("Contract") == "Month-to-month") & (p >= 0.4), _action(5, revenue * 0.10 * 12, upgrade)),
+        F.when((F.col("PaymentMethod") == "Electronic check") & (p >= 0.3), _action(6, money(60))),
     ]
     found = F.array_compact(F.array(*rules))
     if explanations is not None:
@@ -107,13 +112,8 @@ def _service_features(explanations):
 
 
 def _service_offer(entry):
-    feature = entry["feature"]
-    return _action(
-        entry["rank_no"] + 6, F.concat(F.lit("service_enhancement_"), feature),
-        F.concat(F.lit("Service Enhancement: "), feature),
-        F.concat(F.lit("Offer complimentary "), feature, F.lit(" service to improve satisfaction")),
-        "medium", F.lit(60.0), 0.15, "1 week",
-    )
+    """The offer of a service; its texts name the feature in place of {feature}."""
+    return _action(7, F.lit(60.0), rule_no=entry["rank_no"] + 6, feature=entry["feature"])
 
 
 def strategy(p):

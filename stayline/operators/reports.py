@@ -5,6 +5,14 @@ from pyspark.sql import functions as F
 from stayline.operators.cohorts import COHORT
 
 
+# Fixed texts; amounts stand between the two parts of a pair.
+MANY_AT_RISK = "URGENT: %d customers (%.1f%%) are at risk. Immediate intervention required."
+REVENUE_AT_RISK = "CRITICAL: ", " in monthly revenue (%.1f%%) is at risk."
+STRONG_ROI = "STRONG ROI: Retention initiatives show %.1f%% ROI. Scale intervention programs."
+CRITICAL_COHORTS = "Focus on %d critical-risk cohorts with ", " in annual revenue."
+RETRAIN = "Consider model retraining: Current model performance may be degrading."
+
+
 def _dollars(col, digits=2):
     return F.concat(F.lit("$"), F.format_number(col, digits))
 
@@ -66,31 +74,31 @@ def recommendations(kpis, returns, cohorts, min_auc=0.80):
             F.when(
                 risky > total * 0.3,
                 rule(1, "customers_at_risk", risky, F.format_string(
-                    "URGENT: %d customers (%.1f%%) are at risk. Immediate intervention required.",
+                    MANY_AT_RISK,
                     risky, F.col("at_risk_percentage"))),
             ),
             F.when(
                 share > 30,
                 rule(2, "revenue_at_risk", share, F.concat(
-                    F.lit("CRITICAL: "), _dollars("revenue_at_risk", 0),
-                    F.format_string(" in monthly revenue (%.1f%%) is at risk.", share))),
+                    F.lit(REVENUE_AT_RISK[0]), _dollars("revenue_at_risk", 0),
+                    F.format_string(REVENUE_AT_RISK[1], share))),
             ),
             F.when(
                 F.col("_roi") > 200,
                 rule(3, "strong_roi", F.col("_roi"), F.format_string(
-                    "STRONG ROI: Retention initiatives show %.1f%% ROI. Scale intervention programs.",
+                    STRONG_ROI,
                     F.col("_roi"))),
             ),
             F.when(
                 F.col("_critical.n") > 0,
                 rule(4, "critical_cohorts", F.col("_critical.n"), F.concat(
-                    F.format_string("Focus on %d critical-risk cohorts with ", F.col("_critical.n")),
-                    _dollars("_critical.revenue", 0), F.lit(" in annual revenue."))),
+                    F.format_string(CRITICAL_COHORTS[0], F.col("_critical.n")),
+                    _dollars("_critical.revenue", 0), F.lit(CRITICAL_COHORTS[1]))),
             ),
             F.when(
                 (F.col("model_roc_auc") != 0) & (F.col("model_roc_auc") < min_auc),
                 rule(5, "model_quality", F.col("model_roc_auc"), F.lit(
-                    "Consider model retraining: Current model performance may be degrading.")),
+                    RETRAIN)),
             ),
         )
     )

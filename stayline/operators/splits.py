@@ -84,12 +84,6 @@ def class_weights(df, label=S.TARGET):
     return counts.withColumn("weight", total / (classes * F.col("n")))
 
 
-def with_class_weight(df, label="label", name="class_weight"):
-    # One row per class.
-    weights = class_weights(df, label).select("label", F.col("weight").alias(name))
-    return df.join(F.broadcast(weights.withColumnRenamed("label", label)), label)
-
-
 def _minority(df, label):
     """(minority class, its size, the other's size); two rows at most reach the driver."""
     counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}

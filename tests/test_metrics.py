@@ -59,14 +59,12 @@ def test_quantiles_interpolate(spark, p):
     assert exact_quantiles(df, "v", {"q": p}).first().q == pytest.approx(expected)
 
 
-def test_ten_row_example(spark):
-    y = [0, 1, 0, 1, 1, 0, 1, 0, 1, 1]
-    p = [0.1, 0.9, 0.2, 0.8, 0.7, 0.3, 0.85, 0.15, 0.9, 0.75]
-    df = spark.createDataFrame(list(zip(y, p)), "label int, score double")
-    row = metrics.evaluate(df).first()
-    assert row.sample_size == 10
-    found = (row.accuracy, row.precision, row.recall, row.f1, row.roc_auc, row.pr_auc)
-    assert found == pytest.approx((1.0,) * 6)
+def test_measures_by_hand(spark):
+    """Three hits, two false alarms, one miss; 12 of 16 pairs in the right order."""
+    y, p = [1, 1, 0, 1, 0, 0, 1, 0], [0.91, 0.84, 0.77, 0.66, 0.52, 0.41, 0.35, 0.08]
+    row = metrics.evaluate(spark.createDataFrame(list(zip(y, p)), "label int, score double")).first()
+    found = (row.sample_size, row.accuracy, row.precision, row.recall, row.f1, row.roc_auc)
+    assert found == pytest.approx((8, 5 / 8, 3 / 5, 3 / 4, 2 / 3, 12 / 16))
 
 
 def test_roc_auc_by_brute_force(tied, known):

@@ -212,3 +212,12 @@ def test_the_p_value_says_where_it_comes_from(spark):
     assert [r.ks_distribution for r in found] == ["exact", "limit"]
     assert found[0].ks_pvalue == drift.ks_two_sample(counts, "exact").first().ks_pvalue
     assert found[1].ks_pvalue == drift.ks_two_sample(counts).first().ks_pvalue
+
+
+def test_enrich_takes_the_newest_version(spark):
+    catalogue = spark.createDataFrame(
+        [("x", "1", "old", "a", ["t"]), ("x", "2", "new", "b", None), ("y", "1", "kept", None, None)],
+        "feature string, version string, description string, owner string, tags array<string>")
+    metrics = spark.createDataFrame([("x",), ("y",), ("z",)], "feature string")
+    found = {r.feature: (r.description, r.owner) for r in drift.enrich(metrics, catalogue).collect()}
+    assert found == {"x": ("new", "b"), "y": ("kept", None), "z": (None, None)}
