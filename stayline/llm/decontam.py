@@ -6,14 +6,18 @@ the benchmark; a match counts if the slots behind the placeholders map consisten
 """
 
 import re
-from collections import defaultdict
 from functools import cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from stayline.llm import texts as X
+from stayline.session import scratch_path
+
+#: Bits of the filter of template keys that every task gets (2 MB), and bytes of text read at a time.
+FILTER_BITS, SLICE = 24, 1 << 18
 
 LITERAL, NUMBER, UNIT, NAME, NOTHING = range(5)
 
@@ -33,8 +37,22 @@ MATCHES = pa.schema([
     ("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_windows", pa.int64()),
     ("n_matched", pa.int64()), ("n_slots", pa.int64()), ("n_changed", pa.int64()),
 ])
-COLUMNS = (
-    "doc_id long, item_id long, n_windows long, n_matched long, n_slots long, n_changed long"
+TEMPLATES = pa.schema([
+    ("item", pa.int64()), ("n", pa.int64()), ("own", pa.int64()), ("key", pa.int64()),
+    ("width", pa.int64()), ("kinds", pa.binary()), ("item_values", pa.binary()),
+])
+TEMPLATE_COLUMNS = "item long, n long, own long, key long, width long, kinds binary, item_values binary"
+WINDOWS = pa.schema([
+    ("row", pa.int64()), ("doc_id", pa.int64()), ("key", pa.int64()), ("at", pa.int64()), ("doc_values", pa.binary()),
+])
+WINDOW_COLUMNS = "row long, doc_id long, key long, at long, doc_values binary"
+JOINED = ["row", "item", "doc_id", "n", "own", "at", "kinds", "item_values", "doc_values"]
+FOUND = pa.schema([
+    ("row", pa.int64()), ("doc_id", pa.int64()), ("item", pa.int64()), ("n_windows", pa.int64()),
+    ("n_matched", pa.int64()), ("n_slots", pa.int64()), ("n_changed", pa.int64()),
+])
+FOUND_COLUMNS = (
+    "row long, doc_id long, item long, n_windows long, n_matched long, n_slots long, n_changed long"
 )
 
 
@@ -98,145 +116,201 @@ class Canonical:
         before = np.concatenate([[False], end[:-1].astype(bool)])[:n]
         number = np.concatenate([[False], (kind == NUMBER)[:-1]])[:n] & ~first
         kind = np.where((kind == LITERAL) & unit.astype(bool) & number, UNIT, kind)
-        kind = np.where((kind == LITERAL) & capital.astype(bool) & ~first & ~before, NAME, kind)
+        start = first | before
+        kind = np.where((kind == LITERAL) & capital.astype(bool) & ~start, NAME, kind)
         kept = kind != NOTHING
         self.kind, self.value = kind[kept], value[kept]
+        # A capital at a sentence's start: a word, or a name.
+        self.unsure = ((kind == LITERAL) & capital.astype(bool) & start)[kept]
         self.bounds = np.concatenate([[0], np.cumsum(kept)])[bounds]
-        self.rolling = X.Rolling(X.mixed(np.where(self.kind == LITERAL, self.value, self.kind.astype(np.uint64))))
+        self.symbols = X.mixed(np.where(self.kind == LITERAL, self.value, self.kind.astype(np.uint64)))
+        self.rolling = X.Rolling(self.symbols)
 
     def windows(self, width):
-        """Places where a window of `width` tokens of one text begins, and its hash."""
+        """Places where a window of `width` tokens of one text begins, its hash, the text, and
+        whether its first token is read as a name: a window that begins with an unsure token
+        comes twice.
+        """
         text = np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
         key = self.rolling.windows(width) + np.uint64(width)
         place = np.flatnonzero(text[width - 1:] == text[:len(key)]) if len(key) else np.zeros(0, np.int64)
-        return place, key[place], text[place]
-
-
-class Templates:
-    """Template windows of some benchmark items, sorted by hash."""
-
-    def __init__(self, items, width):
-        self.ids = [i for i, _ in items]
-        self.tokens = Canonical([t for _, t in items], Kinds())
-        size = np.diff(self.tokens.bounds)
-        keys, places, owners = [], [], []
-        self.count = np.zeros(len(items), np.int64)
-        # An item with fewer tokens than a window is one window of its own width.
-        self.widths = np.minimum(size, width)
-        for w in np.unique(self.widths[size > 0]):
-            place, key, owner = self.tokens.windows(int(w))
-            own = self.widths[owner] == w
-            keys.append(key[own])
-            places.append(place[own])
-            owners.append(owner[own])
-            self.count += np.bincount(owner[own], minlength=len(items))
-        if keys:
-            key = np.concatenate(keys)
-            order = np.argsort(key, kind="stable")
-            self.key, self.place = key[order], np.concatenate(places)[order]
-            self.owner = np.concatenate(owners)[order]
-        else:
-            self.key, self.place, self.owner = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def hits(self, tokens):
-        """(text, item, place in the texts, place in the items) of each equal window."""
-        for w in np.unique(self.widths[self.widths > 0]):
-            place, key, text = tokens.windows(int(w))
-            low = np.searchsorted(self.key, key)
-            some = np.flatnonzero(self.key[np.minimum(low, len(self.key) - 1)] == key)
-            high = np.searchsorted(self.key, key[some], side="right")
-            for i, a, b in zip(some, low[some], high):
-                for j in range(a, b):
-                    yield int(text[i]), int(self.owner[j]), int(place[i]), int(self.place[j])
-
-    def matches(self, texts, min_windows, min_share, kinds):
-        """(text, item, windows matched, slots, changed slots) of each confirmed match.
-
-        Windows on one diagonal (place in the text minus place in the item) belong
-        together. A diagonal counts if no slot value of the item stands for two values
-        of the text.
-        """
-        if not len(self.key):
-            return
-        tokens = Canonical(texts, kinds)
-        diagonals = defaultdict(lambda: defaultdict(set))
-        for text, item, at, own in self.hits(tokens):
-            diagonals[text, item][at - own].add(own)
-        for (text, item), found in diagonals.items():
-            matched, slots = set(), set()
-            for shift, places in found.items():
-                pairs = self._slots(tokens, shift, places, int(self.widths[item]))
-                if len({p[:2] for p in pairs}) == len(pairs):
-                    matched |= places
-                    slots |= pairs
-            count = int(self.count[item])
-            if matched and (len(matched) >= min_windows or len(matched) >= min_share * count):
-                yield text, item, len(matched), len(slots), sum(a != b for _, a, b in slots)
-
-    def _slots(self, tokens, shift, places, width):
-        """(kind, item value, text value) behind the placeholders of the windows."""
-        own = np.unique(np.add.outer(np.fromiter(places, np.int64), np.arange(width)))
-        own = own[self.tokens.kind[own] != LITERAL]
-        return set(zip(self.tokens.kind[own].tolist(), self.tokens.value[own].tolist(),
-                       tokens.value[own + shift].tolist()))
-
-
-def template_blocks(benchmark, width, bound):
-    """The benchmark as a few broadcast blocks of at most about `bound` words each."""
-    rows = benchmark.where("text is not null").select(
-        F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("binary").alias("text"))
-    total = benchmark.agg(F.sum(F.size(F.split("text", r"[\x20\x09-\x0D]+")))).first()[0] or 0
-    blocks = -(-total // bound)
-    for k in range(blocks):
-        own = rows.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).orderBy("item_id", "text")
-        items = [(r["item_id"], bytes(r["text"])) for r in own.collect()]
-        if items:
-            yield Templates(items, width)
-
-
-def contaminated(docs, benchmark, width=8, min_windows=5, min_share=0.5, bound=2_000_000):
+        both = place[self.unsure[place]]
+        symbols = self.symbols[both[:, None] + np.arange(width)]
+        symbols[:, 0] = _NAME_SYMBOL
+        named = X.mixed((symbols * X.powers(X.INVERSE, width)).sum(axis=1, dtype=np.uint64)) + np.uint64(width)
+        read = np.repeat([False, True], [len(place), len(both)])
+        place = np.concatenate([place, both])
+        return place, np.concatenate([key[place[~read]], named]), text[place], read
+
+
+_NAME_SYMBOL = X.mixed(np.array([NAME], np.uint64))[0]
+
+
+def template_windows(benchmark, width):
+    """Windows of all different benchmark texts: item (key of the text), n (windows of the text),
+    own (place in it), key, width, kinds and values of its tokens.
+
+    A text with fewer tokens than `width` is one window of its own width. A window that
+    begins with a capital at a sentence's start has two keys, one for each reading.
+    """
+    texts = benchmark.where("text is not null").groupBy(F.xxhash64("text").alias("item")).agg(
+        F.first("text").cast("binary").alias("text"))
+
+    def work(batches):
+        for batch in X.slices(batches, limit=SLICE):
+            items = batch.column("item").to_numpy()
+            tokens = Canonical(batch.column("text").to_pylist(), kinds_of_worker())
+            size = np.diff(tokens.bounds)
+            widths = np.minimum(size, width)
+            for w in np.unique(widths[size > 0]).tolist():
+                place, key, text, named = tokens.windows(w)
+                own = widths[text] == w
+                place, key, text, named = place[own], key[own], text[own], named[own]
+                at = place[:, None] + np.arange(w)
+                kinds = tokens.kind[at].astype(np.int8)
+                kinds[named, 0] = NAME
+                yield X.batch_of(
+                    TEMPLATES, item=items[text], n=size[text] - w + 1, own=place - tokens.bounds[text],
+                    key=key.view(np.int64), width=np.full(len(place), w),
+                    kinds=[k.tobytes() for k in kinds],
+                    item_values=[v.tobytes() for v in tokens.value[at]])
+
+    return texts.mapInArrow(work, TEMPLATE_COLUMNS)
+
+
+def key_filter(templates):
+    """The keys of all template windows as bits, 64 to a number; its size is fixed."""
+    place = F.pmod("key", F.lit(1 << FILTER_BITS))
+    found = templates.select(
+        F.shiftright(place, 6).alias("word"), place.bitwiseAND(F.lit(63)).cast("int").alias("bit")).groupBy(
+        "word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")).toArrow()
+    out = np.zeros(1 << FILTER_BITS >> 6, np.int64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return out
+
+
+def document_windows(rows, widths, bits):
+    """Windows of all documents whose key passes the filter: row, doc_id, key, at, doc_values."""
+    shared = rows.sparkSession.sparkContext.broadcast(bits)
+
+    def work(batches):
+        known, kinds = shared.value, kinds_of_worker()
+        for batch in X.slices(batches, limit=SLICE):
+            tokens = Canonical(batch.column("text").to_pylist(), kinds)
+            for w in widths:
+                place, key, text, _ = tokens.windows(w)
+                bit = key.view(np.int64) % (1 << FILTER_BITS)
+                hit = np.flatnonzero((known[bit >> 6] >> (bit & 63)) & 1)
+                if len(hit):
+                    place, text = place[hit], pa.array(text[hit])
+                    yield X.batch_of(
+                        WINDOWS, row=batch.column("row").take(text), doc_id=batch.column("doc_id").take(text),
+                        key=key[hit].view(np.int64), at=place - tokens.bounds[text.to_numpy()],
+                        doc_values=[v.tobytes() for v in tokens.value[place[:, None] + np.arange(w)]])
+
+    return rows.mapInArrow(work, WINDOW_COLUMNS)
+
+
+def agreement(windows):
+    """(item windows matched, slots) of one document and item.
+
+    `windows` are (own, at, kinds, item values, document values). Windows on one diagonal
+    (`at` minus `own`) belong together, and count if no slot value of the item stands for two
+    values of the text. The largest diagonal comes first; others join it as long as all slots
+    of the document still map one value to one.
+    """
+    diagonals = {}
+    for own, at, kinds, item_values, doc_values in windows:
+        kinds = np.frombuffer(kinds, np.int8)
+        slot = kinds != LITERAL
+        pairs = zip(kinds[slot].tolist(), np.frombuffer(item_values, np.uint64)[slot].tolist(),
+                    np.frombuffer(doc_values, np.uint64)[slot].tolist())
+        places, slots = diagonals.setdefault(at - own, (set(), set()))
+        places.add(own)
+        slots.update(pairs)
+    matched, mapping = set(), {}
+    for shift, (places, slots) in sorted(diagonals.items(), key=lambda x: (-len(x[1][0]), x[0])):
+        found = {}
+        if all(mapping.get((kind, a), b) == b == found.setdefault((kind, a), b) for kind, a, b in slots):
+            matched |= places
+            mapping |= found
+    return matched, mapping
+
+
+def confirmed(batches, min_windows, min_share):
+    """Matches of windows sorted by row and item."""
+
+    def rows():
+        for batch in batches:
+            for start in range(0, batch.num_rows, 2048):
+                part = batch.slice(start, 2048)
+                yield from zip(*(part.column(c).to_pylist() for c in JOINED))
+
+    out = []
+    for (row, item), own in groupby(rows(), key=lambda r: r[:2]):
+        own = list(own)
+        _, _, doc_id, n = own[0][:4]
+        matched, mapping = agreement([w[4:] for w in own])
+        if matched and (len(matched) >= min_windows or len(matched) >= min_share * n):
+            out.append((row, doc_id, item, n, len(matched), len(mapping), sum(a != b for (_, a), b in mapping.items())))
+        if len(out) >= 4096:
+            yield X.batch_of(FOUND, **dict(zip(FOUND.names, zip(*out))))
+            out = []
+    if out:
+        yield X.batch_of(FOUND, **dict(zip(FOUND.names, zip(*out))))
+
+
+def matches(docs, benchmark, width=8, min_windows=5, min_share=0.5):
+    """Confirmed matches of different documents (row: key of id and text) and different items.
+
+    The documents' windows that pass a filter of the template keys are joined with the
+    templates by hash; Spark splits what lies under a frequent window. The benchmark
+    never passes through the driver.
+    """
+    spark = docs.sparkSession
+    path = scratch_path(spark, "templates")
+    template_windows(benchmark, width).write.parquet(path)
+    templates = spark.read.parquet(path)
+    # At most `width` numbers.
+    widths = sorted(r["width"] for r in templates.select("width").distinct().collect())
+    rows = docs.select(
+        F.xxhash64("doc_id", "text").alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("text").cast("binary").alias("text"))
+    found = document_windows(rows, widths, key_filter(templates))
+    joined = found.join(templates.drop("width"), "key").select(*JOINED).distinct()
+    sorted_ = joined.repartition("row", "item").sortWithinPartitions("row", "item")
+    return sorted_.mapInArrow(lambda batches: confirmed(batches, min_windows, min_share), FOUND_COLUMNS)
+
+
+def contaminated(docs, benchmark, width=8, min_windows=5, min_share=0.5):
     """Confirmed matches: doc_id, item_id, n_windows (of the item), n_matched, n_slots, n_changed.
 
     A document matches an item if at least `min_windows` of the item's windows of
-    `width` canonical tokens, or the share `min_share` of them, lie in it with consistent
-    slots; an item shorter than a window is one window. n_changed counts slots whose value
-    differs from the item's. The benchmark is taken in blocks of about `bound` words; each block is
-    joined with all documents. Null and empty texts match nothing; repeated rows give
+    `width` canonical tokens, or the share `min_share` of them, lie in it with slots that
+    map consistently over the whole document; an item shorter than a window is one window.
+    A capital at a sentence's start may be a name or not, so windows that begin with one
+    are compared under both readings. n_changed counts slots whose value differs from the
+    item's. Null and empty texts match nothing; repeated rows of documents or items give
     repeated matches; a null id stays null; empty tables give no rows; other columns are
     ignored.
     """
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    out = docs.sparkSession.createDataFrame([], COLUMNS)
-    for templates in template_blocks(benchmark, width, bound):
-        shared = docs.sparkSession.sparkContext.broadcast(templates)
-
-        def work(batches, shared=shared):
-            own, kinds = shared.value, kinds_of_worker()
-            for batch in X.slices(batches):
-                ids = batch.column("doc_id").to_pylist()
-                rows = [(ids[t], own.ids[i], int(own.count[i]), m, s, c) for t, i, m, s, c in
-                        own.matches(batch.column("text").to_pylist(), min_windows, min_share, kinds)]
-                if rows:
-                    yield X.batch_of(MATCHES, **dict(zip(MATCHES.names, zip(*rows))))
-
-        out = out.unionByName(source.mapInArrow(work, COLUMNS))
-    return out
+    path = scratch_path(docs.sparkSession, "matches")
+    matches(docs, benchmark, width, min_windows, min_share).write.parquet(path)
+    found = docs.sparkSession.read.parquet(path)
+    items = benchmark.where("text is not null").select(
+        F.xxhash64("text").alias("item"), F.col("item_id").cast("long").alias("item_id"))
+    rows = docs.select(F.xxhash64("doc_id", "text").alias("row")).groupBy("row").agg(F.count("*").alias("copies"))
+    again = found.join(rows, "row").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return again.join(items, "item").select(*MATCHES.names)
 
 
-def decontaminated(docs, benchmark, width=8, min_windows=5, min_share=0.5, bound=2_000_000):
+def decontaminated(docs, benchmark, width=8, min_windows=5, min_share=0.5):
     """The rows of `docs` that match no benchmark item, all columns as they are.
 
-    The same decision as `contaminated`, taken row by row where the row is read.
+    The same decision as `contaminated`; only keys of matching rows are joined.
     """
-    for templates in template_blocks(benchmark, width, bound):
-        shared = docs.sparkSession.sparkContext.broadcast(templates)
-
-        def work(batches, shared=shared):
-            kinds = kinds_of_worker()
-            for batch in X.slices(batches):
-                texts = [t and t.encode() for t in batch.column("text").to_pylist()]
-                hit = {m[0] for m in shared.value.matches(texts, min_windows, min_share, kinds)}
-                yield batch.filter(pa.array([i not in hit for i in range(batch.num_rows)]))
-
-        docs = X.map_rows(docs, work)
-    return docs
+    path = scratch_path(docs.sparkSession, "matches")
+    matches(docs, benchmark, width, min_windows, min_share).select("row").distinct().write.parquet(path)
+    gone = docs.sparkSession.read.parquet(path).withColumnRenamed("row", "_row")
+    key = F.xxhash64("doc_id", "text")
+    return docs.join(gone, key == F.col("_row"), "left_anti")

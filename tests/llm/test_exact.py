@@ -233,3 +233,108 @@ def test_templates_catch_other_values(spark):
     left = decontam.decontaminated(docs, benchmark)
     assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [3, 4, 5]
     assert zlib.crc32(b"") == 0 and decontam.contaminated(docs, benchmark.limit(0)).count() == 0
+
+
+def canonical(text):
+    """(kind, value, unsure) of every token, word by word."""
+    out, start, number = [], True, False
+    for word in (text or "").split():
+        value, kind, unit, capital, end = decontam._kind(word.encode())
+        if kind != decontam.NOTHING:
+            unsure = False
+            if kind == decontam.LITERAL and unit and number:
+                kind = decontam.UNIT
+            elif kind == decontam.LITERAL and capital:
+                kind, unsure = (decontam.LITERAL, True) if start else (decontam.NAME, False)
+            out.append((kind, value, unsure))
+        number, start = kind == decontam.NUMBER, end
+    return out
+
+
+def readings(tokens, at, width):
+    """The window's symbols under one or two readings, with its kinds."""
+    own = [(k, v) for k, v, _ in tokens[at:at + width]]
+    for named in (False, True)[:1 + tokens[at][2]]:
+        if named:
+            own = [(decontam.NAME, own[0][1]), *own[1:]]
+        yield tuple(v if k == decontam.LITERAL else k for k, v in own), [k for k, _ in own], [v for _, v in own]
+
+
+def brute_matches(docs, items, width, min_windows, min_share):
+    out = []
+    for doc, text in docs:
+        d = canonical(text)
+        for item, passage in items:
+            b = canonical(passage)
+            w = min(width, len(b))
+            diagonals = {}
+            for own in range(len(b) - w + 1 if b else 0):
+                for key, kinds, values in readings(b, own, w):
+                    for at in range(len(d) - w + 1):
+                        for other, _, found in readings(d, at, w):
+                            if other == key:
+                                places, slots = diagonals.setdefault(at - own, (set(), set()))
+                                places.add(own)
+                                slots |= {(k, x, y) for k, x, y in zip(kinds, values, found) if k != decontam.LITERAL}
+            matched, mapping = set(), {}
+            for _, (places, slots) in sorted(diagonals.items(), key=lambda x: (-len(x[1][0]), x[0])):
+                merged = dict(mapping)
+                if all(merged.setdefault((k, x), y) == y for k, x, y in slots):
+                    matched, mapping = matched | places, merged
+            n = len(b) - w + 1
+            if matched and (len(matched) >= min_windows or len(matched) >= min_share * n):
+                out.append((doc, item, n, len(matched), len(mapping), sum(x != y for (_, x), y in mapping.items())))
+    return out
+
+
+def test_template_matches_equal_brute_force(spark):
+    draw = random.Random(11)
+    names, units, plain = ["Alice", "Bob", "Carol", "Rome"], ["km", "kg", "euros"], "the has and walked from to apples that then paid old way".split()
+
+    def passage(n):
+        words = [draw.choice([draw.choice(plain), draw.choice(plain), draw.choice(names), str(draw.randrange(50))]) for _ in range(n)]
+        for i, word in enumerate(words):
+            if word.isdigit() and draw.random() < 0.5:
+                words[i] += " " + draw.choice(units)
+            elif draw.random() < 0.1:
+                words[i] += draw.choice([".", "?", ","])
+        words[0] = words[0].capitalize()
+        return " ".join(words)
+
+    def changed(text):
+        swap = dict(zip(names, draw.sample(names, 4))) if draw.random() < 0.7 else {}
+        return " ".join(
+            str(draw.randrange(50)) if w.isdigit() and draw.random() < 0.5 else swap.get(w, w) if draw.random() < 0.95 else "other"
+            for w in text.split())
+
+    items = [(i, passage(draw.choice([1, 3, 5, 8, 12, 20]))) for i in range(14)] + [(50, None), (51, ""), (52, " ... ")]
+    items += [(60, items[3][1])]
+    docs = []
+    for i in range(60):
+        parts = [passage(draw.randrange(1, 20)) if draw.random() < 0.4 else changed(draw.choice(items[:14])[1]) for _ in range(draw.randrange(4))]
+        docs.append((i if i % 9 else None, None if i % 13 == 5 else " ".join(parts)))
+    docs += [docs[1], docs[2], (500, "")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string").withColumn("key", F.lit(1))
+    for width, least, share in ((8, 5, 0.5), (3, 2, 0.3)):
+        found = decontam.contaminated(frame(spark, docs), benchmark, width, least, share).collect()
+        expected = brute_matches(docs, [(i, t) for i, t in items if t is not None], width, least, share)
+        assert sorted(map(str, map(tuple, found))) == sorted(map(str, expected)) and len(expected) > 40
+        left = decontam.decontaminated(frame(spark, docs), benchmark, width, least, share)
+        gone = {str(m[0]) for m in expected if m[0] is not None}
+        assert {str(r.doc_id) for r in left.where("doc_id is not null").collect()} == {str(i) for i, _ in docs if i is not None} - gone
+
+
+def test_first_words_and_contradicting_slots(spark):
+    item = "Alice has 5 apples and 3 pears"
+    docs = frame(spark, [
+        (1, "We know that Carol has 7 apples and 2 pears"), (2, "So Alice has 5 apples and 3 pears"),
+        (3, "Yes. Carol has 7 apples and 2 pears"), (4, "We know that Carol has 7 oranges and 2 pears")])
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert {r.doc_id for r in decontam.contaminated(docs, benchmark).collect()} == {1, 2, 3}
+    # Each half alone is too short; together they say that Alice is both Carol and Dave.
+    long = "and then Alice walked to the old station with her dog and paid for it so that Alice had no coins left for the way"
+    half = long.replace("Alice walked", "Carol walked").replace(" so that Alice", " but so that Dave")
+    same = half.replace("Dave", "Carol")
+    benchmark = spark.createDataFrame([(2, long)], "item_id long, text string")
+    found = {r.doc_id for r in decontam.contaminated(frame(spark, [(1, half), (2, same)]), benchmark, 8, 10, 0.9).collect()}
+    assert found == {2}
