@@ -215,8 +215,36 @@ def test_reply_trees_and_round_trip(spark):
         ("t", 1): "", ("t", 2): "", ("t", 3): odd[1], (None, 1): "\\"}
     assert chat.reply_trees(messages.limit(0)).count() == 0
     loop = spark.createDataFrame([(1, 1, 2, "u", "a", 0.0), (1, 2, 1, "u", "b", 0.0)], messages.drop("t", "path").schema.simpleString()[7:-1].replace("tree:string", "tree:long").replace(":", " "))
-    with pytest.raises(ValueError):
-        chat.reply_trees(loop)
+    # A cycle is left out; the other trees of the table are not touched by it.
+    whole = loop.unionByName(spark.createDataFrame([(2, 1, None, "u", "c", 0.0), (1, 3, 1, "u", "d", 0.0)], loop.schema))
+    assert [(r.tree, r.n_turns) for r in chat.reply_trees(whole).collect()] == [(2, 1)]
+    assert sorted(map(tuple, chat.rootless(whole).collect())) == [(1, 1), (1, 2), (1, 3)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_branches_equal_walks_to_the_root(spark, seed):
+    """Random trees, with a chain longer than any power of two below it."""
+    draw = random.Random(seed)
+    parent = {("a", i): (i - 1 if i else None) for i in range(37)}
+    parent |= {("b", i): (draw.randrange(i) if i and draw.random() < 0.95 else None) for i in range(60)}
+    score = {k: float(draw.randrange(4)) for k in parent}
+    rows = [(t, i, p, "user", f"{t}{i}", score[t, i]) for (t, i), p in parent.items()]
+    messages = spark.createDataFrame(rows, "tree string, message long, parent long, role string, text string, score double")
+    replied = {(t, p) for (t, _), p in parent.items() if p is not None}
+    expected = {}
+    for t in "ab":
+        walks = []
+        for tree, leaf in parent:
+            if tree == t and (t, leaf) not in replied:
+                path, at = [], leaf
+                while at is not None:
+                    path.insert(0, at)
+                    at = parent[t, at]
+                walks.append((-sum(score[t, i] for i in path), leaf, path))
+        for rank, (s, _, path) in enumerate(sorted(walks)[:5], 1):
+            expected[t, rank] = (-s, [f"{t}{i}" for i in path])
+    found = chat.reply_trees(messages, keep=5).withColumn("turns", chat.read_back(F.col("formatted"))).collect()
+    assert {(r.tree, r["rank"]): (r.score, [x.text for x in r.turns]) for r in found} == expected
 
 
 def test_templates_catch_other_values(spark):
