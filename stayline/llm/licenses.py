@@ -15,12 +15,16 @@ TEMPLATES = {
         "Licensed under the GNU Affero General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of"
         " the GNU Affero General Public License as published by the Free Software Foundation.",
+        "You should have received a copy of the GNU Affero General Public License along with this program.",
         "SPDX-License-Identifier: AGPL-3.0-or-later",
     ],
     "apache": [
         "Licensed under the Apache License, Version 2.0.",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file'
         " except in compliance with the License.",
+        "Available under the Apache Licence 2.0.",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is"
+        ' distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.',
         "SPDX-License-Identifier: Apache-2.0",
     ],
     "bsd": [
@@ -28,8 +32,21 @@ TEMPLATES = {
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "Redistribution and use in source and binary forms, with or without modification, are"
         " permitted provided that the following conditions are met:",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the"
+        " following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the"
+        " following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote"
+        " products derived from this software without specific prior written permission.",
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED'
+        " WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A"
+        " PARTICULAR PURPOSE ARE DISCLAIMED.",
         "SPDX-License-Identifier: BSD-3-Clause",
     ],
+    "boost": [
+        "Distributed under the Boost Software License, Version 1.0.",
+        "SPDX-License-Identifier: BSL-1.0",
+    ],
     "cc-by": [
         "Licensed under CC BY 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
@@ -50,12 +67,26 @@ TEMPLATES = {
         "Dedicated to the public domain under CC0 1.0 Universal.",
         "SPDX-License-Identifier: CC0-1.0",
     ],
+    "epl": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+        "Licensed under the Eclipse Public License 2.0.",
+        "SPDX-License-Identifier: EPL-2.0",
+    ],
     "gpl": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software; you can redistribute it and/or modify it under the terms of"
         " the GNU General Public License as published by the Free Software Foundation.",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the"
+        " implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
+        "You should have received a copy of the GNU General Public License along with this program.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ],
+    "isc": [
+        "Licensed under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
+        " granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "SPDX-License-Identifier: ISC",
+    ],
     "lgpl": [
         "Licensed under the GNU Lesser General Public License, version 3.",
         "This library is free software; you can redistribute it and/or modify it under the terms of"
@@ -67,20 +98,47 @@ TEMPLATES = {
         "Licensed under the MIT license.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"
         " and associated documentation files, to deal in the Software without restriction.",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial"
+        " portions of the Software.",
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED'
+        " TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
         "SPDX-License-Identifier: MIT",
     ],
     "mpl": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License 2.0.",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
         "SPDX-License-Identifier: MPL-2.0",
     ],
     "reserved": [
         "All rights reserved.",
         "All rights reserved. No part of this publication may be reproduced without permission.",
     ],
+    "unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "SPDX-License-Identifier: Unlicense",
+    ],
+    "zlib": [
+        "Distributed under the zlib License.",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be"
+        " held liable for any damages arising from the use of this software.",
+        "SPDX-License-Identifier: Zlib",
+    ],
 }
 # Fixed value: licence statements of no family, for the unknown class.
 UNKNOWN = [
+    "Licensed under the Artistic License 2.0.",
+    "You may use this file under the terms of the Common Development and Distribution License (CDDL), version 1.0.",
+    "Licensed under the EUPL, Version 1.2 only.",
+    "This Font Software is licensed under the SIL Open Font License, Version 1.1.",
+    "This work is licensed under the Microsoft Public License (Ms-PL).",
+    "Licensed under the Server Side Public License, v 1.",
+    "Use of this software is governed by the Business Source License included in the LICENSE file.",
+    "Licensed under the Elastic License 2.0.",
+    "This file is subject to the terms of the Academic Free License version 3.0.",
+    "Distributed under the terms of the CeCILL-B license.",
+    "Licensed under the Python Software Foundation License.",
+    "The use of this data is subject to the Open Database License (ODbL) v1.0.",
     "Released under the Example Software License.",
     "Licensed under the terms of our own community licence, version 1.",
     "This work is licensed under the conditions of the publisher.",
@@ -200,14 +258,20 @@ def best_template(text):
     return max(((similarity(text, f), f) for f in sorted(TEMPLATES)), key=lambda x: x[0])
 
 
-def negatives(docs, bound):
-    """At most `bound` paragraphs that hold no template, by the hash of their document."""
-    texts = docs.where("text is not null").orderBy(F.xxhash64("text"), "text").limit(bound)
-    lines = texts.withColumn("lines", F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")).where(
-        "size(lines) > 0").select(F.element_at(
-            "lines", F.pmod(F.xxhash64("text"), F.size("lines")).cast("int") + 1).cast("binary").alias("t"))
-    found = [bytes(r["t"]) for r in lines.collect()]
-    return [t[:2000] for t in found if best_template(t)[0] < 0.3]
+def negatives(docs, bound, chars=2000):
+    """At most `bound` paragraphs that hold no template, from different texts, first by hash.
+
+    A share of the hashes that holds about four times as many texts is read, and of each text
+    one line, cut to `chars` where it is read; so tasks send the driver little at any size.
+    """
+    known = docs.where("text is not null").select("text", F.xxhash64("text").alias("h"))
+    share = min(1.0, 4 * bound / max(1, known.count()))
+    some = known.where(F.col("h") <= min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63)))
+    lines = some.withColumn("lines", F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")).where(
+        "size(lines) > 0").select("h", F.substring(F.element_at(
+            "lines", F.pmod(F.col("h"), F.size("lines")).cast("int") + 1), 1, chars).alias("t"))
+    found = lines.groupBy("h").agg(F.min("t").alias("t")).orderBy("h").limit(bound).collect()
+    return [t for t in (r["t"].encode() for r in found) if best_template(t)[0] < 0.3]
 
 
 def paragraphs(words):
@@ -304,23 +368,25 @@ def spread(first, end, width, step):
     return start, np.minimum(start + width, end[own])
 
 
-def scan(docs, sample=1500, least=0.5, confirm=0.6, sure=0.9, size=11, width=64):
+def scan(docs, sample=1500, least=0.5, confirm=0.6, sure=0.9, hint=0.02, size=11, width=64):
     """Licence statements of all documents, one row for each place that has one.
 
     A paragraph is a line with a word; lines without a blank one between them are a block.
     A line of at most `width` words is judged whole. Blocks of several lines or with a longer
     line are judged in overlapping windows of `width` words too, and every place of a block,
     across lines, that holds the share `confirm` of a template's word pairs within twice the
-    template's length is a statement whatever the classifier gives `none`; its family is the
-    confirmed one with the largest probability. A window can be `unknown` only with a word pair
+    template's length is judged by itself; it is a statement if the classifier gives `none` at
+    most 1 - `least`, and its family is the confirmed one with the largest probability. A window can be `unknown` only with a word pair
     of a template, as repeated junk has none. A statement over several lines replaces those
     of its lines; its row has the number of its first line and the text of all its words. The classifier is fitted on the templates and at
     most `sample` paragraphs of the corpus (a bound for fitting alone); it judges every
     paragraph of every text. A family counts if its calibrated probability reaches
     `least` and the paragraph holds at least the share `confirm` of the word pairs of
     one of the family's templates. A licence-like paragraph (probability of `none` below
-    1 - `least`) without that confirmation goes to the family of the template it does hold;
-    without one it is `unknown` if `none` has at most the probability 1 - `sure`.
+    1 - `least`) without that confirmation goes to the likeliest family that a template does
+    confirm, if that has at least the probability `hint`; else it is `unknown` if `none` has
+    at most the probability 1 - `sure`. So templates confirm what the classifier says, and
+    decide nothing alone.
 
     Returns doc_id, paragraph (its number, from 0), family, probability (of the family,
     or of any licence for `unknown`), similarity and text. Null and empty texts have no paragraph; repeated
@@ -337,13 +403,17 @@ def scan(docs, sample=1500, least=0.5, confirm=0.6, sure=0.9, size=11, width=64)
             alike = similarity(line, family)
             if alike >= confirm:
                 return family, p, alike
-        alike, family = best_template(line)
-        if alike >= confirm:
-            return family, float(row[own.labels.index(family)]), alike
-        return OTHER, float(1 - row[-1]), alike
+        held = {f: similarity(line, f) for f in sorted(TEMPLATES)}
+        likely = [(float(row[own.labels.index(f)]), f) for f in held if held[f] >= confirm]
+        if likely and max(likely)[0] >= hint:
+            p, family = max(likely)
+            return family, p, held[family]
+        return OTHER, float(1 - row[-1]), max(held.values())
 
     def named(line, own):
         row = own.probabilities((vector(line, own.size) @ own.weights)[None], np.ones(1))[0]
+        if row[-1] > 1 - least:
+            return None
         alike = {f: similarity(line, f) for f in sorted(TEMPLATES)}
         family = max((f for f in alike if alike[f] >= confirm), key=lambda f: row[own.labels.index(f)], default=None)
         return family and (family, float(row[own.labels.index(family)]), alike[family])

@@ -170,6 +170,51 @@ def test_licence_notices_over_lines_and_in_long_lines(spark, documents):
     assert one.similarity == 1 and bytes(one.text).endswith(b"without restriction.")
 
 
+# Licences of no family that training has not seen.
+OTHERS = [
+    "Licensed under the PostgreSQL License.", "Distributed under the University of Illinois/NCSA Open Source License.",
+    "This file is licensed under the GNU Free Documentation License.", "Licensed under the Reciprocal Public License 1.5.",
+    "This database is made available under the Open Data Commons Attribution License.",
+    "Licensed under the Q Public License version 1.0.", "Use of this source code is subject to the Vim license.",
+    "Licensed under the Intel Open Source License.", "Distributed under the W3C Software License.",
+    "Licensed under the European Space Agency Public License v2.4.", "Licensed under the Sleepycat License.",
+    "The code is available under the Zope Public License 2.1.", "Released under the Beerware license, revision 42.",
+    "The Software shall be used for Good, not Evil; see the JSON licence.", "Licensed under the Nokia Open Source License.",
+]
+
+
+def test_licences_of_no_family_are_unknown(spark, documents):
+    rows = documents[:60] + [(-i, t) for i, t in enumerate(OTHERS, 1)]
+    found = [r for r in licenses.scan(frame(spark, rows), sample=60).collect() if r.doc_id < 0]
+    assert {r.family for r in found} == {"unknown"} and len({r.doc_id for r in found}) >= 11
+
+
+def test_probabilities_are_reliable_on_new_statements(documents):
+    class Draw:
+        def __init__(self, seed):
+            self.draw = np.random.default_rng(seed)
+            self.random = self.draw.random
+
+        def choice(self, given):
+            return given[self.draw.integers(len(given))]
+
+    lines = [t.split("\n")[0].encode() for _, t in documents if t]
+    lines = [t for t in lines if licenses.best_template(t)[0] < 0.3]
+    model, draw = licenses.Classifier(lines[::2]), Draw(99)
+    rows = [(v, f) for f, own in licenses.TEMPLATES.items() for t in own for v in licenses.varied(t, draw, 3)]
+    rows += [(v, "unknown") for t in OTHERS for v in licenses.varied(t, draw, 3)]
+    rows = [(t.encode(), f) for t, f in rows] + [(t, "none") for t in lines[1::2]]
+    p = model.probabilities(np.stack([licenses.vector(t, model.size) for t, _ in rows]) @ model.weights, np.ones(len(rows)))
+    right = np.array([model.labels[k] == f for k, (_, f) in zip(p.argmax(axis=1), rows)])
+    sure = p.max(axis=1)
+    gap = 0
+    for low, high in ((0, 0.5), (0.5, 0.8), (0.8, 0.95), (0.95, 1.1)):
+        own = (sure >= low) & (sure < high)
+        if own.any():
+            gap += abs(sure[own].mean() - right[own].mean()) * own.mean()
+    assert gap < 0.05 and right[sure >= 0.95].mean() > 0.97
+
+
 def test_target_counts_leave_out_ids_that_share_a_filter_place(spark, monkeypatch):
     """With a filter of 64 places most documents pass it, and the counts stay those of a join."""
     rows = [(i if i % 11 else None, f"Word{i % 7} word{i % 5} x{i % 3}", i) for i in range(400)] + [(5, "again word1", 0), (6, None, 0)]
