@@ -145,6 +145,8 @@ UNKNOWN = [
     "You may use this file under the licence agreement that came with it.",
 ]
 NONE, OTHER = "none", "unknown"
+# What a statement of an unknown licence must name.
+CUE = re.compile(rb"\blicen[cs]|\bcopy(?:right|left)|\bspdx|rights reserved|public domain", re.IGNORECASE)
 WORD = re.compile(rb"[a-z0-9]+(?:[.+-][a-z0-9]+)*")
 
 RESULT = pa.schema([
@@ -384,8 +386,8 @@ def scan(docs, sample=1500, least=0.5, confirm=0.6, sure=0.9, hint=0.02, size=11
     `least` and the paragraph holds at least the share `confirm` of the word pairs of
     one of the family's templates. A licence-like paragraph (probability of `none` below
     1 - `least`) without that confirmation goes to the likeliest family that a template does
-    confirm, if that has at least the probability `hint`; else it is `unknown` if `none` has
-    at most the probability 1 - `sure`. So templates confirm what the classifier says, and
+    confirm, if that has at least the probability `hint`; else it is `unknown` if it names a
+    licence (`CUE`) and `none` has at most the probability 1 - `sure`. So templates confirm what the classifier says, and
     decide nothing alone.
 
     Returns doc_id, paragraph (its number, from 0), family, probability (of the family,
@@ -408,7 +410,7 @@ def scan(docs, sample=1500, least=0.5, confirm=0.6, sure=0.9, hint=0.02, size=11
         if likely and max(likely)[0] >= hint:
             p, family = max(likely)
             return family, p, held[family]
-        return OTHER, float(1 - row[-1]), max(held.values())
+        return OTHER, float(1 - row[-1]) if CUE.search(line) else 0.0, max(held.values())
 
     def named(line, own):
         row = own.probabilities((vector(line, own.size) @ own.weights)[None], np.ones(1))[0]
@@ -486,7 +488,7 @@ def scan(docs, sample=1500, least=0.5, confirm=0.6, sure=0.9, hint=0.02, size=11
                 a, b = int(start[i]), int(stop[i]) - 1
                 if not used[a:b + 1].any():
                     verdict = judge(spell(a, b), p[i], own)
-                    if verdict[2]:
+                    if verdict[1] and verdict[2]:
                         used[a:b + 1] = True
                         rows.append((a, b, verdict))
             rows = [(ids[int(text[line_of[a]])].as_py(), int(number[line_of[a]]), *v, spell(a, b))
