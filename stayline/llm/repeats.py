@@ -116,7 +116,7 @@ class Repeats:
     that occur in another place of the given pieces.
     """
 
-    def __init__(self, width, gram, symbols, long, cut, restore, index, shard_bytes=2 << 20, shard_classes=3000):
+    def __init__(self, width, gram, symbols, long, cut, restore, index, shard_bytes=1 << 18, shard_classes=3000):
         self.width, self.gram = width, gram
         self.symbols, self.long, self.cut, self.restore, self.index = symbols, long, cut, restore, index
         self.shard_bytes, self.shard_classes = shard_bytes, shard_classes
