@@ -229,11 +229,13 @@ def companions(rows, lexicon, top=64):
 
     def work(batches):
         total = np.zeros((len(common), size))
-        for _, seqs in batched(batches, tokens=60_000):
-            text = np.repeat(np.arange(len(seqs)), [len(s) for s in seqs])
-            seen = np.concatenate(seqs).astype(np.int64)
-            counts = np.bincount(text * size + seen, minlength=len(seqs) * size).reshape(len(seqs), size)
-            total += (counts[:, common] > 0).T.astype(np.float64) @ counts
+        for _, rows in batched(batches, tokens=60_000):
+            # A dense row of counts for each text, so only so many texts at a time.
+            for seqs in (rows[i:i + 500] for i in range(0, len(rows), 500)):
+                text = np.repeat(np.arange(len(seqs)), [len(s) for s in seqs])
+                seen = np.concatenate(seqs).astype(np.int64)
+                counts = np.bincount(text * size + seen, minlength=len(seqs) * size).reshape(len(seqs), size)
+                total += (counts[:, common] > 0).T.astype(np.float64) @ counts
         value = np.rint(total.ravel()).astype(np.int64)
         used = np.flatnonzero(value)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(value[used])], ["key", "n"])

@@ -57,15 +57,16 @@ def is_phone(digits):
 def emails(text):
     """Addresses, leftmost first. An address begins where the run of local characters before
     its at sign does, or where the one before ended; so each run is read once."""
-    out, last, at = [], 0, text.find("@")
+    out, last, seen, at = [], 0, 0, text.find("@")
     while at >= 0:
-        before = text[last:at].rpartition("@")[2]
+        before = text[max(last, seen):at]
         start = at - (len(before) - len(before.rstrip(LOCAL)))
         domain = DOMAIN.match(text, at + 1) if start < at else None
         if domain:
             last = domain.end()
             out.append((start, last))
-        at = text.find("@", at + 1)
+        seen = at + 1
+        at = text.find("@", seen)
     return out
 
 
