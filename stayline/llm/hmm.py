@@ -224,8 +224,6 @@ def companions(rows, lexicon, top=64):
     """
     size = len(lexicon.total)
     common = np.argsort(-lexicon.total[1:], kind="stable")[:top] + 1
-    place = np.full(size, -1)
-    place[common] = np.arange(len(common))
 
     def work(batches):
         total = np.zeros((len(common), size))
