@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from stayline.llm import texts as X
 from stayline.llm.components import components
+from stayline.llm.repeats import delete_scratch
 from stayline.session import scratch_path
 
 SIGNATURES = pa.schema([
@@ -252,12 +253,12 @@ def near_duplicates(docs, width=5, percent=75, bands=64, rows=4):
     and has a null component. An empty table gives an empty result.
     Columns beside doc_id and text are ignored.
     """
-    spark = docs.sparkSession
+    spark, paths = docs.sparkSession, []
 
     def stored(df, name):
-        path = scratch_path(spark, name)
-        df.write.parquet(path)
-        return spark.read.parquet(path)
+        paths.append(scratch_path(spark, name))
+        df.write.parquet(paths[-1])
+        return spark.read.parquet(paths[-1])
 
     signed = stored(signatures(docs, width, bands, rows), "signatures")
     linked = signed.where("doc_id is not null and n_shingles > 0")
@@ -298,9 +299,16 @@ def near_duplicates(docs, width=5, percent=75, bands=64, rows=4):
     label = components(links).withColumnRenamed("id", "id2")
     named = groups.join(label, F.col("rep") == F.col("id2"), "left").select(
         F.col("set_hash").alias("set2"), F.coalesce("label", "rep").alias("component_id"))
-    return signed.join(
+    found = signed.join(
         named, (F.col("set_hash") == F.col("set2")) & (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(),
         "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    # The result is written, and the tables that led to it go.
+    old, paths = paths, []
+    path = scratch_path(spark, "near-duplicates")
+    found.write.parquet(path)
+    for one in old:
+        delete_scratch(spark, one)
+    return spark.read.parquet(path)
 
 
 def one_of_each(docs, **options):
