@@ -80,7 +80,8 @@ def _event_files(spark, folder, part=None):
     rows = derived.events(spark, folder)
     if part:
         rows = rows.where(F.col("event_id") % 2 == part[1])
-    rows.select("value").write.mode("append").text(path)
+    # A file is a batch of `upsert_scores`; more of them than tasks run at once would only add batches.
+    rows.select("value").coalesce(spark.sparkContext.defaultParallelism).write.mode("append").text(path)
     return path
 
 

@@ -157,7 +157,8 @@ def events(spark, folder):
 
     from stayline.streaming.events import snake_case
 
-    return happened.join(base, "k").select(
+    # A broadcast of the events would leave all of them to the few tasks that hold the customers.
+    return happened.join(base.hint("merge"), "k").select(
         "event_id",
         "ts",
         F.when(F.col("event_id") % 2 == 0, payload(lambda c: c))

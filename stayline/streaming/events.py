@@ -69,16 +69,22 @@ def normalize_events(events):
     """
     kept = [c for c in events.columns if c != "value"]
     # One parse: names that differ in case only are different keys of a map.
-    parsed = events.select(*kept, F.from_json("value", "map<string,string>").alias("_sent"))
-    sent = lambda name: F.try_element_at(F.col("_sent"), F.lit(name))
-    texts = {
-        name: F.coalesce(*[F.nullif(sent(n), F.lit("")) for n in names]) for name, names in SPELLINGS.items()
-    }
-    read = parsed.select(
+    # Behind a generator, so that the optimizer does not repeat the parse inside of what reads it.
+    parsed = settled(events, "_sent", F.from_json("value", "map<string,string>")).drop("value")
+    sent = lambda name: F.try_element_at(F.col("_sent"), name)
+    # One expression finds all fields. As one column each they make a method that Java does not compile.
+    names = F.array(*[F.array(*map(F.lit, SPELLINGS[name])) for name in FIELDS])
+    texts = F.transform(names, lambda own: F.try_element_at(
+        F.filter(F.transform(own, sent), lambda text: text != ""), F.lit(1)))
+    found = parsed.select(
         *kept,
-        *[text.alias(f"_{name}") for name, text in texts.items()],
-        sent(S.ID).alias("_sent_id"),
-        sent("timestamp").alias("event_timestamp"),
+        texts.alias("_texts"),
+        sent(F.lit(S.ID)).alias("_sent_id"),
+        sent(F.lit("timestamp")).alias("event_timestamp"),
+    )
+    read = found.select(
+        *kept, *[F.col("_texts")[i].alias(f"_{name}") for i, name in enumerate(FIELDS)],
+        "_sent_id", "event_timestamp",
     )
     columns = {}
     for name in FIELDS:
@@ -105,12 +111,15 @@ def normalize_events(events):
         missing.alias("_missing"),
         F.when(unreadable, F.lit("TotalCharges: not a number")).alias("_extra"),
     )
-    broken = F.concat_ws("; ", *contract_rules(), F.col("_extra"))
+    # Again one expression, judged once a row; the generator below names it twice.
+    rules = F.array(*contract_rules(), F.col("_extra"))
+    judged = wide.withColumn("_broken", F.concat_ws("; ", F.filter(rules, lambda rule: rule.isNotNull())))
+    broken = F.col("_broken")
     error = F.when(
         F.col("_missing") != "",
         F.concat(F.lit("Invalid data: Missing required fields in event: "), "_missing"),
     ).when(broken != "", F.concat(F.lit("Invalid data: "), broken))
-    return settled(wide, "error", error).drop("_missing", "_extra")
+    return settled(judged, "error", error).drop("_missing", "_extra", "_broken")
 
 
 def valid_events(normalized):
