@@ -35,6 +35,27 @@ _PLAIN = np.zeros(256, bool)
 _PLAIN[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")] = True
 
 
+class KnownUnits:
+    """Rows of the hashes met so far, as sorted arrays: 16 bytes each."""
+
+    def __init__(self):
+        self.keys, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def places(self, keys):
+        """Row of each of the sorted, distinct keys, and which keys are new; these get the next rows."""
+        n, at = len(self.keys), np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        inside = at < n
+        known[inside] = self.keys[at[inside]] == keys[inside]
+        new = np.flatnonzero(~known)
+        found = np.empty(len(keys), np.int64)
+        found[known] = self.rows[at[known]]
+        found[new] = np.arange(n, n + len(new))
+        self.keys = np.insert(self.keys, at[new], keys[new])
+        self.rows = np.insert(self.rows, at[new], found[new])
+        return found, new
+
+
 class WordTokenizer:
     """Token ids of texts by way of their distinct words.
 
@@ -55,7 +76,7 @@ class WordTokenizer:
         self._clear()
 
     def _clear(self):
-        self.seen, self.flat, self.first = X.Seen(), np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.seen, self.flat, self.first = KnownUnits(), np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def _encode(self, units):
         model, out, rest = self.encoder.model, [None] * len(units), []
