@@ -161,3 +161,47 @@ def test_the_fit_has_no_slope_left(rows):
     data, _ = rows
     assert learn.gradient_size(learn.fit_baseline(data), data) < 1e-4
     assert learn.gradient_size(learn.fit_baseline(data, max_iter=1), data) > 1e-3
+
+
+def test_boosting_fits_no_more_than_a_short_run_and_all_rounds(spark, rows, monkeypatch):
+    data, _ = rows
+    fitted, trees = [], learn.boosted_trees
+    monkeypatch.setattr(learn, "boosted_trees", lambda *a, **p: fitted.append(p["maxIter"]) or trees(*a, **p))
+    model, rounds = learn.fit_boosted(data, rounds=20, patience=2, maxDepth=2, stepSize=0.01)
+    # Small steps lower the loss for long: neither 4, 8 and 16 rounds in turn nor a last fit.
+    assert fitted == [4, 20] and model.getNumTrees == model.getMaxIter() == rounds
+    assert "customerID" in model.transform(data).columns
+
+
+def test_the_start_of_a_boosted_model_is_the_shorter_fit(spark, rows):
+    data = learn.with_balance(rows[0])
+    short, long = (learn.boosted_trees(maxIter=n, maxDepth=3).fit(data) for n in (4, 9))
+    kept = learn.first_rounds(long, 4)
+    assert kept.getNumTrees == kept.getMaxIter() == 4 and kept.treeWeights == short.treeWeights
+    assert learn.scores(kept, data).exceptAll(learn.scores(short, data)).count() == 0
+
+
+def test_rounds_are_chosen_as_by_runs_of_twice_as_many():
+    def runs(losses, rounds, patience):
+        tried = min(rounds, 2 * patience)
+        while True:
+            best = min(range(tried), key=losses.__getitem__) + 1
+            if best + patience <= tried or tried == rounds:
+                return best
+            tried = min(rounds, 2 * tried)
+
+    for low in range(1, 41):
+        # A dip at `low` before losses that end below it.
+        losses = [abs(i - low) / 10 if i < low + 8 else 5 - i / 8 for i in range(1, 41)]
+        assert learn.chosen_rounds(losses, 40, 3) == runs(losses, 40, 3)
+        first = learn.chosen_rounds(losses[:6], 40, 3)
+        assert first is None or first == runs(losses, 40, 3)
+
+
+def test_fits_get_few_tasks(spark, rows, monkeypatch):
+    data, cores = rows[0], spark.sparkContext.defaultParallelism
+    few = learn.in_few_tasks(data.repartition(50))
+    assert few.rdd.getNumPartitions() == 2 * cores and few.count() == data.count()
+    assert learn.in_few_tasks(data.coalesce(1)).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(learn, "TASK_ROWS", -(-data.count() // 20))
+    assert 2 * cores < learn.in_few_tasks(data.repartition(50)).rdd.getNumPartitions() <= 20
