@@ -205,3 +205,43 @@ def test_fits_get_few_tasks(spark, rows, monkeypatch):
     assert learn.in_few_tasks(data.coalesce(1)).rdd.getNumPartitions() == 1
     monkeypatch.setattr(learn, "TASK_ROWS", -(-data.count() // 20))
     assert 2 * cores < learn.in_few_tasks(data.repartition(50)).rdd.getNumPartitions() <= 20
+
+
+def test_boosting_goes_on_from_the_rounds_it_has(spark, rows, monkeypatch):
+    data, _ = rows
+    fitted, grown, whole, tree = [], [], learn.GBTClassifier.fit, learn.DecisionTreeRegressor.fit
+    monkeypatch.setattr(learn.GBTClassifier, "fit", lambda s, d: fitted.append(s.getMaxIter()) or whole(s, d))
+    monkeypatch.setattr(learn.DecisionTreeRegressor, "fit", lambda s, d: grown.append(1) or tree(s, d))
+    monkeypatch.setattr(learn, "chosen_rounds", lambda losses, *_: 5 if len(losses) >= 8 else None)
+    model, rounds = learn.fit_boosted(data, rounds=200, patience=2, maxDepth=2)
+    # Eight rounds decide: neither the first four nor any of the 200 are fitted for nothing.
+    assert fitted == [4] and len(grown) == 4 and model.getNumTrees == model.getMaxIter() == rounds == 5
+    fitted.clear(), grown.clear()
+    # Trees that draw rows go by Spark's own seeds, and so does what many rounds do not decide.
+    model, _ = learn.fit_boosted(data, rounds=9, patience=2, maxDepth=2, subsamplingRate=0.5)
+    assert fitted == [4, 9] and not grown and model.getNumTrees == 5
+    fitted.clear()
+    monkeypatch.setattr(learn, "chosen_rounds", lambda losses, *_: 3 if len(losses) == 11 else None)
+    learn.fit_boosted(data, rounds=11, patience=1, maxDepth=2)
+    assert fitted == [2, 11] and len(grown) == 6
+
+
+def test_more_rounds_are_those_of_one_fit(spark, rows, monkeypatch):
+    monkeypatch.setattr(learn, "FOLD_ROUNDS", 3)
+    data = learn.with_balance(rows[0])
+    short, long = (learn.boosted_trees(maxIter=n, maxDepth=3, stepSize=0.3) for n in (2, 10))
+    whole, more = long.fit(data), learn.more_rounds(short.fit(data), long, data, 10)
+    assert more.getNumTrees == more.getMaxIter() == 10 and more.treeWeights == whole.treeWeights
+    both = learn.scores(whole, data).select(S.ID, F.col("score").alias("one")).join(learn.scores(more, data), S.ID)
+    assert both.count() == data.count() and both.where("abs(one - score) > 1e-9").count() == 0
+    assert more.evaluateEachIteration(data) == pytest.approx(whole.evaluateEachIteration(data))
+
+
+def test_rows_in_few_partitions_are_dealt_out(spark, rows, monkeypatch):
+    data, cores = rows[0], spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(learn, "SPREAD_ROWS", -(-data.count() // 3))
+    spread = learn.in_few_tasks(data.coalesce(1))
+    assert spread.rdd.getNumPartitions() == min(cores, 3) and spread.exceptAll(data).count() == 0
+    assert spread.count() == data.count()
+    even = data.repartition(3)
+    assert learn.in_few_tasks(even).rdd.getNumPartitions() == 3
